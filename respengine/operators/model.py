@@ -7,12 +7,14 @@ started at 1.0, iteration ``i`` takes ``s = step / sqrt(i)``,
 (the bias is shrunk too), and stops once
 ``|w_i - w_{i-1}| < tol * max(|w_i|, 1)``.
 
-Per iteration one Spark job runs over the persisted training frame: the
-weights of every model still being fitted travel as one broadcast, each
-partition turns its Arrow batches into partial gradients (numpy on whole
-batches), and a grouped sum on the index reduces them, so at most ``d + 1``
-numbers per model reach the driver. Several models (a grid) share each pass
-over the data.
+The training rows are first packed into blocks of raw buffers (as Spark ML
+stacks instances into blocks) and cached. Per iteration one Spark job runs
+over the blocks: the weights of every model still being fitted travel as one
+broadcast, each task turns its blocks into partial gradients with numpy, and
+the partials are summed per index (directly on the driver when
+``partitions x models x (d + 1)`` is small, otherwise by a grouped sum on the
+index first), so at most ``d + 1`` numbers per model reach the driver.
+Several models (a grid) share each pass over the data.
 
 Scoring stays in the JVM: a lookup join of the stored entries against the
 weight table (broadcast when its size allows) and a per-row sum.
@@ -74,8 +76,59 @@ def _table_df(spark: SparkSession, table: pa.Table) -> DataFrame:
     return df
 
 
+_BLOCK_SCHEMA = "n int, label binary, lengths binary, idx binary, val binary"
+# Rows per packed block of training data.
+DEFAULT_BLOCK_ROWS = 1 << 16
+
+
+def _pack_fn(block_rows: int):
+    """Partition function: rows of (label, indices, values) -> packed blocks.
+
+    A block holds up to ``block_rows`` rows as raw little-endian buffers
+    (labels, row lengths, flat indices, flat values); ``val`` is null when
+    every value in the block is 1.0 (one-hot data).
+    """
+
+    def run(batches):
+        ys, ls, fis, fvs, count = [], [], [], [], 0
+
+        def flush():
+            y = np.concatenate(ys)
+            fv = np.concatenate(fvs)
+            val = None if fv.size == 0 or bool(np.all(fv == 1.0)) else fv.tobytes()
+            return pa.RecordBatch.from_arrays(
+                [pa.array([y.shape[0]], pa.int32()), pa.array([y.tobytes()], pa.binary()),
+                 pa.array([np.concatenate(ls).tobytes()], pa.binary()),
+                 pa.array([np.concatenate(fis).tobytes()], pa.binary()),
+                 pa.array([val], pa.binary())],
+                names=["n", "label", "lengths", "idx", "val"])
+
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            ind, val = rb.column("indices"), rb.column("values")
+            ys.append(rb.column("label").to_numpy(zero_copy_only=False).astype(np.float64))
+            ls.append(ind.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                      .astype(np.int32))
+            fis.append(ind.flatten().to_numpy(zero_copy_only=False).astype(np.int32))
+            fvs.append(val.flatten().to_numpy(zero_copy_only=False).astype(np.float64))
+            count += rb.num_rows
+            if count >= block_rows:
+                yield flush()
+                ys, ls, fis, fvs, count = [], [], [], [], 0
+        if count:
+            yield flush()
+
+    return run
+
+
 def _gradient_fn(bc, d: int, intercept: bool):
-    """Partition function: Arrow batches of (label, indices, values) -> partial gradients."""
+    """Partition function: packed blocks -> partial gradients of every model.
+
+    Output rows ``(k, idx, g)``: model k's summed gradient at index idx (the
+    bias is idx = d). Dense accumulation per task when ``K * (d + 1)`` is
+    small, otherwise the touched indices of each block are emitted.
+    """
 
     def run(batches):
         W = bc.value  # (K, d + 1); column d is the bias
@@ -83,43 +136,40 @@ def _gradient_fn(bc, d: int, intercept: bool):
         dense = K * (d + 1) <= _DENSE_ACC_LIMIT
         acc = np.zeros((K, d + 1)) if dense else None
         for rb in batches:
-            n = rb.num_rows
-            if n == 0:
-                continue
-            y = rb.column("label").to_numpy(zero_copy_only=False)
-            ind = rb.column("indices")
-            val = rb.column("values")
-            lengths = ind.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            fi = ind.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            fv = val.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-            rows = np.repeat(np.arange(n), lengths)
-            if dense:
-                part = np.zeros((K, d + 1))
-            else:
-                uniq, inv = np.unique(fi, return_inverse=True)
-                part = np.zeros((K, uniq.shape[0] + 1))
-            with np.errstate(over="ignore"):
-                for k in range(K):
-                    margin = np.bincount(rows, weights=W[k, fi] * fv, minlength=n)
-                    if intercept:
-                        margin = margin + W[k, d]
-                    resid = 1.0 / (1.0 + np.exp(-margin)) - y
-                    contrib = resid[rows] * fv
-                    if dense:
-                        part[k, :d] = np.bincount(fi, weights=contrib, minlength=d)
-                        part[k, d] = resid.sum()
-                    else:
-                        part[k, :-1] = np.bincount(inv, weights=contrib, minlength=uniq.shape[0])
-                        part[k, -1] = resid.sum()
-            if dense:
-                acc += part
-            else:
-                ids = np.concatenate([uniq, [d]]).astype(np.int32)
-                for k in range(K):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(ids.shape[0], k, np.int32)), pa.array(ids),
-                         pa.array(part[k])], names=["k", "idx", "g"])
-        if dense and acc is not None:
+            cn, cy, cl, ci, cv = (rb.column(c) for c in ("n", "label", "lengths", "idx", "val"))
+            for j in range(rb.num_rows):
+                # zero-copy views of the block's buffers
+                nrows = cn[j].as_py()
+                y = np.frombuffer(cy[j].as_buffer(), np.float64)
+                lengths = np.frombuffer(cl[j].as_buffer(), np.int32)
+                fi = np.frombuffer(ci[j].as_buffer(), np.int32)
+                fv = None if not cv[j].is_valid else np.frombuffer(cv[j].as_buffer(), np.float64)
+                rows = np.repeat(np.arange(nrows), lengths)
+                if not dense:
+                    uniq, inv = np.unique(fi, return_inverse=True)
+                    part = np.zeros((K, uniq.shape[0] + 1))
+                with np.errstate(over="ignore"):
+                    for k in range(K):
+                        wk = W[k, fi] if fv is None else W[k, fi] * fv
+                        margin = np.bincount(rows, weights=wk, minlength=nrows)
+                        if intercept:
+                            margin = margin + W[k, d]
+                        resid = 1.0 / (1.0 + np.exp(-margin)) - y
+                        contrib = resid[rows] if fv is None else resid[rows] * fv
+                        if dense:
+                            acc[k, :d] += np.bincount(fi, weights=contrib, minlength=d)
+                            acc[k, d] += resid.sum()
+                        else:
+                            part[k, :-1] = np.bincount(inv, weights=contrib,
+                                                       minlength=uniq.shape[0])
+                            part[k, -1] = resid.sum()
+                if not dense:
+                    ids = np.concatenate([uniq, [d]]).astype(np.int32)
+                    for k in range(K):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(ids.shape[0], k, np.int32)), pa.array(ids),
+                             pa.array(part[k])], names=["k", "idx", "g"])
+        if dense:
             for k in range(K):
                 nz = np.flatnonzero(acc[k])
                 yield pa.RecordBatch.from_arrays(
@@ -131,7 +181,8 @@ def _gradient_fn(bc, d: int, intercept: bool):
 
 def fit_logistic_many(encoded: DataFrame, num_features: int, configs, iterations: int = 50,
                       intercept: bool = True, reg_type: str | None = "l2",
-                      tol: float = 1e-3) -> list[LogisticModel]:
+                      tol: float = 1e-3, block_rows: int = DEFAULT_BLOCK_ROWS
+                      ) -> list[LogisticModel]:
     """Fit one model per ``(step_size, reg_param)`` in ``configs``, sharing each data pass."""
     if reg_type not in ("l2", None):
         raise ValueError("reg_type must be 'l2' or None")
@@ -140,12 +191,20 @@ def fit_logistic_many(encoded: DataFrame, num_features: int, configs, iterations
     d = int(num_features)
     configs = [(float(s), float(r)) for s, r in configs]
     K = len(configs)
-    data = encoded.select(F.col("label").cast("double").alias("label"),
+    rows = encoded.select(F.col("label").cast("double").alias("label"),
                           F.col("indices").cast("array<int>").alias("indices"),
-                          F.col("values").cast("array<double>").alias("values")
-                          ).persist(StorageLevel.MEMORY_AND_DISK)
+                          F.col("values").cast("array<double>").alias("values"))
+    # Fewer input partitions than task slots would leave cores idle in every
+    # iteration: spread the rows once before packing.
+    slots = sc.defaultParallelism
+    if rows.rdd.getNumPartitions() < slots:
+        rows = rows.repartition(slots)
+    # Packed once and cached: each iteration then hands a few large buffers per
+    # partition to Python instead of converting every row to Arrow again.
+    data = rows.mapInArrow(_pack_fn(block_rows), _BLOCK_SCHEMA).persist(
+        StorageLevel.MEMORY_AND_DISK)
     try:
-        n = data.count()
+        n = int(data.agg(F.sum("n")).first()[0] or 0)
         num_parts = data.rdd.getNumPartitions()
         W = np.zeros((K, d + 1))
         if intercept:

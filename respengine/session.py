@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,8 +64,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into the reliable checkpoint folder and cut its lineage.
 
-    Used where a result must stay identical across later jobs (numbered
-    dictionaries) or where lineage would otherwise be recomputed many times.
+    Written as a parquet table in one job (an eager ``checkpoint()`` would run
+    the plan twice: once to count, once to write) and read back. Used where a
+    result must stay identical across later jobs (numbered dictionaries) or
+    where lineage would otherwise be recomputed many times.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    folder = ensure_checkpoint_dir(df.sparkSession)
+    path = f"{folder.rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return df.sparkSession.read.parquet(path)

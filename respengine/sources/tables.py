@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import feature_array
+from ..functions.columns import feature_array, positional
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,7 +23,7 @@ def table_observations(df: DataFrame, row_id: Column, label: Column,
     """``(row_id, label, feats)`` from any frame; features keep ``''`` as a category."""
     return df.select(row_id.cast("bigint").alias("row_id"),
                      label.cast("double").alias("label"),
-                     feature_array(features).alias("feats"))
+                     positional(feature_array(features)))
 
 
 def ctr_event_features() -> list[Column]:

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import parse_features, parse_label, split_fields, strip_line
+from ..functions.columns import (parse_features, parse_label, positional, split_fields,
+                                strip_line)
 
 FEATS_TYPE = T.ArrayType(T.StructType([
     T.StructField("feature_id", T.IntegerType(), False),
@@ -44,7 +45,7 @@ def parse_lines(lines: DataFrame, line_col: str = "line", row_id_col: str = "row
     return stripped.select(
         "row_id",
         parse_label(fields[0]).alias("label"),
-        parse_features(fields).alias("feats"),
+        positional(parse_features(fields)),
     )
 
 
@@ -93,4 +94,5 @@ def sample_observations(spark: SparkSession) -> DataFrame:
     """The reference's inline three-row sample as an observation frame (label 1.0)."""
     rows = [(rid, 1.0, [{"feature_id": f, "category": c} for f, c in feats])
             for rid, feats in SAMPLE_ROWS]
-    return spark.createDataFrame(rows, OBS_SCHEMA)
+    df = spark.createDataFrame(rows, OBS_SCHEMA)
+    return df.select("row_id", "label", positional("feats"))
