@@ -159,3 +159,20 @@ def sparse_from_dense(dense, threshold: float = 0.0) -> tuple[Column, Column]:
         F.transform(dense, lambda x, i: F.struct(i.alias("i"), x.cast("double").alias("v"))),
         lambda s: F.abs(s["v"]) > F.lit(threshold))
     return F.transform(kept, lambda s: s["i"]), F.transform(kept, lambda s: s["v"])
+
+
+def sparse_vector(entries) -> Column:
+    """``struct(indices, values)`` from an array of ``struct(idx, value)`` entries.
+
+    Entries are sorted by index, as the dict form of a sparse vector sorts its
+    keys; a repeated index fails, as a sparse vector needs strictly increasing
+    indices.
+    """
+    ordered = F.array_sort(_col(entries), lambda a, b: F.when(a["idx"] < b["idx"], -1)
+                           .when(a["idx"] > b["idx"], 1).otherwise(0))
+    idx = F.transform(ordered, lambda e: e["idx"].cast("int"))
+    checked = F.when(F.size(F.array_distinct(idx)) != F.size(idx),
+                     F.raise_error(F.lit("sparse vector indices are not strictly increasing"))
+                     ).otherwise(idx)
+    return F.struct(checked.alias("indices"),
+                    F.transform(ordered, lambda e: e["value"].cast("double")).alias("values"))

@@ -44,7 +44,8 @@ class Dictionary:
 
     def hot_keys(self) -> DataFrame:
         """Pairs frequent enough to skew a shuffle; bounded by ``hot_threshold``."""
-        return self.df.where(F.col("n") >= F.lit(hot_threshold(self.total)))
+        return (self.df.where(F.col("n") >= F.lit(hot_threshold(self.total)))
+                .select("feature_id", "category", "idx"))
 
     def table(self) -> DataFrame:
         return self.df.select("feature_id", "category", "idx")
@@ -121,22 +122,31 @@ def lookup(dictionary: Dictionary, feature_id: int, category: str) -> DataFrame:
             .where((F.col("feature_id") == F.lit(feature_id)) & (F.col("category") == F.lit(category))))
 
 
-def one_hot_encode(obs: DataFrame, dictionary: Dictionary, unseen: str = "skip") -> DataFrame:
+def one_hot_encode(obs: DataFrame, dictionary: Dictionary, unseen: str = "skip",
+                   max_broadcast_rows: int | None = None) -> DataFrame:
     """Encode observations with a dictionary: one 1.0 per known pair.
 
     ``unseen='skip'`` drops unknown pairs (an observation with none known is an
     empty vector and stays); ``unseen='error'`` fails on the first unknown pair.
     A pair repeated within one observation fails in both modes.
+
+    Plans: a dictionary within ``max_broadcast_rows`` (default
+    ``respengine.broadcastMaxRows``) is broadcast, and positional observations
+    are then encoded without any shuffle. Otherwise the pairs are exploded and
+    joined through a shuffle in which hot pairs are salted, then regrouped by
+    row (partial aggregation collapses each row before the shuffle).
     """
     if unseen not in ("skip", "error"):
         raise ValueError("unseen must be 'skip' or 'error'")
     spark = obs.sparkSession
-    if (is_positional(obs) and dictionary.size <= broadcast_row_limit(spark)
+    limit = broadcast_row_limit(spark) if max_broadcast_rows is None else max_broadcast_rows
+    if (is_positional(obs) and dictionary.size <= limit
             and 0 < len(dictionary.feature_ids) <= MAX_POSITIONAL_FEATURES):
         return _encode_positional(obs, dictionary, unseen)
     long = to_long(obs, keep_empty=True)
     joined = lookup_join(long, dictionary.table(), ["feature_id", "category"],
-                         table_rows=dictionary.size, hot_keys=dictionary.hot_keys())
+                         table_rows=dictionary.size, hot_keys=dictionary.hot_keys(),
+                         max_broadcast_rows=limit)
     idx = F.col("idx")
     if unseen == "error":
         idx = F.when(

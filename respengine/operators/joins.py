@@ -38,7 +38,8 @@ def lookup_join(left: DataFrame, table: DataFrame, keys: list[str], *, table_row
     """Left join ``left`` to ``table`` (unique on ``keys``); unmatched rows get nulls.
 
     ``table_rows`` is the exact size of ``table``; ``hot_keys`` (bounded) lists
-    keys that may be heavily repeated on the left.
+    keys that may be heavily repeated on the left, either as keys only or as
+    the matching rows of ``table`` itself.
     """
     spark = left.sparkSession
     limit = broadcast_row_limit(spark) if max_broadcast_rows is None else max_broadcast_rows
@@ -49,9 +50,12 @@ def lookup_join(left: DataFrame, table: DataFrame, keys: list[str], *, table_row
         return left.join(table, keys, "left")
 
     values = [c for c in table.columns if c not in keys]
-    hot = (table.join(hot_keys.select(*keys).distinct(), keys, "left_semi")
-           .select(*keys, *[F.col(c).alias(f"_hot_{c}") for c in values],
-                   F.lit(True).alias("_is_hot")))
+    if set(table.columns) <= set(hot_keys.columns):
+        hot_rows = hot_keys.select(*table.columns)  # already the hot rows of the table
+    else:
+        hot_rows = table.join(F.broadcast(hot_keys.select(*keys)), keys, "left_semi")
+    hot = hot_rows.select(*keys, *[F.col(c).alias(f"_hot_{c}") for c in values],
+                          F.lit(True).alias("_is_hot"))
     tagged = left.join(F.broadcast(hot), keys, "left")
     # Hot rows get a salt in 1..S that never matches the table side (salt 0), so
     # the shuffle spreads them over S partitions and they keep their broadcast value.

@@ -275,7 +275,8 @@ def _weights_table(spark: SparkSession, models: list[LogisticModel]) -> DataFram
 
 
 def predict_many(models: list[LogisticModel], encoded: DataFrame,
-                 hot_idx: DataFrame | None = None) -> DataFrame:
+                 hot_idx: DataFrame | None = None,
+                 max_broadcast_rows: int | None = None) -> DataFrame:
     """``(row_id, label, score_0 .. score_{K-1})``: clamped sigmoid of ``x.w + b`` per model.
 
     One lookup join and one per-row sum serve all models. Rows without stored
@@ -289,11 +290,13 @@ def predict_many(models: list[LogisticModel], encoded: DataFrame,
         "row_id", "label",
         F.inline_outer(F.zip_with("indices", "values",
                                   lambda i, v: F.struct(i.alias("idx"), v.alias("value")))))
-    if hot_idx is None and table_rows > broadcast_row_limit(spark):
+    limit = broadcast_row_limit(spark) if max_broadcast_rows is None else max_broadcast_rows
+    if hot_idx is None and table_rows > limit:
         counts = long.where(F.col("idx").isNotNull()).groupBy("idx").agg(F.count(F.lit(1)).alias("n"))
         total = counts.agg(F.sum("n")).first()[0] or 0
         hot_idx = counts.where(F.col("n") >= F.lit(hot_threshold(total))).select("idx")
-    joined = lookup_join(long, table, ["idx"], table_rows=table_rows, hot_keys=hot_idx)
+    joined = lookup_join(long, table, ["idx"], table_rows=table_rows, hot_keys=hot_idx,
+                         max_broadcast_rows=limit)
     sums = [F.coalesce(F.sum(F.col("value") * F.col(f"w_{k}")), F.lit(0.0)).alias(f"m_{k}")
             for k in range(K)]
     margins = joined.groupBy("row_id", "label").agg(*sums)
@@ -304,9 +307,10 @@ def predict_many(models: list[LogisticModel], encoded: DataFrame,
 
 
 def predict(model: LogisticModel, encoded: DataFrame,
-            hot_idx: DataFrame | None = None) -> DataFrame:
+            hot_idx: DataFrame | None = None, max_broadcast_rows: int | None = None) -> DataFrame:
     """``(row_id, label, score)`` for one model."""
-    return predict_many([model], encoded, hot_idx).withColumnRenamed("score_0", "score")
+    return (predict_many([model], encoded, hot_idx, max_broadcast_rows)
+            .withColumnRenamed("score_0", "score"))
 
 
 def smallest_weights(model: LogisticModel, spark: SparkSession, k: int = 5,

@@ -183,6 +183,7 @@ FROM cel WHERE split = 'train' GROUP BY feature_id ORDER BY feature_id"""
     q["ohe_encode_train"] = f"WITH {ohe_ctes()}\nSELECT row_id, label, idx, value FROM ohe_train"
     q["ohe_encode_validation"] = (f"WITH {ohe_ctes()}\n"
                                   f"SELECT row_id, label, idx, value FROM ohe_validation")
+    q["ohe_encode_validation_shuffled"] = q["ohe_encode_validation"]
     q["ohe_empty_rows"] = f"""WITH {ohe_ctes()},
 r AS (SELECT * FROM rows_validation UNION ALL SELECT * FROM rows_test),
 o AS (SELECT * FROM ohe_validation UNION ALL SELECT * FROM ohe_test)
@@ -275,6 +276,7 @@ SELECT split, {r6(f'avg({log_loss_sql(rate, "label")})')} AS log_loss FROM ces G
                              f"WHERE idx >= 0 ORDER BY round(w, 6), idx LIMIT 5")
     q["predict_scores"] = (f"WITH {ohe_fit()},\n{predict_cte('pv', 'f', 'rows_validation', 'ohe_validation')}\n"
                            f"SELECT row_id, label, {r6('score')} AS score FROM pv")
+    q["predict_scores_shuffled"] = q["predict_scores"]
     evals = []
     for s in ("train", "validation", "test"):
         evals.append(predict_cte(f"p_{s}", "f", f"rows_{s}", f"ohe_{s}"))

@@ -41,6 +41,16 @@ def split_observations(obs: DataFrame, weights=SPLIT_WEIGHTS, seed: int = SPLIT_
     return Splits(tr, va, te)
 
 
+def featurize_ohe(obs: DataFrame, dictionary: Dictionary, unseen: str = "skip") -> DataFrame:
+    """Parsed observations -> labelled one-hot rows ``(row_id, label, indices, values)``."""
+    return one_hot_encode(obs, dictionary, unseen=unseen)
+
+
+def featurize_hash(obs: DataFrame, num_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Parsed observations -> labelled hashed rows; needs no dictionary and no shuffle."""
+    return hash_features(obs, num_buckets)
+
+
 @dataclass
 class OheResult:
     dictionary: Dictionary
@@ -113,5 +123,5 @@ def release(*frames: DataFrame) -> None:
         f.unpersist()
 
 
-__all__ = ["Splits", "split_observations", "ohe_pipeline", "ohe_report", "hashed_pipeline",
-           "final_report", "OheResult", "HashResult"]
+__all__ = ["Splits", "split_observations", "featurize_ohe", "featurize_hash", "ohe_pipeline",
+           "ohe_report", "hashed_pipeline", "final_report", "OheResult", "HashResult"]

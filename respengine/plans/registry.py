@@ -125,6 +125,14 @@ def q_ohe_encode_validation(spark, sf):
     return encoded_long(one_hot_encode(s.validation, build_dictionary(s.train), unseen="skip"))
 
 
+def q_ohe_encode_validation_shuffled(spark, sf):
+    """Same result through the large-dictionary plan: explode, salted shuffle join, regroup."""
+    s = _splits(spark, sf)
+    enc = one_hot_encode(s.validation, build_dictionary(s.train), unseen="skip",
+                         max_broadcast_rows=0)
+    return encoded_long(enc)
+
+
 def q_ohe_empty_rows(spark, sf):
     s = _splits(spark, sf)
     d = build_dictionary(s.train)
@@ -241,6 +249,12 @@ def q_predict_scores(spark, sf):
     return rounded(predict(res.model, res.validation))
 
 
+def q_predict_scores_shuffled(spark, sf):
+    """Same scores through the large-model plan (shuffled weight join, hot indices salted)."""
+    res = _ohe(spark, sf)
+    return rounded(predict(res.model, res.validation, max_broadcast_rows=0))
+
+
 def q_evaluate_log_loss(spark, sf):
     s = _splits(spark, sf)
     res = ohe_pipeline(s, iterations=CHECK_ITERATIONS)
@@ -294,6 +308,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ohe_lookup": q_ohe_lookup,
     "ohe_encode_train": q_ohe_encode_train,
     "ohe_encode_validation": q_ohe_encode_validation,
+    "ohe_encode_validation_shuffled": q_ohe_encode_validation_shuffled,
     "ohe_empty_rows": q_ohe_empty_rows,
     "doc_quality_dictionary": q_doc_quality_dictionary,
     "doc_quality_encode_test": q_doc_quality_encode_test,
@@ -311,6 +326,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fit_3_iterations": q_fit_3_iterations,
     "smallest_weights": q_smallest_weights,
     "predict_scores": q_predict_scores,
+    "predict_scores_shuffled": q_predict_scores_shuffled,
     "evaluate_log_loss": q_evaluate_log_loss,
     "roc_curve": q_roc_curve,
     "grid_search": q_grid_search,

@@ -83,3 +83,13 @@ def test_sparse_dot_empty_is_zero(spark):
     df = spark.createDataFrame([([], [], [1.0])], "i array<int>, v array<double>, w array<double>")
     assert df.select(sparse_dot("i", "v", "w")).first()[0] == 0.0
     assert df.select(F.lit(1)).count() == 1
+
+
+def test_sparse_vector_sorts_and_rejects_repeats(spark):
+    from respengine.functions.columns import sparse_vector
+    df = spark.createDataFrame([([(3, 4.0), (1, 3.0)],)], "e array<struct<idx:int,value:double>>")
+    row = df.select(sparse_vector("e").alias("v")).first()["v"]
+    assert row["indices"] == [1, 3] and row["values"] == [3.0, 4.0]
+    bad = spark.createDataFrame([([(1, 1.0), (1, 2.0)],)], "e array<struct<idx:int,value:double>>")
+    with pytest.raises(Exception, match="strictly increasing"):
+        bad.select(sparse_vector("e")).collect()
