@@ -71,8 +71,9 @@ def main() -> None:
     model = timed("ohe_fit_50", lambda: fit_logistic_gd(tr, d.size, **OHE_FIT))
     # 6. baseline and model log loss on train and validation
     rate = base_rate_value(tr)
-    timed("ohe_evaluate", lambda: ([baseline_log_loss(rate, f).first() for f in (tr, va)],
-                                   [evaluate_many([model], f) for f in (tr, va)]))
+    ohe_eval = timed("ohe_evaluate", lambda: (
+        [baseline_log_loss(rate, f).first()[0] for f in (tr, va)],
+        [evaluate_many([model], f)[0] for f in (tr, va)]))
     # 7. ROC on validation
     timed("roc_curve", lambda: roc_curve(predict(model, va)).collect())
     # 8. hashed features for all splits
@@ -83,26 +84,35 @@ def main() -> None:
     grid, best = timed("hash_grid", lambda: grid_search(hashed[0], hashed[1], DEFAULT_BUCKETS,
                                                         GRID_STEPS, GRID_REGS, GRID_ITERATIONS))
     # 10. best model and baseline on test
-    timed("final_report", lambda: (baseline_log_loss(rate, hashed[2]).first(),
-                                   evaluate_many([best], hashed[2])))
+    final = timed("final_report", lambda: (baseline_log_loss(rate, hashed[2]).first()[0],
+                                           evaluate_many([best], hashed[2])[0]))
     # 11. wider labelled set: dictionary, encoding and 50-iteration fit on lineitem
     def lineitem():
         ls = split_observations(lineitem_returns(spark, sf_dir))
         ld = build_dictionary(ls.train)
         enc = one_hot_encode(ls.train, ld).persist(MEM)
         mdl = fit_logistic_gd(enc, ld.size, **OHE_FIT)
-        ll = evaluate_many([mdl], one_hot_encode(ls.validation, ld))
+        ll = evaluate_many([mdl], one_hot_encode(ls.validation, ld))[0]
         enc.unpersist()
         return ll
-    timed("lineitem_ohe", lineitem)
+    li_ll = timed("lineitem_ohe", lineitem)
 
     for f in [tr, va, *hashed]:
         f.unpersist()
     total = round(sum(times.values()), 3)
+    grid_rows = grid.collect()
+    quality = {
+        "ohe_dictionary_size": d.size,
+        "ohe_train_log_loss": {"baseline": ohe_eval[0][0], "logreg": ohe_eval[1][0]},
+        "ohe_validation_log_loss": {"baseline": ohe_eval[0][1], "logreg": ohe_eval[1][1]},
+        "hash_grid_validation_log_loss": {f"step={r['step_size']:g},reg={r['reg_param']:.0e}":
+                                          r["log_loss"] for r in grid_rows},
+        "hash_grid_iterations": [r["iterations"] for r in grid_rows],
+        "hash_test_log_loss": {"baseline": final[0], "logreg": final[1]},
+        "lineitem_validation_log_loss": li_ll,
+    }
     print(json.dumps({"metric": "total_sec", "value": total, "unit": "sec", "queries": times,
-                      "sf": sf, "rows": {"events": obs.count()},
-                      "grid": [[r["step_size"], r["reg_param"], r["iterations"]]
-                               for r in grid.collect()]}))
+                      "sf": sf, "rows": {"events": obs.count()}, "quality": quality}))
     spark.stop()
 
 

@@ -93,6 +93,7 @@ def build_dictionary(obs: DataFrame, num_partitions: int | None = None) -> Dicti
     # Frozen in the reliable checkpoint folder: range bounds, partition ids and
     # positions stay identical for every later use of the dictionary.
     ranged = materialize(ranged)
+    # one row per feature position (bounded by the width of an observation)
     feature_ids = tuple(sorted(r[0] for r in counts.select("feature_id").distinct().collect()))
     counts.unpersist()
     per_part = (ranged.groupBy("_part")

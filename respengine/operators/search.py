@@ -49,6 +49,7 @@ def reg_column_name(reg: float) -> str:
 def pivot_grid(results: DataFrame, reg_params=None) -> DataFrame:
     """Surface table: one row per step size, one column per regulariser."""
     if reg_params is None:
+        # one row per grid column
         reg_params = sorted(r[0] for r in results.select("reg_param").distinct().collect())
     reg_params = [float(r) for r in reg_params]
     piv = (results.groupBy("step_size").pivot("reg_param", reg_params)
