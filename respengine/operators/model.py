@@ -194,17 +194,22 @@ def fit_logistic_many(encoded: DataFrame, num_features: int, configs, iterations
     rows = encoded.select(F.col("label").cast("double").alias("label"),
                           F.col("indices").cast("array<int>").alias("indices"),
                           F.col("values").cast("array<double>").alias("values"))
-    # Fewer input partitions than task slots would leave cores idle in every
-    # iteration: spread the rows once before packing.
-    slots = sc.defaultParallelism
-    if rows.rdd.getNumPartitions() < slots:
-        rows = rows.repartition(slots)
     # Packed once and cached: each iteration then hands a few large buffers per
     # partition to Python instead of converting every row to Arrow again.
     data = rows.mapInArrow(_pack_fn(block_rows), _BLOCK_SCHEMA).persist(
         StorageLevel.MEMORY_AND_DISK)
     try:
-        n = int(data.agg(F.sum("n")).first()[0] or 0)
+        stats = data.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("blocks")).first()
+        n, num_blocks = int(stats["rows"] or 0), int(stats["blocks"])
+        # Blocks are the unit of work: spread them when they sit in fewer
+        # partitions than there are blocks and task slots (a one-off shuffle of
+        # a few large rows), so small inputs do not fan out into empty tasks.
+        want = min(num_blocks, sc.defaultParallelism)
+        if data.rdd.getNumPartitions() < want:
+            spread = data.repartition(want).persist(StorageLevel.MEMORY_AND_DISK)
+            spread.count()
+            data.unpersist()
+            data = spread
         num_parts = data.rdd.getNumPartitions()
         W = np.zeros((K, d + 1))
         if intercept:
