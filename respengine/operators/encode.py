@@ -50,6 +50,10 @@ class Dictionary:
     def table(self) -> DataFrame:
         return self.df.select("feature_id", "category", "idx")
 
+    def release(self) -> None:
+        """Drop the cached copy (the numbered table stays in the checkpoint folder)."""
+        self.df.unpersist()
+
 
 def to_long(obs: DataFrame, keep_empty: bool = False) -> DataFrame:
     """One row per feature: ``(row_id, label, feature_id, category)``.

@@ -107,7 +107,10 @@ def _pack_fn(block_rows: int):
             if rb.num_rows == 0:
                 continue
             ind, val = rb.column("indices"), rb.column("values")
-            ys.append(rb.column("label").to_numpy(zero_copy_only=False).astype(np.float64))
+            y = rb.column("label").to_numpy(zero_copy_only=False).astype(np.float64)
+            if not np.all((y == 0.0) | (y == 1.0)):
+                raise ValueError("labels must be 0 or 1")
+            ys.append(y)
             ls.append(ind.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
                       .astype(np.int32))
             fis.append(ind.flatten().to_numpy(zero_copy_only=False).astype(np.int32))
@@ -297,7 +300,10 @@ def predict_many(models: list[LogisticModel], encoded: DataFrame,
                                   lambda i, v: F.struct(i.alias("idx"), v.alias("value")))))
     limit = broadcast_row_limit(spark) if max_broadcast_rows is None else max_broadcast_rows
     if hot_idx is None and table_rows > limit:
-        counts = long.where(F.col("idx").isNotNull()).groupBy("idx").agg(F.count(F.lit(1)).alias("n"))
+        # Entry counts per index (at most one row per weight), cached for the
+        # total and the hot list; the hot list is bounded by ``hot_threshold``.
+        counts = (long.where(F.col("idx").isNotNull()).groupBy("idx")
+                  .agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK))
         total = counts.agg(F.sum("n")).first()[0] or 0
         hot_idx = counts.where(F.col("n") >= F.lit(hot_threshold(total))).select("idx")
     joined = lookup_join(long, table, ["idx"], table_rows=table_rows, hot_keys=hot_idx,

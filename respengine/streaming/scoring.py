@@ -16,22 +16,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.columns import positional
 from ..operators.hashing import DEFAULT_BUCKETS, hash_features
 from ..operators.model import LogisticModel, predict
 from ..session import ensure_checkpoint_dir
-from ..sources.tables import ctr_event_features
+from ..sources.tables import ctr_event_features, table_observations
 
 
 def ctr_event_stream(spark: SparkSession, path: str, schema) -> DataFrame:
     """Click observations over a stream of ``events`` files (same view as the batch one)."""
     ev = spark.readStream.schema(schema).parquet(path)
-    feats = F.array(*[F.struct(F.lit(i).cast("int").alias("feature_id"),
-                               F.coalesce(c.cast("string"), F.lit("")).alias("category"))
-                      for i, c in enumerate(ctr_event_features())])
-    return ev.select(F.col("event_id").cast("bigint").alias("row_id"),
-                     F.when(F.col("event_type") == "click", 1.0).otherwise(0.0).alias("label"),
-                     positional(feats))
+    return table_observations(ev, F.col("event_id"),
+                              F.when(F.col("event_type") == "click", 1).otherwise(0),
+                              ctr_event_features())
 
 
 def hashed_stream(obs: DataFrame, num_buckets: int = DEFAULT_BUCKETS) -> DataFrame:

@@ -114,3 +114,10 @@ def test_hashed_fit_sparse_accumulation(spark, monkeypatch):
     sparse = fit_logistic_gd(h, 2 ** 15, iterations=3)
     assert np.allclose(dense.weights, sparse.weights, atol=1e-13)
     assert h.where(F.size("indices") == 0).count() == 0
+
+
+def test_labels_must_be_binary(spark):
+    bad = spark.createDataFrame([(1, 2.0, [0], [1.0])],
+                                "row_id long, label double, indices array<int>, values array<double>")
+    with pytest.raises(Exception, match="labels must be 0 or 1"):
+        fit_logistic_gd(bad, 4, iterations=1)
