@@ -81,14 +81,18 @@ def test_salted_join_path_matches_broadcast(spark):
     d = build_dictionary(tr)
     want = {(r[0], r[2]) for r in encoded_long(one_hot_encode(va, d)).collect()}
     spark.conf.set("respengine.broadcastMaxRows", "0")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
         enc = one_hot_encode(va, d)
         got = {(r[0], r[2]) for r in encoded_long(enc).collect()}
         plan = enc._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.unset("respengine.broadcastMaxRows")
+        for k in ("respengine.broadcastMaxRows", "spark.sql.autoBroadcastJoinThreshold",
+                  "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.unset(k)
     assert got == want
-    assert "_salt" in plan
+    assert "_salt" in plan and "SortMergeJoin" in plan
 
 
 def test_hash_split_sizes(spark):

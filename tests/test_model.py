@@ -78,10 +78,17 @@ def test_predict_paths_agree(spark, ohe):
     m = fit_logistic_gd(enc, d, iterations=5)
     want = {r[0]: r[2] for r in predict(m, va).collect()}
     spark.conf.set("respengine.broadcastMaxRows", "0")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        got = {r[0]: r[2] for r in predict(m, va).collect()}
+        scored = predict(m, va)
+        got = {r[0]: r[2] for r in scored.collect()}
+        plan = scored._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.unset("respengine.broadcastMaxRows")
+        for k in ("respengine.broadcastMaxRows", "spark.sql.autoBroadcastJoinThreshold",
+                  "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.unset(k)
+    assert "SortMergeJoin" in plan
     assert want.keys() == got.keys()
     assert max(abs(want[k] - got[k]) for k in want) < 1e-12
     ll = evaluate_log_loss(m, va).first()[0]
