@@ -292,9 +292,9 @@ cum AS (
   SELECT score, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp,
          sum(pos) OVER () AS tpos, sum(neg) OVER () AS tneg
   FROM pts WINDOW w AS (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
-SELECT {r6('score')} AS score, tp::BIGINT AS tp, fp::BIGINT AS fp,
-       {r6('CASE WHEN tpos = 0 THEN NULL ELSE tp / tpos END')} AS tpr,
-       {r6('CASE WHEN tneg = 0 THEN NULL ELSE fp / tneg END')} AS fpr
+SELECT score + 0.0 AS score, tp::BIGINT AS tp, fp::BIGINT AS fp,
+       {r6('CASE WHEN tpos = 0 THEN NULL ELSE tp / tpos END', 9)} AS tpr,
+       {r6('CASE WHEN tneg = 0 THEN NULL ELSE fp / tneg END', 9)} AS fpr
 FROM cum"""
 
     # one-hot report
