@@ -41,6 +41,8 @@ _DENSE_ACC_LIMIT = 1 << 22
 # stays under this bound; beyond it a grouped sum on the index reduces them first.
 _DIRECT_REDUCE_LIMIT = 1 << 22
 _GRAD_SCHEMA = "k int, idx int, g double"
+# Bound on the weights broadcast per iteration (all models of one pass).
+DEFAULT_WEIGHT_BROADCAST_BYTES = 1 << 30
 
 
 @dataclass
@@ -184,11 +186,26 @@ def _gradient_fn(bc, d: int, intercept: bool):
 
 def fit_logistic_many(encoded: DataFrame, num_features: int, configs, iterations: int = 50,
                       intercept: bool = True, reg_type: str | None = "l2",
-                      tol: float = 1e-3, block_rows: int = DEFAULT_BLOCK_ROWS
+                      tol: float = 1e-3, block_rows: int = DEFAULT_BLOCK_ROWS,
+                      max_broadcast_bytes: int = DEFAULT_WEIGHT_BROADCAST_BYTES
                       ) -> list[LogisticModel]:
-    """Fit one model per ``(step_size, reg_param)`` in ``configs``, sharing each data pass."""
+    """Fit one model per ``(step_size, reg_param)`` in ``configs``, sharing each data pass.
+
+    The weights of all models in a pass are broadcast every iteration; when
+    ``models x (d + 1) x 8`` bytes would exceed ``max_broadcast_bytes``, the
+    models are fitted in consecutive groups that stay under it.
+    """
     if reg_type not in ("l2", None):
         raise ValueError("reg_type must be 'l2' or None")
+    configs = list(configs)
+    per_pass = max(1, int(max_broadcast_bytes // (8 * (int(num_features) + 1))))
+    if len(configs) > per_pass:
+        out: list[LogisticModel] = []
+        for start in range(0, len(configs), per_pass):
+            out.extend(fit_logistic_many(encoded, num_features, configs[start:start + per_pass],
+                                         iterations, intercept, reg_type, tol, block_rows,
+                                         max_broadcast_bytes))
+        return out
     spark = encoded.sparkSession
     sc = spark.sparkContext
     d = int(num_features)

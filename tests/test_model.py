@@ -56,6 +56,9 @@ def test_many_equals_single(spark, ohe):
     enc, _, d = ohe
     configs = [(1.0, 1e-6), (10.0, 1e-3)]
     many = fit_logistic_many(enc, d, configs, iterations=6)
+    grouped = fit_logistic_many(enc, d, configs, iterations=6, max_broadcast_bytes=8 * (d + 1))
+    for a, b in zip(many, grouped):
+        assert np.array_equal(a.weights, b.weights)
     for m, (s, r) in zip(many, configs):
         one = fit_logistic_gd(enc, d, iterations=6, step_size=s, reg_param=r)
         assert np.allclose(m.weights, one.weights, atol=1e-12)
