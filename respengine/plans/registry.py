@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +20,7 @@ from ..operators.encode import (build_dictionary, categories_per_feature, distin
 from ..operators.evaluate import (base_rate, base_rate_value, baseline_log_loss,
                                   evaluate_many, roc_curve)
 from ..operators.hashing import DEFAULT_BUCKETS, hash_features, md5_buckets_long
+from ..operators.joins import hot_threshold, lookup_join
 from ..operators.model import predict, smallest_weights
 from ..operators.profile import count_histogram, feature_counts, sparsity
 from ..operators.search import grid_search, pivot_grid
@@ -211,11 +212,23 @@ def q_dot_products(spark, sf):
 
 
 def q_log_loss_scalar(spark, sf):
-    obs = read_table(spark, sf, "events").select(
+    """Log loss of each event against its (user, hour) click fraction (0 and 1 occur).
+
+    The fractions are a partial + final aggregate joined back through the
+    skew-safe lookup join, so a user holding a third of all events is never
+    one task's group.
+    """
+    ev = read_table(spark, sf, "events").select(
         F.col("event_id").alias("row_id"), "user_id", F.hour("ts").alias("hour"),
         F.when(F.col("event_type") == "click", 1).otherwise(0).alias("label"))
-    w = Window.partitionBy("user_id", "hour")
-    with_p = obs.withColumn("p", F.avg(F.col("label").cast("double")).over(w))
+    groups = (ev.groupBy("user_id", "hour")
+              .agg(F.avg(F.col("label").cast("double")).alias("p"), F.count(F.lit(1)).alias("n"))
+              .persist())
+    stats = groups.agg(F.count(F.lit(1)).alias("g"), F.sum("n").alias("t")).first()
+    hot = groups.where(F.col("n") >= F.lit(hot_threshold(stats["t"] or 0))).select(
+        "user_id", "hour", "p")
+    with_p = lookup_join(ev, groups.select("user_id", "hour", "p"), ["user_id", "hour"],
+                         table_rows=int(stats["g"]), hot_keys=hot)
     return rounded(with_p.select("row_id", "p", F.col("label").cast("int"),
                                  log_loss(F.col("p"), F.col("label")).alias("log_loss")))
 
