@@ -9,6 +9,7 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.encode import Dictionary, build_dictionary, one_hot_encode
 from ..operators.evaluate import (base_rate_value, baseline_log_loss, evaluate_many,
@@ -17,7 +18,8 @@ from ..operators.hashing import DEFAULT_BUCKETS, hash_features
 from ..operators.model import LogisticModel, fit_logistic_gd
 from ..operators.profile import sparsity
 from ..operators.search import grid_search
-from ..operators.split import split_frames
+from ..operators.split import hash_split, split_frames
+from ..session import materialize
 
 # The reference's settings.
 SPLIT_WEIGHTS = (0.8, 0.1, 0.1)
@@ -35,10 +37,32 @@ class Splits:
     test: DataFrame
 
 
-def split_observations(obs: DataFrame, weights=SPLIT_WEIGHTS, seed: int = SPLIT_SEED) -> Splits:
-    """Hash split of an observation frame into train / validation / test."""
-    tr, va, te = split_frames(obs, "row_id", weights, seed)
-    return Splits(tr, va, te)
+def split_observations(obs: DataFrame, weights=SPLIT_WEIGHTS, seed: int = SPLIT_SEED,
+                       storage: str | None = "cache") -> Splits:
+    """Hash split of an observation frame into train / validation / test.
+
+    The source is read once: the split tag is computed in one pass and the
+    tagged observations are kept, so each split (and every later pass over it)
+    is a filter over that copy instead of a fresh scan of the whole source (an
+    md5 filter cannot be pushed into the scan). ``storage='cache'`` persists
+    them (memory, then local disk; lost blocks are recomputed from the source
+    partitions they came from); ``storage='table'`` writes them once to the
+    checkpoint folder partitioned by split, so each split reads only its own
+    folder; ``None`` keeps three independent filters of the source.
+    """
+    names = ("train", "validation", "test")
+    if storage is None:
+        tr, va, te = split_frames(obs, "row_id", weights, seed, names)
+        return Splits(tr, va, te)
+    if storage not in ("cache", "table"):
+        raise ValueError("storage must be 'cache', 'table' or None")
+    tagged = hash_split(obs, "row_id", weights, seed, names, col="split")
+    if storage == "cache":
+        tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
+    else:
+        tagged = materialize(tagged, partition_by="split")
+    parts = [tagged.where(F.col("split") == F.lit(n)).drop("split") for n in names]
+    return Splits(*parts)
 
 
 def featurize_ohe(obs: DataFrame, dictionary: Dictionary, unseen: str = "skip") -> DataFrame:

@@ -61,7 +61,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """Compute ``df`` once into the reliable checkpoint folder and cut its lineage.
 
     Written as a parquet table in one job (an eager ``checkpoint()`` would run
@@ -71,5 +71,11 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     folder = ensure_checkpoint_dir(df.sparkSession)
     path = f"{folder.rstrip('/')}/tables/{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    writer = df.write.mode("error")
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    # Column metadata (e.g. the positional marker on ``feats``) is kept in the
+    # parquet schema; restore the column order of ``df``.
+    return out.select(*df.columns)
