@@ -22,7 +22,7 @@ weight table (broadcast when its size allows) and a per-row sum.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -53,7 +53,6 @@ class LogisticModel:
     step_size: float = 0.0
     reg_param: float = 0.0
     iterations: int = 0
-    history: list = field(default_factory=list, repr=False)
 
     @property
     def num_features(self) -> int:
@@ -149,6 +148,8 @@ def _gradient_fn(bc, d: int, intercept: bool):
                 lengths = np.frombuffer(cl[j].as_buffer(), np.int32)
                 fi = np.frombuffer(ci[j].as_buffer(), np.int32)
                 fv = None if not cv[j].is_valid else np.frombuffer(cv[j].as_buffer(), np.float64)
+                if fi.size and (int(fi.max()) >= d or int(fi.min()) < 0):
+                    raise ValueError(f"feature index outside [0, {d})")
                 rows = np.repeat(np.arange(nrows), lengths)
                 if not dense:
                     uniq, inv = np.unique(fi, return_inverse=True)
@@ -289,13 +290,11 @@ def fit_logistic_gd(encoded: DataFrame, num_features: int, iterations: int = 50,
 
 def _weights_table(spark: SparkSession, models: list[LogisticModel]) -> DataFrame:
     """``(idx, w_0 .. w_{K-1})`` over the union of indices with a non-zero weight."""
-    d = models[0].num_features
     stacked = np.vstack([m.weights for m in models])
     keep = np.flatnonzero(np.any(stacked != 0.0, axis=0)).astype(np.int32)
     cols = {"idx": pa.array(keep, pa.int32())}
     for k in range(len(models)):
         cols[f"w_{k}"] = pa.array(stacked[k, keep], pa.float64())
-    del d
     return _table_df(spark, pa.table(cols))
 
 
