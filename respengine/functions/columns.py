@@ -23,9 +23,6 @@ POW2_MAX_EXP = 10
 # Label text that means "negative"; any other text is a positive.
 NEGATIVE_LABEL = "0"
 
-# Column metadata key: the feature array holds feature i at position i.
-POSITIONAL = "respengine.positional"
-
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -56,10 +53,6 @@ def parse_features(fields) -> Column:
     )
 
 
-def positional(feats, name: str = "feats") -> Column:
-    """Alias a feature array whose element i has feature id i, recording it in metadata."""
-    return _col(feats).alias(name, metadata={POSITIONAL: True})
-
 
 def feature_array(categories: list) -> Column:
     """Features of a table row, by position: ``array<struct<feature_id, category>>``.

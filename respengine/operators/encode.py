@@ -20,15 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import POSITIONAL
 from ..session import materialize
 from .joins import broadcast_row_limit, hot_threshold, lookup_join
 
-# Most feature positions for the one-join-per-feature encoding path.
-MAX_POSITIONAL_FEATURES = 64
-# Separator of the combined lookup key (a control character absent from text fields).
-KEY_SEP = "\u0001"
-
 
 @dataclass
 class Dictionary:
@@ -40,7 +34,6 @@ class Dictionary:
     df: DataFrame
     size: int
     total: int
-    feature_ids: tuple = ()
 
     def hot_keys(self) -> DataFrame:
         """Pairs frequent enough to skew a shuffle; bounded by ``hot_threshold``."""
@@ -97,8 +90,6 @@ def build_dictionary(obs: DataFrame, num_partitions: int | None = None) -> Dicti
     # Frozen in the reliable checkpoint folder: range bounds, partition ids and
     # positions stay identical for every later use of the dictionary.
     ranged = materialize(ranged)
-    # one row per feature position (bounded by the width of an observation)
-    feature_ids = tuple(sorted(r[0] for r in counts.select("feature_id").distinct().collect()))
     counts.unpersist()
     per_part = (ranged.groupBy("_part")
                 .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_first"),
@@ -118,7 +109,7 @@ def build_dictionary(obs: DataFrame, num_partitions: int | None = None) -> Dicti
                   (F.col("_offset") + F.col("_pos") - F.col("_first")).cast("int").alias("idx"),
                   F.col("n").cast("bigint").alias("n"))
           .persist())
-    return Dictionary(df=df, size=acc, total=total, feature_ids=feature_ids)
+    return Dictionary(df=df, size=acc, total=total)
 
 
 def lookup(dictionary: Dictionary, feature_id: int, category: str) -> DataFrame:
@@ -135,19 +126,17 @@ def one_hot_encode(obs: DataFrame, dictionary: Dictionary, unseen: str = "skip",
     empty vector and stays); ``unseen='error'`` fails on the first unknown pair.
     A pair repeated within one observation fails in both modes.
 
-    Plans: a dictionary within ``max_broadcast_rows`` (default
-    ``respengine.broadcastMaxRows``) is broadcast, and positional observations
-    are then encoded without any shuffle. Otherwise the pairs are exploded and
-    joined through a shuffle in which hot pairs are salted, then regrouped by
-    row (partial aggregation collapses each row before the shuffle).
+    Plan: the pairs are exploded and looked up in the dictionary, then
+    regrouped by row. A dictionary within ``max_broadcast_rows`` (default
+    ``respengine.broadcastMaxRows``) is broadcast, so the exploded rows of an
+    observation stay together and partial aggregation collapses them to one
+    row before the regrouping shuffle. A larger dictionary is joined through a
+    shuffle in which hot pairs are salted.
     """
     if unseen not in ("skip", "error"):
         raise ValueError("unseen must be 'skip' or 'error'")
     spark = obs.sparkSession
     limit = broadcast_row_limit(spark) if max_broadcast_rows is None else max_broadcast_rows
-    if (is_positional(obs) and dictionary.size <= limit
-            and 0 < len(dictionary.feature_ids) <= MAX_POSITIONAL_FEATURES):
-        return _encode_positional(obs, dictionary, unseen)
     long = to_long(obs, keep_empty=True)
     joined = lookup_join(long, dictionary.table(), ["feature_id", "category"],
                          table_rows=dictionary.size, hot_keys=dictionary.hot_keys(),
@@ -169,41 +158,6 @@ def one_hot_encode(obs: DataFrame, dictionary: Dictionary, unseen: str = "skip",
         F.transform(checked, lambda _: F.lit(1.0)).alias("values"))
 
 
-def is_positional(obs: DataFrame) -> bool:
-    """Whether the ``feats`` column is marked as holding feature i at position i."""
-    return bool(obs.schema["feats"].metadata.get(POSITIONAL, False))
-
-
-def _encode_positional(obs: DataFrame, dictionary: Dictionary, unseen: str) -> DataFrame:
-    """One broadcast hash join per feature position, all in one narrow stage.
-
-    Every join probes the same broadcast table keyed by ``feature_id <SOH>
-    category``, so rows never leave their partition: no explode and no
-    regrouping shuffle. Only for a dictionary under the broadcast bound.
-    """
-    table = dictionary.table().select(
-        F.concat(F.col("feature_id").cast("string"), F.lit(KEY_SEP), F.col("category")).alias("k"),
-        "idx")
-    df = obs.select("row_id", "label", "feats")
-    ids = []
-    for j in dictionary.feature_ids:
-        t = table.alias(f"_t{j}")
-        key = F.concat(F.lit(f"{j}{KEY_SEP}"),
-                       F.try_element_at(F.col("feats"), F.lit(j + 1))["category"])
-        df = (df.join(F.broadcast(t), key == F.col(f"_t{j}.k"), "left")
-              .select(*df.columns, F.col(f"_t{j}.idx").alias(f"_i{j}")))
-        ids.append(F.col(f"_i{j}"))
-    known = F.filter(F.array(*ids), lambda x: x.isNotNull())
-    indices = F.array_sort(known)
-    if unseen == "error":
-        indices = F.when(F.size(known) != F.size("feats"),
-                         F.raise_error(F.concat(F.lit("unseen feature pair in row "),
-                                                F.col("row_id").cast("string")))
-                         ).otherwise(indices)
-    return df.select("row_id", "label", indices.cast("array<int>").alias("indices")).select(
-        "row_id", "label", "indices", F.transform("indices", lambda _: F.lit(1.0)).alias("values"))
-
-
 def encoded_long(encoded: DataFrame) -> DataFrame:
     """``(row_id, label, idx, value)``, one row per stored entry."""
     return (encoded.select("row_id", "label",

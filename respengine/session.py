@@ -76,6 +76,5 @@ def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
     out = df.sparkSession.read.parquet(path)
-    # Column metadata (e.g. the positional marker on ``feats``) is kept in the
-    # parquet schema; restore the column order of ``df``.
+    # Restore the column order of ``df`` (partition columns are read last).
     return out.select(*df.columns)

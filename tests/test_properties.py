@@ -7,7 +7,7 @@ from collections import defaultdict
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from respengine.functions.columns import positional, pow2_bucket
+from respengine.functions.columns import pow2_bucket
 from respengine.operators.encode import build_dictionary, one_hot_encode
 from respengine.operators.hashing import hash_features
 from respengine.sources.text import OBS_SCHEMA, parse_lines
@@ -83,8 +83,6 @@ def test_dictionary_and_encoding_match_python(spark, train_rows, other_rows):
     want = {i: sorted(ids[(j, c)] for j, c in enumerate(r) if (j, c) in ids)
             for i, r in enumerate(other_rows)}
     assert got == want
-    pos = _obs(spark, other_rows).select("row_id", "label", positional("feats"))
-    assert {r["row_id"]: r["indices"] for r in one_hot_encode(pos, d).collect()} == want
 
 
 @SETTINGS
