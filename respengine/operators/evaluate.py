@@ -9,6 +9,9 @@ from pyspark.sql import types as T
 from ..functions.columns import log_loss
 from .model import LogisticModel, predict, predict_many
 
+# Distinct scores handled by one range task of the ROC running sums.
+ROC_POINTS_PER_RANGE = 1_000_000
+
 
 def base_rate(train: DataFrame) -> DataFrame:
     """Click fraction of the training rows: one row ``(base_rate)``."""
@@ -63,7 +66,13 @@ def roc_curve(scored: DataFrame, score_col: str = "score", label_col: str = "lab
               .groupBy("score")
               .agg(F.sum("_y").alias("_pos"), F.sum(F.lit(1.0) - F.col("_y")).alias("_neg"))
               .persist())
-    ranges = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if num_ranges is None:
+        # At most ROC_POINTS_PER_RANGE points per range task, and never fewer
+        # ranges than the session's shuffle partitions.
+        distinct = points.count()
+        num_ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                         -(-distinct // ROC_POINTS_PER_RANGE))
+    ranges = num_ranges
     bounds = []
     if ranges > 1:
         qs = points.approxQuantile("score", [i / ranges for i in range(1, ranges)], 1e-3)
