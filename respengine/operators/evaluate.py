@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,11 +81,15 @@ def roc_curve(scored: DataFrame, score_col: str = "score", label_col: str = "lab
         qs = points.approxQuantile("score", [i / ranges for i in range(1, ranges)], 1e-3)
         bounds = sorted(set(q for q in qs if q is not None))
     if bounds:
-        above = F.size(F.filter(F.array(*[F.lit(float(b)) for b in bounds]),
-                                lambda b: b > F.col("score")))
+        # Range 0 holds the highest scores: number of bounds above the score,
+        # found by binary search (JVM Bucketizer) rather than a scan of the bounds.
+        cut = Bucketizer(splits=[-math.inf] + [float(b) for b in bounds] + [math.inf],
+                         inputCol="score", outputCol="_bucket", handleInvalid="keep")
+        ranged = (cut.transform(points)
+                  .withColumn("_range", (F.lit(len(bounds)) - F.col("_bucket")).cast("int"))
+                  .drop("_bucket"))
     else:
-        above = F.lit(0)
-    ranged = points.withColumn("_range", above.cast("int"))
+        ranged = points.withColumn("_range", F.lit(0))
     totals = (ranged.groupBy("_range").agg(F.sum("_pos").alias("p"), F.sum("_neg").alias("q"))
               .orderBy("_range").collect())  # one row per range
     offs, tp0, fp0 = [], 0.0, 0.0
