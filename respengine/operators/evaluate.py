@@ -26,8 +26,13 @@ def base_rate_value(train: DataFrame) -> float:
     return float(base_rate(train).first()[0])
 
 
-def baseline_log_loss(rate: float, data: DataFrame) -> DataFrame:
-    """Mean log loss of predicting the training fraction for every row: ``(log_loss)``."""
+def baseline_log_loss(rate: float | DataFrame, data: DataFrame) -> DataFrame:
+    """Mean log loss of predicting the training fraction for every row: ``(log_loss)``.
+
+    ``rate`` is the training fraction, or the training frame to take it from.
+    """
+    if isinstance(rate, DataFrame):
+        rate = base_rate_value(rate)
     return data.agg(F.avg(log_loss(F.lit(float(rate)), F.col("label"))).alias("log_loss"))
 
 

@@ -340,9 +340,10 @@ def predict(model: LogisticModel, encoded: DataFrame,
             .withColumnRenamed("score_0", "score"))
 
 
-def smallest_weights(model: LogisticModel, spark: SparkSession, k: int = 5,
+def smallest_weights(model: LogisticModel, spark: SparkSession | None = None, k: int = 5,
                      tie_digits: int | None = None) -> DataFrame:
     """The ``k`` smallest weights (intercept excluded), ties broken by index."""
+    spark = spark or SparkSession.getActiveSession()
     w = model.weights_df(spark, include_intercept=False)
     key = F.col("weight") if tie_digits is None else F.round("weight", tie_digits)
     return w.orderBy(key.asc(), F.col("idx").asc()).limit(k)

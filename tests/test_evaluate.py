@@ -63,6 +63,7 @@ def test_base_rate_and_baseline(spark):
     assert ll == pytest.approx(want)
     # a fraction of 0 uses eps instead of failing
     assert baseline_log_loss(0.0, scored).first()[0] > 0
+    assert baseline_log_loss(scored, scored).first()[0] == pytest.approx(want)
 
 
 def test_pivot_surface(spark):
