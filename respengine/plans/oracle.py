@@ -153,6 +153,13 @@ SELECT row_id, (CASE WHEN p[1] = '0' THEN 0.0 ELSE 1.0 END)::DOUBLE AS label,
        unnest(range(len(p) - 1))::INTEGER AS feature_id, unnest(p[2:]) AS category
 FROM parts"""
 
+    q["text_file_long"] = f"""WITH {CE},
+lines AS (SELECT concat_ws({TAB}, label::INTEGER::VARCHAR, f0, f1, f2, f3, f4) AS line FROM ce),
+parts AS (SELECT string_split(trim(line, {WS}), {TAB}) AS p FROM lines WHERE trim(line, {WS}) <> '')
+SELECT (CASE WHEN p[1] = '0' THEN 0.0 ELSE 1.0 END)::DOUBLE AS label,
+       unnest(range(len(p) - 1))::INTEGER AS feature_id, unnest(p[2:]) AS category
+FROM parts"""
+
     q["blank_and_ragged_lines"] = f"""WITH {CE},
 lines AS (
   SELECT row_id, CASE WHEN event_type = 'signup' THEN ' ' || {TAB} || ' '

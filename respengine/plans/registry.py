@@ -7,6 +7,7 @@ row-by-row comparison with the SQL oracle is insensitive to summation order.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +28,8 @@ from ..operators.search import grid_search, pivot_grid
 from ..operators.split import hash_split, random_split, split_sizes
 from ..sources.tables import (ctr_event_features, ctr_events, doc_quality, lineitem_returns,
                               read_table)
-from ..sources.text import lines_from_observations, parse_lines
+from ..session import ensure_checkpoint_dir
+from ..sources.text import lines_from_observations, parse_lines, read_labelled_lines
 from .pipelines import (GRID_REGS, GRID_STEPS, OHE_FIT, SPLIT_SEED, SPLIT_WEIGHTS,
                         final_report, ohe_pipeline, ohe_report, split_observations)
 
@@ -63,6 +65,17 @@ def q_parse_long(spark: SparkSession, sf: str) -> DataFrame:
     return to_long(parse_lines(lines, sep="\t", blank="drop"))
 
 
+def q_text_file_long(spark: SparkSession, sf: str) -> DataFrame:
+    """Events written as tab-separated text to the checkpoint folder, then read back.
+
+    The text reader numbers lines itself, so the result is the multiset of
+    ``(label, feature_id, category)``.
+    """
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/text/{uuid.uuid4().hex}"
+    lines_from_observations(ctr_events(spark, sf)).select("line").write.text(path)
+    return to_long(read_labelled_lines(spark, path)).select("label", "feature_id", "category")
+
+
 def awkward_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Lines with blanks, interior empties and trailing separators, built from events."""
     ev = read_table(spark, sf, "events")
@@ -314,6 +327,7 @@ def q_final_report(spark, sf):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_long": q_parse_long,
+    "text_file_long": q_text_file_long,
     "blank_and_ragged_lines": q_blank_and_ragged_lines,
     "split_sizes": q_split_sizes,
     "distinct_features": q_distinct_features,
