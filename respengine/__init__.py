@@ -7,7 +7,7 @@ DataFrame plans; ``plans`` wires them into the end-to-end pipelines.
 
 from .functions.columns import (clamped_sigmoid, dense_dot, feature_string, log_loss,
                                 md5_bucket, parse_features, parse_label, pow2_bucket,
-                                sparse_dot, strip_line)
+                                sparse_dot, sparse_vector, strip_line)
 from .operators.encode import (Dictionary, build_dictionary, categories_per_feature,
                                distinct_features, encoded_long, lookup, one_hot_encode, to_long)
 from .operators.evaluate import (base_rate, base_rate_value, baseline_log_loss,
@@ -18,6 +18,8 @@ from .operators.model import (LogisticModel, fit_logistic_gd, fit_logistic_many,
 from .operators.profile import count_histogram, feature_counts, sparsity
 from .operators.search import grid_search, pivot_grid
 from .operators.split import hash_split, random_split, split_frames, split_sizes
+from .plans.pipelines import (featurize_hash, featurize_ohe, final_report, hashed_pipeline,
+                              ohe_pipeline, ohe_report, split_observations)
 from .sources.tables import ctr_events, doc_quality, lineitem_returns, table_observations
 from .sources.text import (parse_lines, read_labelled_lines, read_lines,
                            sample_observations)
