@@ -77,7 +77,9 @@ def _table_df(spark: SparkSession, table: pa.Table) -> DataFrame:
     return df
 
 
-_BLOCK_SCHEMA = "n int, label binary, lengths binary, idx binary, val binary"
+_BLOCK_SCHEMA = "n int, m long, label binary, lengths binary, idx binary, val binary"
+# Stored entries below which another task costs more than it saves.
+MIN_ENTRIES_PER_TASK = 1 << 20
 # Rows per packed block of training data.
 DEFAULT_BLOCK_ROWS = 1 << 16
 
@@ -98,11 +100,12 @@ def _pack_fn(block_rows: int):
             fv = np.concatenate(fvs)
             val = None if fv.size == 0 or bool(np.all(fv == 1.0)) else fv.tobytes()
             return pa.RecordBatch.from_arrays(
-                [pa.array([y.shape[0]], pa.int32()), pa.array([y.tobytes()], pa.binary()),
+                [pa.array([y.shape[0]], pa.int32()), pa.array([fv.size], pa.int64()),
+                 pa.array([y.tobytes()], pa.binary()),
                  pa.array([np.concatenate(ls).tobytes()], pa.binary()),
                  pa.array([np.concatenate(fis).tobytes()], pa.binary()),
                  pa.array([val], pa.binary())],
-                names=["n", "label", "lengths", "idx", "val"])
+                names=["n", "m", "label", "lengths", "idx", "val"])
 
         for rb in batches:
             if rb.num_rows == 0:
@@ -220,17 +223,22 @@ def fit_logistic_many(encoded: DataFrame, num_features: int, configs, iterations
     data = rows.mapInArrow(_pack_fn(block_rows), _BLOCK_SCHEMA).persist(
         StorageLevel.MEMORY_AND_DISK)
     try:
-        stats = data.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("blocks")).first()
+        stats = data.agg(F.sum("n").alias("rows"), F.sum("m").alias("entries"),
+                         F.count(F.lit(1)).alias("blocks")).first()
         n, num_blocks = int(stats["rows"] or 0), int(stats["blocks"])
-        # Blocks are the unit of work: spread them when they sit in fewer
-        # partitions than there are blocks and task slots (a one-off shuffle of
-        # a few large rows), so small inputs do not fan out into empty tasks.
-        want = min(num_blocks, sc.defaultParallelism)
-        if data.rdd.getNumPartitions() < want:
-            spread = data.repartition(want).persist(StorageLevel.MEMORY_AND_DISK)
-            spread.count()
+        # Blocks are the unit of work. Aim for one task per slot, but no more
+        # tasks than blocks and none with less than MIN_ENTRIES_PER_TASK
+        # entries: spread blocks (a one-off shuffle of a few large rows) or merge
+        # partitions (no shuffle) to get there.
+        want = max(1, min(num_blocks, sc.defaultParallelism,
+                          -(-int(stats["entries"] or 0) // MIN_ENTRIES_PER_TASK)))
+        have = data.rdd.getNumPartitions()
+        if have != want:
+            moved = (data.repartition(want) if have < want else data.coalesce(want)).persist(
+                StorageLevel.MEMORY_AND_DISK)
+            moved.count()
             data.unpersist()
-            data = spread
+            data = moved
         num_parts = data.rdd.getNumPartitions()
         W = np.zeros((K, d + 1))
         if intercept:
