@@ -25,7 +25,7 @@ from respengine.operators.model import fit_logistic_gd, predict  # noqa: E402
 from respengine.operators.profile import count_histogram  # noqa: E402
 from respengine.operators.search import grid_search  # noqa: E402
 from respengine.operators.split import hash_split, split_sizes  # noqa: E402
-from respengine.plans.pipelines import (GRID_ITERATIONS, GRID_REGS, GRID_STEPS,  # noqa: E402
+from respengine.plans.workflow import (GRID_ITERATIONS, GRID_REGS, GRID_STEPS,  # noqa: E402
                                         OHE_FIT, split_observations)
 from respengine.session import local_session  # noqa: E402
 from respengine.sources.tables import ctr_events, lineitem_returns  # noqa: E402

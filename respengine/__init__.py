@@ -2,7 +2,7 @@
 
 Sources turn labelled text or any table into observation frames; operators
 split, number, encode, hash, profile, fit, score and evaluate them with
-DataFrame plans; ``plans`` wires them into the end-to-end pipelines.
+DataFrame plans; ``plans`` wires them into the end-to-end workflows.
 """
 
 from .functions.columns import (clamped_sigmoid, dense_dot, feature_string, log_loss,
@@ -18,8 +18,8 @@ from .operators.model import (LogisticModel, fit_logistic_gd, fit_logistic_many,
 from .operators.profile import count_histogram, feature_counts, sparsity
 from .operators.search import grid_search, pivot_grid
 from .operators.split import hash_split, random_split, split_frames, split_sizes
-from .plans.pipelines import (featurize_hash, featurize_ohe, final_report, hashed_pipeline,
-                              ohe_pipeline, ohe_report, split_observations)
+from .plans.workflow import (featurize_hash, featurize_ohe, final_report, run_hashed,
+                              run_ohe, ohe_report, split_observations)
 from .sources.tables import ctr_events, doc_quality, lineitem_returns, table_observations
 from .sources.text import (parse_lines, read_labelled_lines, read_lines,
                            sample_observations)

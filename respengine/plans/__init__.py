@@ -1 +1 @@
-"""End-to-end pipelines and the query registry."""
+"""End-to-end workflows and the query registry."""

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from .pipelines import GRID_REGS, GRID_STEPS, OHE_FIT
+from .workflow import GRID_REGS, GRID_STEPS, OHE_FIT
 from .registry import CHECK_ITERATIONS, COLLISION_BUCKETS
 
 BUCKETS = 2 ** 15

@@ -30,8 +30,8 @@ from ..sources.tables import (ctr_event_features, ctr_events, doc_quality, linei
                               read_table)
 from ..session import ensure_checkpoint_dir
 from ..sources.text import lines_from_observations, parse_lines, read_labelled_lines
-from .pipelines import (GRID_REGS, GRID_STEPS, OHE_FIT, SPLIT_SEED, SPLIT_WEIGHTS,
-                        final_report, ohe_pipeline, ohe_report, split_observations)
+from .workflow import (GRID_REGS, GRID_STEPS, OHE_FIT, SPLIT_SEED, SPLIT_WEIGHTS,
+                        final_report, run_ohe, ohe_report, split_observations)
 
 # Iterations of the fits inside registered queries (the SQL oracle unrolls them).
 CHECK_ITERATIONS = 3
@@ -54,7 +54,7 @@ def _splits(spark, sf):
 
 
 def _ohe(spark, sf, iterations=CHECK_ITERATIONS):
-    return ohe_pipeline(_splits(spark, sf), iterations=iterations,
+    return run_ohe(_splits(spark, sf), iterations=iterations,
                         step_size=OHE_FIT["step_size"], reg_param=OHE_FIT["reg_param"])
 
 
@@ -283,7 +283,7 @@ def q_predict_scores_shuffled(spark, sf):
 
 def q_evaluate_log_loss(spark, sf):
     s = _splits(spark, sf)
-    res = ohe_pipeline(s, iterations=CHECK_ITERATIONS)
+    res = run_ohe(s, iterations=CHECK_ITERATIONS)
     test = one_hot_encode(s.test, res.dictionary, unseen="skip")
     rows = [(n, evaluate_many([res.model], f)[0])
             for n, f in (("train", res.train), ("validation", res.validation), ("test", test))]

@@ -1,4 +1,4 @@
-"""End-to-end pipelines: the one-hot model, the hashed grid search and the
+"""End-to-end workflows: the one-hot model, the hashed grid search and the
 final report. Each step is a lazy DataFrame plan except the fits (one Spark
 job per iteration) and the small scalars they need.
 """
@@ -84,7 +84,7 @@ class OheResult:
     base_rate: float
 
 
-def ohe_pipeline(splits: Splits, iterations: int = OHE_FIT["iterations"],
+def run_ohe(splits: Splits, iterations: int = OHE_FIT["iterations"],
                  step_size: float = OHE_FIT["step_size"],
                  reg_param: float = OHE_FIT["reg_param"]) -> OheResult:
     """Dictionary on train, strict encoding of train, lenient of validation, one fit."""
@@ -123,7 +123,7 @@ class HashResult:
     num_buckets: int
 
 
-def hashed_pipeline(splits: Splits, num_buckets: int = DEFAULT_BUCKETS, steps=GRID_STEPS,
+def run_hashed(splits: Splits, num_buckets: int = DEFAULT_BUCKETS, steps=GRID_STEPS,
                     regs=GRID_REGS, iterations: int = GRID_ITERATIONS) -> HashResult:
     """Hash all three splits, then grid-search on train against validation."""
     frames = [hash_features(f, num_buckets).persist(StorageLevel.MEMORY_AND_DISK)
@@ -147,5 +147,5 @@ def release(*frames: DataFrame) -> None:
         f.unpersist()
 
 
-__all__ = ["Splits", "split_observations", "featurize_ohe", "featurize_hash", "ohe_pipeline",
-           "ohe_report", "hashed_pipeline", "final_report", "OheResult", "HashResult"]
+__all__ = ["Splits", "split_observations", "featurize_ohe", "featurize_hash", "run_ohe",
+           "ohe_report", "run_hashed", "final_report", "OheResult", "HashResult"]
