@@ -77,20 +77,24 @@ def _table_df(spark: SparkSession, table: pa.Table) -> DataFrame:
     return df
 
 
-_BLOCK_SCHEMA = "n int, m long, label binary, lengths binary, idx binary, val binary"
+_BLOCK_SCHEMA = ("n int, m long, idx_bytes byte, label binary, lengths binary, idx binary, "
+                 "val binary")
 # Stored entries below which another task costs more than it saves.
 MIN_ENTRIES_PER_TASK = 1 << 20
 # Rows per packed block of training data.
 DEFAULT_BLOCK_ROWS = 1 << 16
 
 
-def _pack_fn(block_rows: int):
+def _pack_fn(block_rows: int, num_features: int):
     """Partition function: rows of (label, indices, values) -> packed blocks.
 
-    A block holds up to ``block_rows`` rows as raw little-endian buffers
-    (labels, row lengths, flat indices, flat values); ``val`` is null when
-    every value in the block is 1.0 (one-hot data).
+    A block holds up to ``block_rows`` rows as raw little-endian buffers:
+    labels (uint8), row lengths (int32), flat indices (uint16 when ``d`` allows,
+    else int32) and flat values (float64, null when every value in the block
+    is 1.0, as for one-hot data). Blocks are what the fit caches and rereads in
+    every iteration, so their size is the per-iteration IO at scale.
     """
+    idx_type = np.uint16 if num_features <= 1 << 16 else np.int32
 
     def run(batches):
         ys, ls, fis, fvs, count = [], [], [], [], 0
@@ -101,11 +105,12 @@ def _pack_fn(block_rows: int):
             val = None if fv.size == 0 or bool(np.all(fv == 1.0)) else fv.tobytes()
             return pa.RecordBatch.from_arrays(
                 [pa.array([y.shape[0]], pa.int32()), pa.array([fv.size], pa.int64()),
-                 pa.array([y.tobytes()], pa.binary()),
+                 pa.array([np.dtype(idx_type).itemsize], pa.int8()),
+                 pa.array([y.astype(np.uint8).tobytes()], pa.binary()),
                  pa.array([np.concatenate(ls).tobytes()], pa.binary()),
-                 pa.array([np.concatenate(fis).tobytes()], pa.binary()),
+                 pa.array([np.concatenate(fis).astype(idx_type).tobytes()], pa.binary()),
                  pa.array([val], pa.binary())],
-                names=["n", "m", "label", "lengths", "idx", "val"])
+                names=["n", "m", "idx_bytes", "label", "lengths", "idx", "val"])
 
         for rb in batches:
             if rb.num_rows == 0:
@@ -114,10 +119,13 @@ def _pack_fn(block_rows: int):
             y = rb.column("label").to_numpy(zero_copy_only=False).astype(np.float64)
             if not np.all((y == 0.0) | (y == 1.0)):
                 raise ValueError("labels must be 0 or 1")
+            fi = ind.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            if fi.size and (int(fi.max()) >= num_features or int(fi.min()) < 0):
+                raise ValueError(f"feature index outside [0, {num_features})")
             ys.append(y)
             ls.append(ind.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
                       .astype(np.int32))
-            fis.append(ind.flatten().to_numpy(zero_copy_only=False).astype(np.int32))
+            fis.append(fi)
             fvs.append(val.flatten().to_numpy(zero_copy_only=False).astype(np.float64))
             count += rb.num_rows
             if count >= block_rows:
@@ -143,16 +151,16 @@ def _gradient_fn(bc, d: int, intercept: bool):
         dense = K * (d + 1) <= _DENSE_ACC_LIMIT
         acc = np.zeros((K, d + 1)) if dense else None
         for rb in batches:
-            cn, cy, cl, ci, cv = (rb.column(c) for c in ("n", "label", "lengths", "idx", "val"))
+            cn, cw, cy, cl, ci, cv = (rb.column(c) for c in
+                                      ("n", "idx_bytes", "label", "lengths", "idx", "val"))
             for j in range(rb.num_rows):
-                # zero-copy views of the block's buffers
+                # zero-copy views of the block's buffers (labels widened to float)
                 nrows = cn[j].as_py()
-                y = np.frombuffer(cy[j].as_buffer(), np.float64)
+                y = np.frombuffer(cy[j].as_buffer(), np.uint8).astype(np.float64)
                 lengths = np.frombuffer(cl[j].as_buffer(), np.int32)
-                fi = np.frombuffer(ci[j].as_buffer(), np.int32)
+                fi = np.frombuffer(ci[j].as_buffer(),
+                                   np.uint16 if cw[j].as_py() == 2 else np.int32)
                 fv = None if not cv[j].is_valid else np.frombuffer(cv[j].as_buffer(), np.float64)
-                if fi.size and (int(fi.max()) >= d or int(fi.min()) < 0):
-                    raise ValueError(f"feature index outside [0, {d})")
                 rows = np.repeat(np.arange(nrows), lengths)
                 if not dense:
                     uniq, inv = np.unique(fi, return_inverse=True)
@@ -220,7 +228,7 @@ def fit_logistic_many(encoded: DataFrame, num_features: int, configs, iterations
                           F.col("values").cast("array<double>").alias("values"))
     # Packed once and cached: each iteration then hands a few large buffers per
     # partition to Python instead of converting every row to Arrow again.
-    data = rows.mapInArrow(_pack_fn(block_rows), _BLOCK_SCHEMA).persist(
+    data = rows.mapInArrow(_pack_fn(block_rows, d), _BLOCK_SCHEMA).persist(
         StorageLevel.MEMORY_AND_DISK)
     try:
         stats = data.agg(F.sum("n").alias("rows"), F.sum("m").alias("entries"),

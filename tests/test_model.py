@@ -131,3 +131,12 @@ def test_labels_must_be_binary(spark):
                                 "row_id long, label double, indices array<int>, values array<double>")
     with pytest.raises(Exception, match="labels must be 0 or 1"):
         fit_logistic_gd(bad, 4, iterations=1)
+
+
+def test_wide_index_blocks_match_narrow(spark, ohe):
+    # d above 2^16 stores indices as int32 instead of uint16; same data, same fit.
+    enc, _, d = ohe
+    narrow = fit_logistic_gd(enc, d, iterations=4)
+    wide = fit_logistic_gd(enc, 70_000, iterations=4)
+    assert np.array_equal(narrow.weights, wide.weights[:d])
+    assert not wide.weights[d:].any() and narrow.intercept == wide.intercept
