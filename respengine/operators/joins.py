@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_ROWS = 2_000_000
 DEFAULT_MAX_HOT_KEYS = 10_000
+# Fewest salts per hot key (more when there are more shuffle partitions).
 DEFAULT_SALT_BUCKETS = 64
 
 
@@ -33,7 +34,7 @@ def hot_threshold(total: int, max_hot: int = DEFAULT_MAX_HOT_KEYS) -> int:
 
 
 def lookup_join(left: DataFrame, table: DataFrame, keys: list[str], *, table_rows: int,
-                hot_keys: DataFrame | None = None, salt_buckets: int = DEFAULT_SALT_BUCKETS,
+                hot_keys: DataFrame | None = None, salt_buckets: int | None = None,
                 max_broadcast_rows: int | None = None) -> DataFrame:
     """Left join ``left`` to ``table`` (unique on ``keys``); unmatched rows get nulls.
 
@@ -58,7 +59,12 @@ def lookup_join(left: DataFrame, table: DataFrame, keys: list[str], *, table_row
                           F.lit(True).alias("_is_hot"))
     tagged = left.join(F.broadcast(hot), keys, "left")
     # Hot rows get a salt in 1..S that never matches the table side (salt 0), so
-    # the shuffle spreads them over S partitions and they keep their broadcast value.
+    # the shuffle spreads them over S partitions and they keep their broadcast
+    # value. S follows the shuffle parallelism: a key holding a third of all rows
+    # then lands on as many reducers as there are shuffle partitions.
+    if salt_buckets is None:
+        salt_buckets = max(DEFAULT_SALT_BUCKETS,
+                           int(spark.conf.get("spark.sql.shuffle.partitions")))
     row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
     salted = tagged.withColumn(
         "_salt", F.when(F.col("_is_hot"), F.pmod(row_hash, F.lit(salt_buckets)) + 1)
