@@ -17,6 +17,7 @@ TAB = "chr(9)"
 
 
 def r6(expr: str, digits: int = 6) -> str:
+    """Round like ``registry.rounded`` (and fold -0.0 into 0.0)."""
     return f"(round(({expr})::DOUBLE, {digits}) + 0.0)"
 
 

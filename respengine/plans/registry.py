@@ -61,6 +61,7 @@ def _ohe(spark, sf, iterations=CHECK_ITERATIONS):
 # --- sources and parsing -------------------------------------------------------
 
 def q_parse_long(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as tab-separated lines, stripped, split, labelled, numbered; long form."""
     lines = lines_from_observations(ctr_events(spark, sf))
     return to_long(parse_lines(lines, sep="\t", blank="drop"))
 
@@ -87,6 +88,7 @@ def awkward_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_blank_and_ragged_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Blank lines kept as positives without features; trailing empties stripped, interior kept."""
     parsed = parse_lines(awkward_lines(spark, sf), sep="\t", blank="positive")
     return parsed.select(
         "row_id", "label", F.size("feats").cast("int").alias("n_features"),
@@ -96,10 +98,12 @@ def q_blank_and_ragged_lines(spark: SparkSession, sf: str) -> DataFrame:
 # --- splitting -------------------------------------------------------------------
 
 def q_split_sizes(spark, sf):
+    """Hash split 80/10/10 (seed 42) and rows per split plus total."""
     return split_sizes(hash_split(ctr_events(spark, sf), "row_id", SPLIT_WEIGHTS, SPLIT_SEED))
 
 
 def q_random_split_native(spark, sf):
+    """Spark's randomSplit with the same weights and seed (partition-dependent, rows only)."""
     parts = random_split(ctr_events(spark, sf), SPLIT_WEIGHTS, SPLIT_SEED)
     tagged = [p.select("row_id", F.lit(n).alias("split"))
               for p, n in zip(parts, ("train", "validation", "test"))]
@@ -109,32 +113,39 @@ def q_random_split_native(spark, sf):
 # --- dictionary and encoding ----------------------------------------------------------
 
 def q_distinct_features(spark, sf):
+    """A1: distinct (feature_id, category) pairs of the training split."""
     return distinct_features(_splits(spark, sf).train)
 
 
 def q_categories_per_feature(spark, sf):
+    """A2, O1: distinct categories per feature id, ordered."""
     return categories_per_feature(_splits(spark, sf).train)
 
 
 def q_ohe_dictionary(spark, sf):
+    """Dictionary ids in (feature_id, category) order, with training counts."""
     return build_dictionary(_splits(spark, sf).train).df
 
 
 def q_ohe_dictionary_size(spark, sf):
+    """A4: number of one-hot features."""
     d = build_dictionary(_splits(spark, sf).train)
     return d.df.agg(F.count(F.lit(1)).cast("bigint").alias("n_features"))
 
 
 def q_ohe_lookup(spark, sf):
+    """Id of one (feature_id, category) pair."""
     return lookup(build_dictionary(_splits(spark, sf).train), 4, "")
 
 
 def q_ohe_encode_train(spark, sf):
+    """Strict encoding of the training split, long form."""
     s = _splits(spark, sf)
     return encoded_long(one_hot_encode(s.train, build_dictionary(s.train), unseen="error"))
 
 
 def q_ohe_encode_validation(spark, sf):
+    """Lenient encoding of the validation split with the training dictionary."""
     s = _splits(spark, sf)
     return encoded_long(one_hot_encode(s.validation, build_dictionary(s.train), unseen="skip"))
 
@@ -148,6 +159,7 @@ def q_ohe_encode_validation_shuffled(spark, sf):
 
 
 def q_ohe_empty_rows(spark, sf):
+    """Every validation/test row is kept, with its number of known features."""
     s = _splits(spark, sf)
     d = build_dictionary(s.train)
     enc = one_hot_encode(s.validation.unionByName(s.test), d, unseen="skip")
@@ -155,11 +167,13 @@ def q_ohe_empty_rows(spark, sf):
 
 
 def q_doc_quality_dictionary(spark, sf):
+    """A3 on the second labelled set (documents with quality labels)."""
     s = split_observations(doc_quality(spark, sf))
     return build_dictionary(s.train).df
 
 
 def q_doc_quality_encode_test(spark, sf):
+    """J2 on the second labelled set: known features per test row."""
     s = split_observations(doc_quality(spark, sf))
     enc = one_hot_encode(s.test, build_dictionary(s.train), unseen="skip")
     return with_feature_counts(enc).select("row_id", "label", F.col("nnz").cast("int"))
@@ -174,14 +188,17 @@ def _ohe_train(spark, sf):
 
 
 def q_feature_counts(spark, sf):
+    """Rows holding each one-hot index."""
     return feature_counts(_ohe_train(spark, sf)[0])
 
 
 def q_count_histogram(spark, sf):
+    """Indices per power-of-two count bucket and their logs."""
     return rounded(count_histogram(_ohe_train(spark, sf)[0]))
 
 
 def q_sparsity(spark, sf):
+    """A10: mean stored entries per row and density, one-hot and hashed."""
     s = _splits(spark, sf)
     d = build_dictionary(s.train)
     ohe = sparsity(one_hot_encode(s.train, d), d.size).select(F.lit("ohe").alias("features"), "*")
@@ -193,18 +210,22 @@ def q_sparsity(spark, sf):
 # --- hashing ------------------------------------------------------------------------
 
 def q_md5_buckets(spark, sf):
+    """feature strings and their md5 buckets for 4, 100 and 2^15 buckets."""
     return md5_buckets_long(ctr_events(spark, sf))
 
 
 def q_hash_features(spark, sf):
+    """F16, M7: hashed features (2^15 buckets), long form."""
     return encoded_long(hash_features(ctr_events(spark, sf), DEFAULT_BUCKETS))
 
 
 def q_hash_collisions(spark, sf):
+    """Hashed features with 16 buckets, where collisions add up."""
     return encoded_long(hash_features(ctr_events(spark, sf), COLLISION_BUCKETS))
 
 
 def q_lineitem_hash_nnz(spark, sf):
+    """F16 on the wide lineitem set: rows by stored entries and summed counts."""
     h = hash_features(lineitem_returns(spark, sf), 1024)
     return (h.select(F.size("indices").alias("nnz"),
                      F.aggregate("values", F.lit(0.0), lambda a, v: a + v).alias("total"))
@@ -214,6 +235,7 @@ def q_lineitem_hash_nnz(spark, sf):
 # --- scalar functions -------------------------------------------------------------------
 
 def q_dot_products(spark, sf):
+    """dense and sparse dot products over consecutive embeddings."""
     e = read_table(spark, sf, "embeddings").select("vec_id", "embedding")
     nxt = e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("next_emb"))
     j = e.join(nxt, "vec_id")
@@ -249,10 +271,12 @@ def q_log_loss_scalar(spark, sf):
 # --- baselines, fit, scoring -------------------------------------------------------------
 
 def q_base_rate(spark, sf):
+    """Click fraction of the training split."""
     return rounded(base_rate(_splits(spark, sf).train))
 
 
 def q_baseline_log_loss(spark, sf):
+    """Training fraction as the prediction, log loss per split."""
     s = _splits(spark, sf)
     rate = base_rate_value(s.train)
     parts = [baseline_log_loss(rate, f).select(F.lit(n).alias("split"), "log_loss")
@@ -261,16 +285,19 @@ def q_baseline_log_loss(spark, sf):
 
 
 def q_fit_3_iterations(spark, sf):
+    """M1: weights and intercept (idx -1) after 3 gradient-descent iterations."""
     res = _ohe(spark, sf)
     return rounded(res.model.weights_df(spark))
 
 
 def q_smallest_weights(spark, sf):
+    """O3: the five smallest weights of the 3-iteration model."""
     res = _ohe(spark, sf)
     return rounded(smallest_weights(res.model, spark, k=5, tie_digits=6))
 
 
 def q_predict_scores(spark, sf):
+    """Clamped-sigmoid scores of the validation rows."""
     res = _ohe(spark, sf)
     return rounded(predict(res.model, res.validation))
 
@@ -282,6 +309,7 @@ def q_predict_scores_shuffled(spark, sf):
 
 
 def q_evaluate_log_loss(spark, sf):
+    """Model log loss on train, validation and test."""
     s = _splits(spark, sf)
     res = run_ohe(s, iterations=CHECK_ITERATIONS)
     test = one_hot_encode(s.test, res.dictionary, unseen="skip")
@@ -291,6 +319,7 @@ def q_evaluate_log_loss(spark, sf):
 
 
 def q_roc_curve(spark, sf):
+    """ROC running sums over validation scores."""
     res = _ohe(spark, sf)
     # The score is already the 9-digit tie key; rounding it again to 6 places
     # would round twice, so the whole table keeps 9 digits.
@@ -298,6 +327,7 @@ def q_roc_curve(spark, sf):
 
 
 def q_metric_report(spark, sf):
+    """One-hot report (base rate, baseline and model log loss, sparsity) with text."""
     return rounded(ohe_report(_ohe(spark, sf)))
 
 
@@ -312,14 +342,17 @@ def _grid(spark, sf):
 
 
 def q_grid_search(spark, sf):
+    """M2, M3: 2 x 2 grid on hashed features, validation log loss, best cell."""
     return rounded(_grid(spark, sf)[1])
 
 
 def q_grid_pivot(spark, sf):
+    """M4: the grid as a step-by-regulariser surface."""
     return rounded(pivot_grid(_grid(spark, sf)[1], GRID_REGS))
 
 
 def q_final_report(spark, sf):
+    """Best grid model and baseline on the test split."""
     s, _, best = _grid(spark, sf)
     rate = base_rate_value(s.train)
     return rounded(final_report(best, rate, hash_features(s.test, DEFAULT_BUCKETS)))

@@ -143,6 +143,7 @@ def final_report(best: LogisticModel, rate: float, test: DataFrame,
 
 
 def release(*frames: DataFrame) -> None:
+    """Drop the cached copies of frames a workflow persisted."""
     for f in frames:
         f.unpersist()
 

@@ -15,6 +15,7 @@ from ..functions.columns import feature_array
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One parquet table of a folder (``<sf_dir>/<name>.parquet``)."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
