@@ -11,7 +11,7 @@ from .functions.columns import (clamped_sigmoid, dense_dot, feature_string, log_
 from .operators.encode import (Dictionary, build_dictionary, categories_per_feature,
                                distinct_features, encoded_long, lookup, one_hot_encode, to_long)
 from .operators.evaluate import (base_rate, base_rate_value, baseline_log_loss,
-                                 evaluate_log_loss, metric_report, roc_curve)
+                                 evaluate_log_loss, evaluate_many, metric_report, roc_curve)
 from .operators.hashing import hash_features
 from .operators.model import (LogisticModel, fit_logistic_gd, fit_logistic_many, predict,
                               predict_many, smallest_weights)
