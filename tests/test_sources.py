@@ -60,3 +60,14 @@ def test_table_views(spark):
     assert dq.count() > 0
     li = lineitem_returns(spark, SF001)
     assert li.count() == li.select("row_id").distinct().count()
+
+
+def test_comma_separator_keeps_trailing_empties(spark):
+    # strip() removes whitespace only: with ',' as the separator trailing empty
+    # fields survive, while with tabs they are stripped away.
+    lines = spark.createDataFrame([(1, "1,a,,b,, "), (2, "1\ta\t\tb\t\t ")],
+                                  "row_id long, line string")
+    comma = parse_lines(lines.where("row_id = 1"), sep=",").first()
+    tab = parse_lines(lines.where("row_id = 2"), sep="\t").first()
+    assert _feats(comma) == [(0, "a"), (1, ""), (2, "b"), (3, ""), (4, "")]
+    assert _feats(tab) == [(0, "a"), (1, ""), (2, "b")]
