@@ -64,10 +64,49 @@ def read_lines(spark: SparkSession, path: str, num_partitions: int | None = None
     return lines
 
 
+_COMPRESSED = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate", ".xz")
+
+
+def files_ending_in_newline(spark: SparkSession, files: list[str]) -> list[str]:
+    """Uncompressed input files whose last byte is ``\n`` (one 1-byte read each)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for f in files:
+        if f.lower().endswith(_COMPRESSED):
+            continue
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        fs = p.getFileSystem(conf)
+        size = fs.getFileStatus(p).getLen()
+        if size == 0:
+            continue
+        stream = fs.open(p)
+        try:
+            stream.seek(size - 1)
+            if stream.read() == 10:
+                out.append(f)
+        finally:
+            stream.close()
+    return out
+
+
 def read_labelled_lines(spark: SparkSession, path: str, sep: str = "\t",
                         blank: str = "drop", num_partitions: int | None = None) -> DataFrame:
-    """Read a labelled delimited text file (or folder) into observations."""
-    return parse_lines(read_lines(spark, path, num_partitions), sep=sep, blank=blank)
+    """Read a labelled delimited text file (or folder) into observations.
+
+    With ``blank='positive'``, blank lines become positives without features,
+    as in the reference; that includes the empty line after a file's final
+    newline, which Spark's line reader does not yield, so one such row (with a
+    negative row id) is added per input file that ends in a newline.
+    """
+    lines = read_lines(spark, path, num_partitions)
+    if blank == "positive":
+        ending = files_ending_in_newline(spark, lines.inputFiles())
+        if ending:
+            extra = spark.createDataFrame([(-(i + 1), "") for i in range(len(ending))],
+                                          "row_id long, line string")
+            lines = lines.unionByName(extra)
+    return parse_lines(lines, sep=sep, blank=blank)
 
 
 def lines_from_observations(obs: DataFrame, sep: str = "\t") -> DataFrame:

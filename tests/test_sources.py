@@ -41,8 +41,15 @@ def test_read_labelled_lines_file(spark):
     assert [r["label"] for r in rows] == [1.0, 0.0, 1.0]
     assert [_feats(r) for r in rows] == [[(0, "a"), (1, "b")], [(0, "c")], [(0, "d")]]
     assert len({r["row_id"] for r in rows}) == 3
+    # blank line inside the file + the empty line after the final newline
     with_blank = read_labelled_lines(spark, path, blank="positive", num_partitions=2)
-    assert with_blank.count() == 4
+    assert with_blank.count() == 5
+    blanks = with_blank.where("size(feats) = 0").collect()
+    assert len(blanks) == 2 and all(r["label"] == 1.0 for r in blanks)
+    no_final = os.path.join(folder, "no_final_newline.txt")
+    with open(no_final, "w") as fh:
+        fh.write("0\ta\n1\tb")
+    assert read_labelled_lines(spark, no_final, blank="positive").count() == 2
 
 
 def test_sample(spark):
