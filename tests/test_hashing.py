@@ -42,3 +42,28 @@ def test_profiles(spark):
     assert hist == {1: 2, 2: 1, 4: 1}
     sp = sparsity(h, 4).first()
     assert sp["avg_nnz"] == (2 + 2 + 3) / 3 and sp["density"] == sp["avg_nnz"] / 4
+
+
+def test_density_orders_with_dimension(spark):
+    from respengine.operators.encode import build_dictionary, one_hot_encode
+    obs = ctr_events(spark, SF01)
+    d = build_dictionary(obs)
+    ohe = sparsity(one_hot_encode(obs, d), d.size).first()
+    hashed = sparsity(hash_features(obs, 64), 64).first()
+    # same observations, d (321) > 64 buckets, nnz close (5 vs at most 5)
+    assert d.size > 64 and abs(ohe["avg_nnz"] - hashed["avg_nnz"]) < 0.5
+    assert ohe["density"] < hashed["density"]
+
+
+def test_results_unchanged_under_repartition(spark):
+    from respengine.operators.encode import build_dictionary, one_hot_encode
+    obs = ctr_events(spark, SF01)
+    d = build_dictionary(obs)
+    for parts in (1, 7):
+        moved = obs.repartition(parts)
+        a = {r[0]: r[2] for r in one_hot_encode(obs, d).collect()}
+        b = {r[0]: r[2] for r in one_hot_encode(moved, d).collect()}
+        assert a == b
+        h1 = {r[0]: (r[2], r[3]) for r in hash_features(obs, 128).collect()}
+        h2 = {r[0]: (r[2], r[3]) for r in hash_features(moved, 128).collect()}
+        assert h1 == h2
