@@ -50,7 +50,8 @@ def main() -> None:
         return out
 
     # Warm the JVM and Python workers on a tiny input (not timed).
-    warm = split_observations(ctr_events(spark, "/root/testdata/sf0.001"))
+    warm_dir = "/root/testdata/sf0.001"
+    warm = split_observations(ctr_events(spark, warm_dir if os.path.isdir(warm_dir) else sf_dir))
     wd = build_dictionary(warm.train)
     fit_logistic_gd(one_hot_encode(warm.train, wd), wd.size, iterations=2)
 
