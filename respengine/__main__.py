@@ -32,7 +32,7 @@ def main(argv=None) -> None:
     ap.add_argument("--out", required=True, help="output folder for the result tables")
     ap.add_argument("--ohe-iterations", type=int, default=50)
     ap.add_argument("--grid-iterations", type=int, default=500)
-    ap.add_argument("--split-storage", default="cache", choices=["cache", "table"])
+    ap.add_argument("--split-storage", default="table", choices=["cache", "table"])
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("respengine").getOrCreate()

@@ -38,17 +38,18 @@ class Splits:
 
 
 def split_observations(obs: DataFrame, weights=SPLIT_WEIGHTS, seed: int = SPLIT_SEED,
-                       storage: str | None = "cache") -> Splits:
+                       storage: str | None = "table") -> Splits:
     """Hash split of an observation frame into train / validation / test.
 
     The source is read once: the split tag is computed in one pass and the
-    tagged observations are kept, so each split (and every later pass over it)
-    is a filter over that copy instead of a fresh scan of the whole source (an
-    md5 filter cannot be pushed into the scan). ``storage='cache'`` persists
-    them (memory, then local disk; lost blocks are recomputed from the source
-    partitions they came from); ``storage='table'`` writes them once to the
+    tagged observations are kept, instead of scanning the whole source again
+    for every split and every later pass (an md5 filter cannot be pushed into
+    the scan). ``storage='table'`` (default) writes them once to the
     checkpoint folder partitioned by split, so each split reads only its own
-    folder; ``None`` keeps three independent filters of the source.
+    folder and nothing is recomputed from the source after an executor loss;
+    ``storage='cache'`` persists them instead (memory, then local disk), which
+    is cheaper for small inputs but makes every split a filter over all rows;
+    ``None`` keeps three independent filters of the source.
     """
     names = ("train", "validation", "test")
     if storage is None:
