@@ -205,11 +205,17 @@ def fit_logistic_many(encoded: DataFrame, num_features: int, configs, iterations
 
     The weights of all models in a pass are broadcast every iteration; when
     ``models x (d + 1) x 8`` bytes would exceed ``max_broadcast_bytes``, the
-    models are fitted in consecutive groups that stay under it.
+    models are fitted in consecutive groups that stay under it. A single model
+    above the bound is refused (hash its features into fewer buckets).
     """
     if reg_type not in ("l2", None):
         raise ValueError("reg_type must be 'l2' or None")
     configs = list(configs)
+    if 8 * (int(num_features) + 1) > max_broadcast_bytes:
+        raise ValueError(
+            f"{num_features} weights need {8 * (int(num_features) + 1)} bytes per broadcast, "
+            f"above max_broadcast_bytes={max_broadcast_bytes}: hash the features into fewer "
+            "buckets, or raise the bound if executors can hold the weights")
     per_pass = max(1, int(max_broadcast_bytes // (8 * (int(num_features) + 1))))
     if len(configs) > per_pass:
         out: list[LogisticModel] = []

@@ -140,3 +140,9 @@ def test_wide_index_blocks_match_narrow(spark, ohe):
     wide = fit_logistic_gd(enc, 70_000, iterations=4)
     assert np.array_equal(narrow.weights, wide.weights[:d])
     assert not wide.weights[d:].any() and narrow.intercept == wide.intercept
+
+
+def test_weight_broadcast_bound(spark, ohe):
+    enc, _, d = ohe
+    with pytest.raises(ValueError, match="max_broadcast_bytes"):
+        fit_logistic_many(enc, d, [(1.0, 0.0)], iterations=1, max_broadcast_bytes=8 * d)
