@@ -18,8 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark import StorageLevel  # noqa: E402
 
 from respengine.operators.encode import build_dictionary, one_hot_encode  # noqa: E402
-from respengine.operators.evaluate import (base_rate_value, baseline_log_loss,  # noqa: E402
-                                           evaluate_many, roc_curve)
+from respengine.operators.evaluate import base_rate_value, evaluate_many, roc_curve  # noqa: E402
 from respengine.operators.hashing import DEFAULT_BUCKETS, hash_features  # noqa: E402
 from respengine.operators.model import fit_logistic_gd, predict  # noqa: E402
 from respengine.operators.profile import count_histogram  # noqa: E402
@@ -72,9 +71,8 @@ def main() -> None:
     model = timed("ohe_fit_50", lambda: fit_logistic_gd(tr, d.size, **OHE_FIT))
     # 6. baseline and model log loss on train and validation
     rate = base_rate_value(tr)
-    ohe_eval = timed("ohe_evaluate", lambda: (
-        [baseline_log_loss(rate, f).first()[0] for f in (tr, va)],
-        [evaluate_many([model], f)[0] for f in (tr, va)]))
+    ohe_eval = timed("ohe_evaluate", lambda: tuple(zip(*[
+        evaluate_many([model], f, baseline_rate=rate)[::-1] for f in (tr, va)])))
     # 7. ROC on validation
     timed("roc_curve", lambda: roc_curve(predict(model, va)).collect())
     # 8. hashed features for all splits
@@ -85,8 +83,8 @@ def main() -> None:
     grid, best = timed("hash_grid", lambda: grid_search(hashed[0], hashed[1], DEFAULT_BUCKETS,
                                                         GRID_STEPS, GRID_REGS, GRID_ITERATIONS))
     # 10. best model and baseline on test
-    final = timed("final_report", lambda: (baseline_log_loss(rate, hashed[2]).first()[0],
-                                           evaluate_many([best], hashed[2])[0]))
+    final = timed("final_report",
+                  lambda: evaluate_many([best], hashed[2], baseline_rate=rate)[::-1])
     # 11. wider labelled set: dictionary, encoding and 50-iteration fit on lineitem
     def lineitem():
         ls = split_observations(lineitem_returns(spark, sf_dir))

@@ -42,13 +42,21 @@ def evaluate_log_loss(model: LogisticModel, encoded: DataFrame) -> DataFrame:
         F.avg(log_loss(F.col("score"), F.col("label"))).alias("log_loss"))
 
 
-def evaluate_many(models: list[LogisticModel], encoded: DataFrame) -> list[float]:
-    """Log loss of several models in one pass over ``encoded``."""
+def evaluate_many(models: list[LogisticModel], encoded: DataFrame,
+                  baseline_rate: float | None = None) -> list[float]:
+    """Log loss of several models in one pass over ``encoded``.
+
+    With ``baseline_rate`` the baseline's log loss comes from the same pass and
+    is appended as the last element.
+    """
     scored = predict_many(models, encoded)
-    row = scored.agg(*[F.avg(log_loss(F.col(f"score_{k}"), F.col("label"))).alias(f"ll_{k}")
-                       for k in range(len(models))]).first()
-    return [float(row[f"ll_{k}"]) if row[f"ll_{k}"] is not None else float("nan")
+    aggs = [F.avg(log_loss(F.col(f"score_{k}"), F.col("label"))).alias(f"ll_{k}")
             for k in range(len(models))]
+    if baseline_rate is not None:
+        aggs.append(F.avg(log_loss(F.lit(float(baseline_rate)), F.col("label"))).alias("ll_base"))
+    row = scored.agg(*aggs).first()
+    out = [row[a] for a in row.asDict()]
+    return [float(v) if v is not None else float("nan") for v in out]
 
 
 def roc_curve(scored: DataFrame, score_col: str = "score", label_col: str = "label",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.encode import categories_per_feature, lookup
-from ..operators.evaluate import baseline_log_loss, evaluate_many, metric_report, roc_curve
+from ..operators.evaluate import evaluate_many, metric_report, roc_curve
 from ..operators.hashing import DEFAULT_BUCKETS
 from ..operators.model import model_summary, predict, smallest_weights
 from ..operators.profile import count_histogram, sparsity
@@ -46,9 +46,9 @@ def reference_flow(splits: Splits, ohe_iterations: int = OHE_FIT["iterations"],
 
     entries = [("train", "ohe", "baseline", "base_rate", ohe.base_rate)]
     for name, enc in (("train", ohe.train), ("validation", ohe.validation)):
-        entries.append((name, "ohe", "baseline", "log_loss",
-                        float(baseline_log_loss(ohe.base_rate, enc).first()[0])))
-        entries.append((name, "ohe", "logreg", "log_loss", evaluate_many([ohe.model], enc)[0]))
+        model_ll, base = evaluate_many([ohe.model], enc, baseline_rate=ohe.base_rate)
+        entries.append((name, "ohe", "baseline", "log_loss", base))
+        entries.append((name, "ohe", "logreg", "log_loss", model_ll))
     for feats, enc, d in (("ohe", ohe.train, ohe.dictionary.size),
                           ("hashed", hashed.train, num_buckets)):
         sp = sparsity(enc, d).first()
@@ -58,9 +58,8 @@ def reference_flow(splits: Splits, ohe_iterations: int = OHE_FIT["iterations"],
     if best is not None:
         best_val = hashed.grid.where(F.col("is_best")).first()["log_loss"]
         entries.append(("validation", "hashed", "logreg", "log_loss", float(best_val)))
-        entries.append(("test", "hashed", "baseline", "log_loss",
-                        float(baseline_log_loss(ohe.base_rate, hashed.test).first()[0])))
-        entries.append(("test", "hashed", "logreg", "log_loss",
-                        evaluate_many([best], hashed.test)[0]))
+        model_ll, base = evaluate_many([best], hashed.test, baseline_rate=ohe.base_rate)
+        entries.append(("test", "hashed", "baseline", "log_loss", base))
+        entries.append(("test", "hashed", "logreg", "log_loss", model_ll))
     out["metric_report"] = metric_report(spark, entries)
     return out

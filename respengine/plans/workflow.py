@@ -12,8 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.encode import Dictionary, build_dictionary, one_hot_encode
-from ..operators.evaluate import (base_rate_value, baseline_log_loss, evaluate_many,
-                                  metric_report)
+from ..operators.evaluate import base_rate_value, evaluate_many, metric_report
 from ..operators.hashing import DEFAULT_BUCKETS, hash_features
 from ..operators.model import LogisticModel, fit_logistic_gd
 from ..operators.profile import sparsity
@@ -104,8 +103,7 @@ def ohe_report(res: OheResult) -> DataFrame:
     spark = res.train.sparkSession
     entries = [("train", "ohe", "baseline", "base_rate", res.base_rate)]
     for name, enc in (("train", res.train), ("validation", res.validation)):
-        base = baseline_log_loss(res.base_rate, enc).first()[0]
-        model_ll = evaluate_many([res.model], enc)[0]
+        model_ll, base = evaluate_many([res.model], enc, baseline_rate=res.base_rate)
         entries.append((name, "ohe", "baseline", "log_loss", float(base)))
         entries.append((name, "ohe", "logreg", "log_loss", float(model_ll)))
     sp = sparsity(res.train, res.dictionary.size).first()
@@ -137,8 +135,7 @@ def final_report(best: LogisticModel, rate: float, test: DataFrame,
                  features: str = "hashed") -> DataFrame:
     """Best model and train-fraction baseline on the test split."""
     spark = test.sparkSession
-    base = float(baseline_log_loss(rate, test).first()[0])
-    model_ll = evaluate_many([best], test)[0]
+    model_ll, base = evaluate_many([best], test, baseline_rate=rate)
     return metric_report(spark, [("test", features, "baseline", "log_loss", base),
                                  ("test", features, "logreg", "log_loss", model_ll)])
 
