@@ -28,12 +28,14 @@ from .joins import broadcast_row_limit, hot_threshold, lookup_join
 class Dictionary:
     """A numbered dictionary: ``df`` has ``feature_id, category, idx, n``.
 
-    ``n`` is the number of training rows holding the pair; ``size`` and
-    ``total`` (sum of ``n``) are exact counts taken while numbering.
+    ``n`` is the number of training rows holding the pair; ``size``, ``total``
+    (sum of ``n``) and ``bytes`` (the lookup table's size: category bytes plus
+    two ints per entry) are exact, taken while numbering.
     """
     df: DataFrame
     size: int
     total: int
+    bytes: int = 0
 
     def hot_keys(self) -> DataFrame:
         """Pairs frequent enough to skew a shuffle; bounded by ``hot_threshold``."""
@@ -93,13 +95,15 @@ def build_dictionary(obs: DataFrame, num_partitions: int | None = None) -> Dicti
     counts.unpersist()
     per_part = (ranged.groupBy("_part")
                 .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_first"),
-                     F.sum("n").alias("_n"))
+                     F.sum("n").alias("_n"),
+                     F.sum(F.octet_length("category") + F.lit(8)).alias("_bytes"))
                 .orderBy("_part").collect())  # one row per range partition
-    offsets, acc, total = [], 0, 0
+    offsets, acc, total, size_bytes = [], 0, 0, 0
     for r in per_part:
         offsets.append((r["_part"], acc, r["_first"]))
         acc += r["_cnt"]
         total += r["_n"]
+        size_bytes += r["_bytes"] or 0
     off_schema = T.StructType([T.StructField("_part", T.IntegerType()),
                                T.StructField("_offset", T.LongType()),
                                T.StructField("_first", T.LongType())])
@@ -109,7 +113,7 @@ def build_dictionary(obs: DataFrame, num_partitions: int | None = None) -> Dicti
                   (F.col("_offset") + F.col("_pos") - F.col("_first")).cast("int").alias("idx"),
                   F.col("n").cast("bigint").alias("n"))
           .persist())
-    return Dictionary(df=df, size=acc, total=total)
+    return Dictionary(df=df, size=acc, total=total, bytes=int(size_bytes))
 
 
 def lookup(dictionary: Dictionary, feature_id: int, category: str) -> DataFrame:
@@ -139,8 +143,8 @@ def one_hot_encode(obs: DataFrame, dictionary: Dictionary, unseen: str = "skip",
     limit = broadcast_row_limit(spark) if max_broadcast_rows is None else max_broadcast_rows
     long = to_long(obs, keep_empty=True)
     joined = lookup_join(long, dictionary.table(), ["feature_id", "category"],
-                         table_rows=dictionary.size, hot_keys=dictionary.hot_keys(),
-                         max_broadcast_rows=limit)
+                         table_rows=dictionary.size, table_bytes=dictionary.bytes,
+                         hot_keys=dictionary.hot_keys(), max_broadcast_rows=limit)
     idx = F.col("idx")
     if unseen == "error":
         idx = F.when(

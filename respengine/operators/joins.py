@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
 DEFAULT_MAX_HOT_KEYS = 10_000
 # Fewest salts per hot key (more when there are more shuffle partitions).
 DEFAULT_SALT_BUCKETS = 64
@@ -24,6 +25,11 @@ def broadcast_row_limit(spark: SparkSession) -> int:
     return int(spark.conf.get("respengine.broadcastMaxRows", str(DEFAULT_BROADCAST_ROWS)))
 
 
+def broadcast_byte_limit(spark: SparkSession) -> int:
+    """Byte bound for broadcasting a lookup table (``respengine.broadcastMaxBytes``)."""
+    return int(spark.conf.get("respengine.broadcastMaxBytes", str(DEFAULT_BROADCAST_BYTES)))
+
+
 def hot_threshold(total: int, max_hot: int = DEFAULT_MAX_HOT_KEYS) -> int:
     """Frequency above which a key counts as hot.
 
@@ -34,17 +40,20 @@ def hot_threshold(total: int, max_hot: int = DEFAULT_MAX_HOT_KEYS) -> int:
 
 
 def lookup_join(left: DataFrame, table: DataFrame, keys: list[str], *, table_rows: int,
-                hot_keys: DataFrame | None = None, salt_buckets: int | None = None,
+                table_bytes: int | None = None, hot_keys: DataFrame | None = None,
+                salt_buckets: int | None = None,
                 max_broadcast_rows: int | None = None) -> DataFrame:
     """Left join ``left`` to ``table`` (unique on ``keys``); unmatched rows get nulls.
 
-    ``table_rows`` is the exact size of ``table``; ``hot_keys`` (bounded) lists
-    keys that may be heavily repeated on the left, either as keys only or as
-    the matching rows of ``table`` itself.
+    ``table_rows`` (and, when known, ``table_bytes``) are the exact size of
+    ``table``; it is broadcast only when both are under their bounds.
+    ``hot_keys`` (bounded) lists keys that may be heavily repeated on the left,
+    either as keys only or as the matching rows of ``table`` itself.
     """
     spark = left.sparkSession
     limit = broadcast_row_limit(spark) if max_broadcast_rows is None else max_broadcast_rows
-    if table_rows <= limit:
+    if table_rows <= limit and (table_bytes is None
+                                or table_bytes <= broadcast_byte_limit(spark)):
         return left.join(F.broadcast(table), keys, "left")
     if hot_keys is None:
         # No frequency information: leave skew splitting to AQE's skew join.

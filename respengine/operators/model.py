@@ -344,7 +344,8 @@ def predict_many(models: list[LogisticModel], encoded: DataFrame,
                   .agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK))
         total = counts.agg(F.sum("n")).first()[0] or 0
         hot_idx = counts.where(F.col("n") >= F.lit(hot_threshold(total))).select("idx")
-    joined = lookup_join(long, table, ["idx"], table_rows=table_rows, hot_keys=hot_idx,
+    joined = lookup_join(long, table, ["idx"], table_rows=table_rows,
+                         table_bytes=table_rows * (4 + 8 * K), hot_keys=hot_idx,
                          max_broadcast_rows=limit)
     sums = [F.coalesce(F.sum(F.col("value") * F.col(f"w_{k}")), F.lit(0.0)).alias(f"m_{k}")
             for k in range(K)]

@@ -17,6 +17,7 @@ def test_sample_dictionary_golden(spark):
     d = build_dictionary(sample_observations(spark))
     got = {(r["feature_id"], r["category"]): r["idx"] for r in d.df.collect()}
     assert got == SAMPLE_DICT and d.size == 7 and d.total == 8
+    assert d.bytes == sum(len(c.encode()) + 8 for _, c in SAMPLE_DICT)
     assert distinct_features(sample_observations(spark)).count() == 7
 
 
@@ -110,3 +111,18 @@ def test_split_frames_disjoint(spark):
     assert sum(len(i) for i in ids) == 10000
     assert not (ids[0] & ids[1]) and not (ids[1] & ids[2]) and not (ids[0] & ids[2])
     assert obs.where(F.col("row_id") < 0).count() == 0
+
+
+def test_byte_bound_forces_shuffle_plan(spark):
+    obs = ctr_events(spark, SF01)
+    tr, va, _ = split_frames(obs)
+    d = build_dictionary(tr)
+    want = {(r[0], r[2]) for r in encoded_long(one_hot_encode(va, d)).collect()}
+    spark.conf.set("respengine.broadcastMaxBytes", "100")
+    try:
+        enc = one_hot_encode(va, d)
+        got = {(r[0], r[2]) for r in encoded_long(enc).collect()}
+        plan = enc._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("respengine.broadcastMaxBytes")
+    assert got == want and "_salt" in plan
