@@ -11,10 +11,10 @@ The training rows are first packed into blocks of raw buffers (as Spark ML
 stacks instances into blocks) and cached. Per iteration one Spark job runs
 over the blocks: the weights of every model still being fitted travel as one
 broadcast, each task turns its blocks into partial gradients with numpy, and
-the partials are summed per index (directly on the driver when
-``partitions x models x (d + 1)`` is small, otherwise by a grouped sum on the
-index first), so at most ``d + 1`` numbers per model reach the driver.
-Several models (a grid) share each pass over the data.
+the partials are summed per index: directly on the driver when
+``partitions x models x (d + 1)`` stays under 4M values, otherwise by a
+grouped sum on the index first, so that only ``d + 1`` values per model reach
+the driver. Several models (a grid) share each pass over the data.
 
 Scoring stays in the JVM: a lookup join of the stored entries against the
 weight table (broadcast when its size allows) and a per-row sum.
