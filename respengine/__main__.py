@@ -33,9 +33,13 @@ def main(argv=None) -> None:
     ap.add_argument("--ohe-iterations", type=int, default=50)
     ap.add_argument("--grid-iterations", type=int, default=500)
     ap.add_argument("--split-storage", default="table", choices=["cache", "table"])
+    ap.add_argument("--ui", action="store_true", help="keep the Spark web UI on (off by default)")
     args = ap.parse_args(argv)
 
-    spark = SparkSession.builder.appName("respengine").getOrCreate()
+    builder = SparkSession.builder.appName("respengine")
+    if not args.ui:
+        builder = builder.config("spark.ui.enabled", "false")
+    spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)
     obs = (read_labelled_lines(spark, args.text, sep=args.sep, blank=args.blank) if args.text
            else ctr_events(spark, args.events))
