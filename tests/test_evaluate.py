@@ -73,3 +73,11 @@ def test_pivot_surface(spark):
     assert piv[0]["reg_1e-02"] == 0.46556321
     best = surface_results(spark).orderBy("log_loss").first()
     assert (best["step_size"], best["reg_param"]) == (18.0, 1e-7)
+
+
+def test_roc_edge_cases(spark):
+    empty = spark.createDataFrame([], "label double, score double")
+    assert roc_curve(empty).collect() == []
+    one = spark.createDataFrame([(1.0, 0.5), (0.0, 0.5), (1.0, 0.5)], "label double, score double")
+    (row,) = roc_curve(one).collect()
+    assert (row["tp"], row["fp"], row["tpr"], row["fpr"]) == (2, 1, 1.0, 1.0)
