@@ -218,6 +218,15 @@ FROM dqs r JOIN dql l ON l.row_id = r.row_id
      LEFT JOIN ddict d ON d.feature_id = l.feature_id AND d.category = l.category
 WHERE r.split = 'test' GROUP BY r.row_id, r.label"""
 
+    q["doc_quality_fit_3_iterations"] = f"""WITH {doc},
+drows_train AS (SELECT row_id, label FROM dqs WHERE split = 'train'),
+dohe_train AS (
+  SELECT l.row_id, l.label, d.idx, 1.0::DOUBLE AS value
+  FROM dql l JOIN ddict d ON d.feature_id = l.feature_id AND d.category = l.category
+  WHERE l.split = 'train'),
+{fit_ctes("q", "drows_train", "dohe_train", CHECK_ITERATIONS, OHE_FIT["step_size"], OHE_FIT["reg_param"])}
+SELECT idx, {r6('w')} AS weight FROM q_wf"""
+
     q["feature_counts"] = f"WITH {ohe_ctes()}\nSELECT idx, count(*)::BIGINT AS n FROM ohe_train GROUP BY idx"
     buckets = " ".join(f"WHEN n <= {2 ** e} THEN {2 ** e}" for e in range(0, 11))
     q["count_histogram"] = f"""WITH {ohe_ctes()},

@@ -172,6 +172,12 @@ def q_doc_quality_dictionary(spark, sf):
     return build_dictionary(s.train).df
 
 
+def q_doc_quality_fit_3_iterations(spark, sf):
+    """M1 on the second labelled set: weights after 3 iterations, quality label."""
+    res = run_ohe(split_observations(doc_quality(spark, sf)), iterations=CHECK_ITERATIONS)
+    return rounded(res.model.weights_df(spark))
+
+
 def q_doc_quality_encode_test(spark, sf):
     """J2 on the second labelled set: known features per test row."""
     s = split_observations(doc_quality(spark, sf))
@@ -374,6 +380,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ohe_empty_rows": q_ohe_empty_rows,
     "doc_quality_dictionary": q_doc_quality_dictionary,
     "doc_quality_encode_test": q_doc_quality_encode_test,
+    "doc_quality_fit_3_iterations": q_doc_quality_fit_3_iterations,
     "feature_counts": q_feature_counts,
     "count_histogram": q_count_histogram,
     "md5_buckets": q_md5_buckets,
