@@ -261,6 +261,11 @@ FROM cel"""
                 "year(l_shipdate)::VARCHAR", "month(l_shipdate)::VARCHAR",
                 "l_suppkey::VARCHAR", "l_partkey::VARCHAR"]
     li_strs = ", ".join(f"coalesce({f}, '') || '{i}'" for i, f in enumerate(li_feats))
+    li_cols = ", ".join(f"coalesce({f}, '')" for f in li_feats)
+    q["lineitem_categories_per_feature"] = f"""WITH li AS (
+  SELECT unnest(range({len(li_feats)}))::INTEGER AS feature_id, unnest([{li_cols}]) AS category
+  FROM lineitem)
+SELECT feature_id, count(DISTINCT category)::BIGINT AS n_categories FROM li GROUP BY feature_id"""
     q["lineitem_hash_nnz"] = f"""WITH li AS (SELECT list_distinct([{li_strs}]) AS strs FROM lineitem),
 per_row AS (
   SELECT len(list_distinct(list_transform(strs, lambda s: {md5_bucket_sql('s', 1024)})))::INTEGER AS nnz,
@@ -314,6 +319,19 @@ SELECT score + 0.0 AS score, tp::BIGINT AS tp, fp::BIGINT AS fp,
        {r6('CASE WHEN tneg = 0 THEN NULL ELSE fp / tneg END', 9)} AS fpr
 FROM cum"""
 
+    q["roc_curve_binned"] = f"""WITH {ohe_fit()},
+{predict_cte('pv', 'f', 'rows_validation', 'ohe_validation')},
+pts AS (SELECT floor(score * 20) / 20.0 AS score, sum(label) AS pos, sum(1.0 - label) AS neg
+        FROM pv GROUP BY 1),
+cum AS (
+  SELECT score, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp,
+         sum(pos) OVER () AS tpos, sum(neg) OVER () AS tneg
+  FROM pts WINDOW w AS (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT {r6('score', 9)} AS score, tp::BIGINT AS tp, fp::BIGINT AS fp,
+       {r6('CASE WHEN tpos = 0 THEN NULL ELSE tp / tpos END', 9)} AS tpr,
+       {r6('CASE WHEN tneg = 0 THEN NULL ELSE fp / tneg END', 9)} AS fpr
+FROM cum"""
+
     # one-hot report
     rep_rows = [
         ("train", "baseline", "base_rate", rate),

@@ -166,6 +166,11 @@ def q_ohe_empty_rows(spark, sf):
     return with_feature_counts(enc).select("row_id", "label", F.col("nnz").cast("int"))
 
 
+def q_lineitem_categories_per_feature(spark, sf):
+    """A2 on the wide lineitem set (8 positions, up to tens of thousands of categories)."""
+    return categories_per_feature(lineitem_returns(spark, sf))
+
+
 def q_doc_quality_dictionary(spark, sf):
     """A3 on the second labelled set (documents with quality labels)."""
     s = split_observations(doc_quality(spark, sf))
@@ -332,6 +337,12 @@ def q_roc_curve(spark, sf):
     return rounded(roc_curve(predict(res.model, res.validation), round_digits=9), 9)
 
 
+def q_roc_curve_binned(spark, sf):
+    """W2 with num_bins=20: the curve at score bins of width 1/20."""
+    res = _ohe(spark, sf)
+    return rounded(roc_curve(predict(res.model, res.validation), num_bins=20), 9)
+
+
 def q_metric_report(spark, sf):
     """One-hot report (base rate, baseline and model log loss, sparsity) with text."""
     return rounded(ohe_report(_ohe(spark, sf)))
@@ -378,6 +389,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ohe_encode_validation": q_ohe_encode_validation,
     "ohe_encode_validation_shuffled": q_ohe_encode_validation_shuffled,
     "ohe_empty_rows": q_ohe_empty_rows,
+    "lineitem_categories_per_feature": q_lineitem_categories_per_feature,
     "doc_quality_dictionary": q_doc_quality_dictionary,
     "doc_quality_encode_test": q_doc_quality_encode_test,
     "doc_quality_fit_3_iterations": q_doc_quality_fit_3_iterations,
@@ -398,6 +410,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "predict_scores_shuffled": q_predict_scores_shuffled,
     "evaluate_log_loss": q_evaluate_log_loss,
     "roc_curve": q_roc_curve,
+    "roc_curve_binned": q_roc_curve_binned,
     "grid_search": q_grid_search,
     "grid_pivot": q_grid_pivot,
     "metric_report": q_metric_report,
