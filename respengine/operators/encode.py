@@ -23,6 +23,9 @@ from pyspark.sql import types as T
 from ..session import materialize
 from .joins import broadcast_row_limit, hot_threshold, lookup_join
 
+# Dictionary entries per range partition when numbering.
+ENTRIES_PER_RANGE = 1_000_000
+
 
 @dataclass
 class Dictionary:
@@ -76,14 +79,25 @@ def categories_per_feature(obs: DataFrame, approximate: bool = False) -> DataFra
 
 
 def build_dictionary(obs: DataFrame, num_partitions: int | None = None) -> Dictionary:
-    """Number the distinct pairs of ``obs`` in ``(feature_id, category)`` order."""
+    """Number the distinct pairs of ``obs`` in ``(feature_id, category)`` order.
+
+    Without ``num_partitions`` the range count follows the dictionary's size:
+    about ``ENTRIES_PER_RANGE`` entries per range, at most the session's
+    shuffle partitions.
+    """
     spark = obs.sparkSession
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # The pair counts (one row per dictionary entry) are cached so that the
-    # range-bounds sample and the numbering read them instead of the input.
+    # sizing, the range-bounds sample and the numbering read them instead of
+    # the input.
     counts = (to_long(obs).groupBy("feature_id", "category")
               .agg(F.count(F.lit(1)).alias("n"))
               .persist(StorageLevel.MEMORY_AND_DISK))
+    if num_partitions:
+        parts = num_partitions
+    else:
+        entries = counts.count()
+        parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                           -(-entries // ENTRIES_PER_RANGE)))
     ranged = (counts.repartitionByRange(parts, "feature_id", "category")
               .sortWithinPartitions("feature_id", "category")
               .select("feature_id", "category", "n",
