@@ -13,7 +13,7 @@ from ..functions.columns import log_loss
 from .model import LogisticModel, predict, predict_many
 
 # Distinct scores handled by one range task of the ROC running sums.
-ROC_POINTS_PER_RANGE = 1_000_000
+ROC_POINTS_PER_RANGE = 250_000
 
 
 def base_rate(train: DataFrame) -> DataFrame:
@@ -83,11 +83,8 @@ def roc_curve(scored: DataFrame, score_col: str = "score", label_col: str = "lab
               .agg(F.sum("_y").alias("_pos"), F.sum(F.lit(1.0) - F.col("_y")).alias("_neg"))
               .persist())
     if num_ranges is None:
-        # At most ROC_POINTS_PER_RANGE points per range task, and never fewer
-        # ranges than the session's shuffle partitions.
-        distinct = points.count()
-        num_ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                         -(-distinct // ROC_POINTS_PER_RANGE))
+        # About ROC_POINTS_PER_RANGE distinct scores per range task.
+        num_ranges = max(1, -(-points.count() // ROC_POINTS_PER_RANGE))
     ranges = num_ranges
     bounds = []
     if ranges > 1:
