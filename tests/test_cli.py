@@ -24,3 +24,20 @@ def test_reference_flow_cli_on_text(spark):
     sizes = dict(spark.read.parquet(os.path.join(out, "split_sizes")).collect())
     assert sizes["total"] == 1000
     assert spark.read.parquet(os.path.join(out, "hash_grid")).count() == 4
+
+
+def test_cli_comma_separator_and_blank_positives(spark):
+    src = tempfile.mkdtemp(prefix="respengine-cli-csv-")
+    with open(os.path.join(src, "clicks.csv"), "w") as fh:
+        for i in range(60):
+            fh.write(f"{i % 2},{i % 3},{i % 5},x{i % 4}\n")
+        fh.write("\n")  # an interior blank line
+        fh.write("1,0,0,x0\n")
+    out = tempfile.mkdtemp(prefix="respengine-cli-csv-out-")
+    main(["--text", src, "--sep", ",", "--blank", "positive", "--out", out,
+          "--ohe-iterations", "2", "--grid-iterations", "2"])
+    sizes = dict(spark.read.parquet(os.path.join(out, "split_sizes")).collect())
+    # 61 data lines + the interior blank line + the line after the final newline
+    assert sizes["total"] == 63
+    cats = dict(spark.read.parquet(os.path.join(out, "categories_per_feature")).collect())
+    assert set(cats) == {0, 1, 2}

@@ -146,3 +146,21 @@ def test_weight_broadcast_bound(spark, ohe):
     enc, _, d = ohe
     with pytest.raises(ValueError, match="max_broadcast_bytes"):
         fit_logistic_many(enc, d, [(1.0, 0.0)], iterations=1, max_broadcast_bytes=8 * d)
+
+
+def test_no_regularisation_matches_mllib(spark, ohe):
+    import warnings
+    from pyspark.mllib.classification import LogisticRegressionWithSGD
+    from pyspark.mllib.linalg import SparseVector
+    from pyspark.mllib.regression import LabeledPoint
+    enc, _, d = ohe
+    ours = fit_logistic_gd(enc, d, iterations=5, step_size=5.0, reg_param=0.1, reg_type=None)
+    rows = enc.select("label", "indices", "values").collect()
+    rdd = spark.sparkContext.parallelize(
+        [LabeledPoint(r[0], SparseVector(d, r[1], r[2])) for r in rows], 2)
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        ml = LogisticRegressionWithSGD.train(rdd, iterations=5, step=5.0, regParam=0.1,
+                                             regType=None, intercept=True)
+    assert np.max(np.abs(np.array(ml.weights) - ours.weights)) < 1e-9
+    assert abs(ml.intercept - ours.intercept) < 1e-9
