@@ -12,6 +12,7 @@ import os
 import re
 import sys
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -26,9 +27,10 @@ from respengine.operators.search import grid_search  # noqa: E402
 from respengine.operators.split import hash_split, split_sizes  # noqa: E402
 from respengine.plans.workflow import (GRID_ITERATIONS, GRID_REGS, GRID_STEPS,  # noqa: E402
                                         OHE_FIT, split_observations)
-from respengine.session import local_session  # noqa: E402
+from respengine.session import ensure_checkpoint_dir, local_session  # noqa: E402
 from respengine.sources.tables import ctr_events, lineitem_returns  # noqa: E402
-from respengine.sources.text import lines_from_observations, parse_lines  # noqa: E402
+from respengine.sources.text import (lines_from_observations, parse_lines,  # noqa: E402
+                                     read_labelled_lines)
 
 MEM = StorageLevel.MEMORY_AND_DISK
 
@@ -58,6 +60,11 @@ def main() -> None:
     # 1. text lines -> parse -> split sizes
     timed("parse_split", lambda: split_sizes(
         hash_split(parse_lines(lines_from_observations(obs)))).collect())
+    # 1b. the same lines as a text file (written untimed), read back and split
+    text_path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/bench-text/{uuid.uuid4().hex}"
+    lines_from_observations(obs).select("line").write.text(text_path)
+    timed("text_read", lambda: split_sizes(
+        hash_split(read_labelled_lines(spark, text_path))).collect())
     splits = split_observations(obs)
     # 2. dictionary on train
     d = timed("ohe_dictionary", lambda: build_dictionary(splits.train))
