@@ -40,7 +40,10 @@ _DENSE_ACC_LIMIT = 1 << 22
 # Partial gradients go straight to the driver when partitions * models * (d + 1)
 # stays under this bound; beyond it a grouped sum on the index reduces them first.
 _DIRECT_REDUCE_LIMIT = 1 << 22
-_GRAD_SCHEMA = "k int, idx int, g double"
+# Partial gradient rows (a StructType: no DDL parsing in every iteration).
+_GRAD_SCHEMA = T.StructType([T.StructField("k", T.IntegerType()),
+                             T.StructField("idx", T.IntegerType()),
+                             T.StructField("g", T.DoubleType())])
 # Bound on the weights broadcast per iteration (all models of one pass).
 DEFAULT_WEIGHT_BROADCAST_BYTES = 1 << 30
 
