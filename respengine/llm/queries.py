@@ -5,8 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from respengine.llm.chat_format import chat_format, read_back
 from respengine.llm.common import read_table
+from respengine.llm.exact_dedup import exact_dedup
+from respengine.llm.mixing import mix
 from respengine.llm.substring_dedup import substring_dedup
 from respengine.llm.suffix_dedup import suffix_dedup
 
@@ -17,11 +21,42 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(docs, width=200, keep_text=False).drop("kept")
 
 
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one made of control strings, formatted and read back."""
+    extra = spark.sql(f"""select * from values (-1L, 0L, 'user', '{CONTROL_TEXT}'),
+        (-1L, 1L, 'assistant', '{CONTROL_TEXT}') as t(conv_id, turn, role, text)""")
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    back = read_back(chat_format(turns.unionAll(extra)))
+    said = F.flatten(F.transform("blocks", lambda b: F.transform(
+        b["texts"], lambda t: F.concat(b["role"], F.lit("\n"), t, F.lit("\n")))))
+    learned = F.array_join(F.flatten(F.transform(
+        F.filter("blocks", lambda b: b["trained"]), lambda b: b["texts"])), "")
+    return back.select("conv_id", F.size(said).cast("long").alias("n_turns"),
+                       F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
+                       F.length(learned).cast("long").alias("loss_chars"),
+                       F.sha2(learned, 256).alias("loss_sha256"),
+                       F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix takes."""
+    return mix(read_table(spark, sf_dir, "documents")).drop("source")
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of repeated 35-word windows, removed from every document."""
     docs = read_table(spark, sf_dir, "documents")
     return substring_dedup(docs, window=35, keep_text=False).drop("kept")
 
 
+def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the copy that stays."""
+    return exact_dedup(read_table(spark, sf_dir, "documents")).drop("file", "pos")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_dedup, op8_substring_dedup)}
+    f.__name__: f for f in (op1_suffix_dedup, op5_chat_format, op6_mix_sources, op8_substring_dedup,
+                             op10_exact_dedup)}
