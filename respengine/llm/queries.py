@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from respengine.llm.chat_format import chat_format, read_back
-from respengine.llm.common import read_table
+from respengine.llm.common import read_table, shared_path
+from respengine.llm.decontaminate import contaminated
 from respengine.llm.exact_dedup import exact_dedup
+from respengine.llm.language_id import identify, learn, remainder
 from respengine.llm.mixing import mix
+from respengine.llm.secret_scan import listed, scan
 from respengine.llm.substring_dedup import substring_dedup
 from respengine.llm.suffix_dedup import suffix_dedup
 
@@ -21,6 +24,24 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(docs, width=200, keep_text=False).drop("kept")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predicted language of every document; a quarter of them is held out."""
+    docs = read_table(spark, sf_dir, "documents")
+    profiles = learn(docs.where(remainder("doc_id", 4) != 2))
+    told = docs.select("doc_id", "text", (remainder("doc_id", 4) == 2).alias("held_out"))
+    return identify(told, profiles).drop("text")
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, through a new ledger."""
+    found = scan(read_table(spark, sf_dir, "documents"), shared_path(spark, "secret_ledger"))
+    kind = lambda k: F.size(F.filter("f", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+    rows = found.withColumn("f", F.coalesce("findings", F.array().cast(found.schema["findings"].dataType)))
+    return rows.select("doc_id", kind("assign"), kind("access"), kind("hex"),
+                       F.sha2(listed(F.filter("f", lambda s: s["base"])), 256).alias("base_sha256"),
+                       listed(F.col("f")).alias("spans"))
+
+
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
@@ -52,11 +73,16 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(docs, window=35, keep_text=False).drop("kept")
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, and the window that does."""
+    return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the copy that stays."""
     return exact_dedup(read_table(spark, sf_dir, "documents")).drop("file", "pos")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_dedup, op5_chat_format, op6_mix_sources, op8_substring_dedup,
-                             op10_exact_dedup)}
+    f.__name__: f for f in (op1_suffix_dedup, op2_language_id, op4_secret_scan, op5_chat_format, op6_mix_sources, op8_substring_dedup,
+                             op9_decontaminate, op10_exact_dedup)}
