@@ -12,6 +12,7 @@ from respengine.llm.common import read_table, shared_path
 from respengine.llm.decontaminate import contaminated
 from respengine.llm.exact_dedup import exact_dedup
 from respengine.llm.language_id import identify, learn, remainder
+from respengine.llm.lm_score import lm_score
 from respengine.llm.mixing import mix
 from respengine.llm.secret_scan import listed, scan
 from respengine.llm.substring_dedup import substring_dedup
@@ -32,6 +33,13 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(told, profiles).drop("text")
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code length of every document; a tenth of them is held out."""
+    docs = read_table(spark, sf_dir, "documents")
+    out = remainder("doc_id", 10) == 0
+    return lm_score(docs, ~out).withColumn("held_out", out)
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, through a new ledger."""
     found = scan(read_table(spark, sf_dir, "documents"), shared_path(spark, "secret_ledger"))
@@ -84,5 +92,6 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_dedup, op2_language_id, op4_secret_scan, op5_chat_format, op6_mix_sources, op8_substring_dedup,
+    f.__name__: f for f in (op1_suffix_dedup, op2_language_id, op3_lm_score, op4_secret_scan,
+                             op5_chat_format, op6_mix_sources, op8_substring_dedup,
                              op9_decontaminate, op10_exact_dedup)}
