@@ -131,11 +131,11 @@ def parts_of(keys: np.ndarray, parts: int) -> np.ndarray:
 
 
 class Keys:
-    """The distinct 96-bit keys of a chunk in order, and the way back to its items."""
+    """The distinct 80-bit keys of a chunk in order, and the way back to its items."""
 
     def __init__(self, key: np.ndarray, check: np.ndarray | None = None):
         if check is None:
-            check = np.zeros(len(key), np.uint32)
+            check = np.zeros(len(key), np.uint16)
         order = np.argsort(key, kind="stable")
         k, c = key[order], check[order]
         same = k[1:] == k[:-1]
@@ -162,12 +162,32 @@ class Keys:
             yield int(p), slice(int(bounds[p]), int(bounds[p + 1]))
 
 
+def pack(key: np.ndarray) -> bytes:
+    """Sorted keys with their upper halves as 16-bit steps (longer ones at the end)."""
+    step = np.diff(key >> np.uint64(32), prepend=np.uint64(0))
+    far = step >= 65535
+    return (np.where(far, 65535, step).astype("<u2").tobytes() + key.astype("<u4").tobytes()
+            + step[far].astype("<u4").tobytes())
+
+
+def unpack(packed: bytes, n: int) -> np.ndarray:
+    step = np.frombuffer(packed, "<u2", n).astype(np.uint64)
+    low = np.frombuffer(packed, "<u4", n, 2 * n).astype(np.uint64)
+    step[step == 65535] = np.frombuffer(packed, "<u4", offset=6 * n)
+    return (np.cumsum(step) << np.uint64(32)) | low
+
+
+def _blocks(table: pa.Table) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    checks = [np.frombuffer(b, np.uint16) for b in table.column("checks").to_pylist()]
+    return [unpack(b, len(c)) for b, c in zip(table.column("keys").to_pylist(), checks)], checks
+
+
 REQUEST = "chunk int, part int, keys binary, checks binary"
 ANSWER = "chunk int, part int, n int, bits binary"
 
 
 def request_table(chunk: int, keys: Keys, parts: int) -> pa.Table:
-    rows = [(p, keys.key[s].tobytes(), keys.check[s].tobytes()) for p, s in keys.blocks(parts)]
+    rows = [(p, pack(keys.key[s]), keys.check[s].tobytes()) for p, s in keys.blocks(parts)]
     return pa.table({
         "chunk": pa.array([chunk] * len(rows), pa.int32()),
         "part": pa.array([r[0] for r in rows], pa.int32()),
@@ -185,13 +205,57 @@ def answer_table(chunks, parts, flags: list[np.ndarray]) -> pa.Table:
 def repeated(table: pa.Table) -> pa.Table:
     """For the blocks of one part: which keys another chunk has too."""
     chunks, parts = table.column("chunk").to_pylist(), table.column("part").to_pylist()
-    blocks = [np.frombuffer(b, np.uint64) for b in table.column("keys").to_pylist()]
-    checks = [np.frombuffer(b, np.uint32) for b in table.column("checks").to_pylist()]
+    blocks, checks = _blocks(table)
     keys = Keys(np.concatenate(blocks), np.concatenate(checks))
     flags = keys.to_items(keys.count > 1)
     return answer_table(chunks, parts, np.split(flags, np.cumsum([len(b) for b in blocks])[:-1]))
 
 
+def holders(table: pa.Table) -> pa.Table:
+    """For the blocks of one part: which keys another chunk has too, then (as many bits
+    again) for which this chunk is the first that has them."""
+    chunks, parts = table.column("chunk").to_pylist(), table.column("part").to_pylist()
+    blocks, checks = _blocks(table)
+    by_chunk = np.argsort(chunks, kind="stable")
+    chunks, parts, blocks, checks = ([x[i] for i in by_chunk] for x in (chunks, parts, blocks, checks))
+    keys = Keys(np.concatenate(blocks), np.concatenate(checks))
+    several = keys.to_items(keys.count > 1)
+    first = np.zeros(len(several), bool)
+    first[keys.order[keys.new]] = True  # the order is stable: the lowest chunk leads
+    cuts = np.cumsum([len(b) for b in blocks])[:-1]
+    flags = [np.concatenate(f) for f in zip(np.split(several, cuts), np.split(first, cuts))]
+    return answer_table(chunks, parts, flags)
+
+
+class Originals:
+    """Which rows of a chunk are the first with their key, and which have copies."""
+
+    def __init__(self, key: np.ndarray, check: np.ndarray, answers: pa.Table):
+        keys = Keys(key, check)
+        rows = sorted(zip(answers.column("part").to_pylist(), answers.column("n").to_pylist(),
+                          answers.column("bits").to_pylist()))
+        halves = [np.split(np.unpackbits(np.frombuffer(b, np.uint8), count=n), 2) for _, n, b in rows]
+        several, first = (np.concatenate([h[i] for h in halves]).astype(bool) if halves
+                          else np.zeros(0, bool) for i in (0, 1))
+        if len(several) != len(keys.key):
+            raise RuntimeError(f"{len(several)} answers for {len(keys.key)} keys")
+        self.copied = keys.to_items(several | (keys.count > 1))
+        leads = np.zeros(len(key), bool)
+        leads[keys.order[keys.new]] = True
+        self.active = leads & keys.to_items(first)
+
+
+def text_keys(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """80-bit keys of whole texts."""
+    key, check = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint16)]
+    for _, data, off in text_slices(table):
+        size = np.diff(off).astype(np.uint64)
+        key.append(mix(Rolling(byte_values(data)).ranges(off[:-1], off[1:]) + mix(size)))
+        other = Rolling(mix(data.astype(np.uint64) + np.uint64(0x51))).ranges(off[:-1], off[1:])
+        check.append((mix(other + size) >> np.uint64(48)).astype(np.uint16))
+    return np.concatenate(key), np.concatenate(check)
+
+
 def answered(table: pa.Table, n: int) -> np.ndarray:
     """The flags of a chunk's ``n`` distinct keys, from the answers of all parts."""
     rows = sorted(zip(table.column("part").to_pylist(), table.column("n").to_pylist(),

@@ -5,7 +5,7 @@ positions i and j share an offset d below ``period`` with both i+d and j+d at co
 positions (positions whose remainder modulo the period is in the difference cover), so
 hashing ``window - period + 1`` words at cover positions only finds an aligned anchor in
 every repeated window. Windows around repeated anchors are then extended: the whole
-window is hashed to 96 bits and counted over the corpus.
+window is hashed to 80 bits and counted over the corpus.
 
 Three passes over each chunk of documents, joined by two exchanges of sorted key blocks:
 anchors out, repeated anchors back; whole windows out, repeated windows back; removal.
@@ -59,7 +59,7 @@ def _candidates(off: np.ndarray, at: np.ndarray, shared: np.ndarray, total: int,
 def _windows(hashes: np.ndarray, starts: np.ndarray, window: int) -> K.Keys:
     key = K.mix(K.Rolling(hashes).ranges(starts, starts + window))
     other = K.Rolling(K.mix(hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5))).ranges(starts, starts + window)
-    return K.Keys(key, (K.mix(other) >> np.uint64(32)).astype(np.uint32))
+    return K.Keys(key, (K.mix(other) >> np.uint64(48)).astype(np.uint16))
 
 
 def substring_dedup(docs: DataFrame, *, window: int = 35, id_col: str = "doc_id",

@@ -13,8 +13,11 @@ also starts anywhere else covers it.
 2. Merge. Each part merges the runs of all chunks with a loser tree that keeps common
    prefix lengths: a match is decided by the lengths alone, or compares bytes from the
    known length on. Where neighbours share the whole string, the suffix is repeated.
+Of equal texts only the first takes part (found by one exchange of 80-bit text keys); the
+others, and it, go whole if a window fits into them.
+
 3. Extension. Windows around repeated suffixes are taken to full width, counted over the
-   corpus by 96-bit keys, and the bytes that repeated windows cover are removed.
+   corpus by 80-bit keys, and the bytes that repeated windows cover are removed.
 
 Sorting every suffix would move the input about a hundred times over; the sample moves
 about one suffix in sixty-four positions and loses no window.
@@ -38,7 +41,7 @@ from respengine.llm.common import chunk_count, chunked
 
 GRAM, SPAN = 16, 128
 
-RUN = "chunk int, part int, n int, shared binary, rest binary"
+RUN = "chunk int, part int, shared binary, rest binary, several binary"
 RESULT = ("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
           "kept binary")
 
@@ -52,7 +55,7 @@ def suffix_length(width: int) -> int:
 
 def _sampled(data: np.ndarray, off: np.ndarray, width: int):
     """For every window start: its sampled suffix. Returns starts, sampled positions
-    (ascending), the index of each start's suffix, part hashes and the byte prefix sums."""
+    (ascending), the index of each start's suffix, part hashes and the rolling hash."""
     rolling = K.Rolling(K.byte_values(data))
     grams = K.mix(rolling.windows(GRAM))
     starts = np.flatnonzero(K.room(off) >= width)
@@ -71,54 +74,51 @@ def _sampled(data: np.ndarray, off: np.ndarray, width: int):
     return starts, at, np.cumsum(new) - 1, grams[at] << np.uint64(32), rolling
 
 
-class _Run:
-    """The sampled suffixes of a chunk, sorted within parts."""
+def _suffix_hashes(rows: np.ndarray) -> np.ndarray:
+    """Hash of each row of bytes, as ``Rolling.ranges`` gives it for the same bytes."""
+    power = K.Rolling(np.full(rows.shape[1], 1, np.uint64)).sums
+    weights = power[1:] - power[:-1]
+    out = np.zeros(len(rows), np.uint64)
+    for k in range(rows.shape[1]):
+        out += K.byte_values(rows[:, k]) * weights[k]
+    return out
+
 
-    def __init__(self, table: pa.Table, width: int, parts: int):
-        self.slices, strings, hashes = [], [], []
-        size = suffix_length(width)
-        for _, data, off in K.text_slices(table):
-            starts, at, index, part_hash, _ = _sampled(data, off, width)
-            self.slices.append((starts, index, len(at)))
-            strings.append(data[at[:, None] + np.arange(size)] if len(at)
-                           else np.zeros((0, size), np.uint8))
+def _run(table: pa.Table, width: int, parts: int, chunk: int) -> pa.Table:
+    """The sampled suffixes of a chunk, sorted and front-coded within parts."""
+    size = suffix_length(width)
+    strings, hashes = [np.zeros((0, size), np.uint8)], [np.zeros(0, np.uint64)]
+    for _, data, off in K.text_slices(table):
+        _, at, _, part_hash, _ = _sampled(data, off, width)
+        if len(at):
+            strings.append(data[at[:, None] + np.arange(size)])
             hashes.append(part_hash)
-        rows = np.concatenate(strings) if strings else np.zeros((0, size), np.uint8)
-        part = K.parts_of(np.concatenate(hashes), parts) if hashes else np.zeros(0, np.uint64)
-        columns = np.ascontiguousarray(rows).view(">u8").astype(np.uint64)
-        self.order = np.lexsort([*columns.T[::-1], part])
-        rows, part = rows[self.order], part[self.order]
-        differs = rows[1:] != rows[:-1]
-        prefix = np.where(differs.any(axis=1), differs.argmax(axis=1), size)
-        new = np.ones(len(rows), bool)
-        new[1:] = (prefix < size) | (part[1:] != part[:-1])
-        first = np.flatnonzero(new)
-        self.count = np.diff(np.append(first, len(rows)))
-        self.rows, self.part = rows[first], part[first]
-        self.shared = np.zeros(len(first), np.uint8)
-        self.shared[1:] = prefix[first[1:] - 1]
-        self.bounds = np.searchsorted(self.part, np.arange(parts + 1, dtype=np.uint64))
-
-    def table(self, chunk: int) -> pa.Table:
-        out = {"chunk": [], "part": [], "n": [], "shared": [], "rest": []}
-        for p in np.flatnonzero(np.diff(self.bounds)):
-            a, b = self.bounds[p], self.bounds[p + 1]
-            shared = self.shared[a:b].copy()
-            shared[0] = 0
-            rest = self.rows[a:b][np.arange(self.rows.shape[1]) >= shared[:, None]]
-            for name, value in zip(out, (chunk, int(p), int(b - a), shared.tobytes(),
-                                         rest.tobytes())):
-                out[name].append(value)
-        return pa.table(out, schema=pa.schema([
-            ("chunk", pa.int32()), ("part", pa.int32()), ("n", pa.int32()),
-            ("shared", pa.binary()), ("rest", pa.binary())]))
-
-    def repeated(self, answers: pa.Table) -> list[np.ndarray]:
-        """Per slice: whether each sampled suffix occurs more than once."""
-        flags = K.answered(answers, len(self.count)) | (self.count > 1)
-        per_row = np.empty(len(self.order), bool)
-        per_row[self.order] = np.repeat(flags, self.count)
-        return np.split(per_row, np.cumsum([n for _, _, n in self.slices])[:-1])
+    rows, part = np.concatenate(strings), K.parts_of(np.concatenate(hashes), parts)
+    columns = np.ascontiguousarray(rows).view(">u8").astype(np.uint64)
+    order = np.lexsort([*columns.T[::-1], part])
+    rows, part = rows[order], part[order]
+    differs = rows[1:] != rows[:-1]
+    prefix = np.where(differs.any(axis=1), differs.argmax(axis=1), size)
+    new = np.ones(len(rows), bool)
+    new[1:] = (prefix < size) | (part[1:] != part[:-1])
+    first = np.flatnonzero(new)
+    several = np.diff(np.append(first, len(rows))) > 1
+    shared = np.zeros(len(first), np.uint8)
+    shared[1:] = prefix[first[1:] - 1]
+    rows = rows[first]
+    bounds = np.searchsorted(part[first], np.arange(parts + 1, dtype=np.uint64))
+    out = {"chunk": [], "part": [], "shared": [], "rest": [], "several": []}
+    for p in np.flatnonzero(np.diff(bounds)):
+        s = slice(bounds[p], bounds[p + 1])
+        known = shared[s].copy()
+        known[0] = 0
+        rest = rows[s][np.arange(size) >= known[:, None]]
+        for name, value in zip(out, (chunk, int(p), known.tobytes(), rest.tobytes(),
+                                     np.packbits(several[s]).tobytes())):
+            out[name].append(value)
+    return pa.table(out, schema=pa.schema([
+        ("chunk", pa.int32()), ("part", pa.int32()), ("shared", pa.binary()), ("rest", pa.binary()),
+        ("several", pa.binary())]))
 
 
 # -- merging ----------------------------------------------------------------------------
@@ -195,27 +195,47 @@ def merge_runs(runs: list[tuple[bytes, bytes]], size: int) -> list[np.ndarray]:
     return flags[:len(runs)]
 
 
+def _unpack(shared: bytes, rest: bytes, size: int) -> np.ndarray:
+    """The strings of a front-coded run as rows of bytes."""
+    known = np.frombuffer(shared, np.uint8)
+    column = np.arange(size)
+    own = column >= known[:, None]
+    rows = np.zeros(own.shape, np.uint8)
+    rows[own] = np.frombuffer(rest, np.uint8)
+    # A byte that is not a row's own is that of the last row above that has its own there.
+    last = np.maximum.accumulate(np.where(own, np.arange(len(known))[:, None], 0), axis=0)
+    return rows[last, column]
+
+
 def _merge(table: pa.Table, size: int) -> pa.Table:
+    """For each chunk's run: the hashes of its suffixes that are repeated."""
     runs = list(zip(table.column("shared").to_pylist(), table.column("rest").to_pylist()))
-    return K.answer_table(table.column("chunk").to_pylist(), table.column("part").to_pylist(),
-                          merge_runs(runs, size))
+    found = []
+    for (shared, rest), several, flags in zip(runs, table.column("several").to_pylist(), merge_runs(runs, size)):
+        flags |= np.unpackbits(np.frombuffer(several, np.uint8), count=len(flags)).astype(bool)
+        found.append(_suffix_hashes(_unpack(shared, rest, size)[flags]) if flags.any() else np.zeros(0, np.uint64))
+    return pa.table({"chunk": table.column("chunk"), "part": table.column("part"),
+                     "n": pa.array([len(f) for f in found], pa.int32()),
+                     "bits": pa.array([f.tobytes() for f in found], pa.binary())})
 
 
 # -- extension --------------------------------------------------------------------------
 
-def _windows(table: pa.Table, answers: pa.Table, width: int, parts: int):
-    """Keys of the windows around repeated suffixes; starts and their number by slice."""
-    repeated = _Run(table, width, parts).repeated(answers)
-    keys, checks, starts = [], [], []
-    for (_, data, off), flags in zip(K.text_slices(table), repeated):
-        all_starts, _, index, _, rolling = _sampled(data, off, width)
-        mine = all_starts[flags[index]] if len(all_starts) else all_starts
-        other = K.Rolling(K.mix(data.astype(np.uint64) + np.uint64(0x51)))
-        keys.append(K.mix(rolling.ranges(mine, mine + width)))
-        checks.append((K.mix(other.ranges(mine, mine + width)) >> np.uint64(32)).astype(np.uint32))
+def _windows(table: pa.Table, answers: pa.Table, width: int):
+    """Keys of the windows around repeated suffixes, and their starts by slice."""
+    size = suffix_length(width)
+    repeated = np.unique(np.concatenate([np.zeros(0, np.uint64)] + [
+        np.frombuffer(b, np.uint64) for b in answers.column("bits").to_pylist()]))
+    keys, checks, starts = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint16)], []
+    for _, data, off in K.text_slices(table):
+        all_starts, at, index, _, rolling = _sampled(data, off, width)
+        flags = np.isin(rolling.ranges(at, at + size), repeated)
+        mine = all_starts[flags[index]] if len(at) else all_starts
         starts.append(mine)
-    if not keys:
-        return K.Keys(np.zeros(0, np.uint64)), []
+        if len(mine):
+            other = K.Rolling(K.mix(data.astype(np.uint64) + np.uint64(0x51)))
+            keys.append(K.mix(rolling.ranges(mine, mine + width)))
+            checks.append((K.mix(other.ranges(mine, mine + width)) >> np.uint64(48)).astype(np.uint16))
     return K.Keys(np.concatenate(keys), np.concatenate(checks)), starts
 
 
@@ -232,34 +252,60 @@ def suffix_dedup(docs: DataFrame, *, width: int = 200, id_col: str = "doc_id",
     size = suffix_length(width)
     base = chunked(docs, n, id_col=id_col, text_col=text_col)
 
-    def ask_runs(table: pa.Table) -> pa.Table:
-        return _Run(table, width, n).table(table.column("chunk")[0].as_py())
+    def level(answers: pa.Table, k: int) -> pa.Table:
+        return answers.filter(pa.compute.equal(answers.column("level"), k))
+
+    def originals(table: pa.Table, answers: pa.Table):
+        """Only the first of equal texts takes part; the chunk's number; who has copies."""
+        which = K.Originals(*K.text_keys(table), level(answers, 0))
+        return table.filter(pa.array(which.active)), which
+
+    def ask_texts(table: pa.Table) -> pa.Table:
+        return K.request_table(table.column("chunk")[0].as_py(), K.Keys(*K.text_keys(table)), n)
+
+    def ask_runs(table: pa.Table, answers: pa.Table) -> pa.Table:
+        mine, _ = originals(table, answers)
+        return _run(mine, width, n, table.column("chunk")[0].as_py())
 
     def merge(table: pa.Table) -> pa.Table:
         return _merge(table, size)
 
     def ask_windows(table: pa.Table, answers: pa.Table) -> pa.Table:
-        if not table.num_rows:
-            return K.request_table(0, K.Keys(np.zeros(0, np.uint64)), n)
-        keys, _ = _windows(table, answers, width, n)
+        mine, _ = originals(table, answers)
+        keys, _ = _windows(mine, level(answers, 1), width)
         return K.request_table(table.column("chunk")[0].as_py(), keys, n)
 
     def remove(table: pa.Table, answers: pa.Table) -> pa.Table:
-        level = answers.column("level")
-        first = answers.filter(pa.compute.equal(level, 1))
-        second = answers.filter(pa.compute.equal(level, 2))
-        keys, starts = _windows(table, first, width, n)
-        twice = keys.to_items(K.answered(second, len(keys.key)) | (keys.count > 1))
+        every = table
+        table, which = originals(every, answers)
+        keys, starts = _windows(table, level(answers, 1), width)
+        twice = keys.to_items(K.answered(level(answers, 2), len(keys.key)) | (keys.count > 1))
         del keys
-        rows = {"doc_id": table.column("doc_id").to_pylist(), "n_bytes": [], "n_removed": [],
-                "n_spans": [], "kept_sha256": [], "kept": []}
+        rows = {"doc_id": [], "n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": [], "kept": []}
+
+        def add(doc_id, n_bytes, removed, spans, kept):
+            for name, value in zip(rows, (doc_id, n_bytes, removed, spans, hashlib.sha256(kept).hexdigest(),
+                                          kept if keep_text else None)):
+                rows[name].append(value)
+
+        # A text with a copy goes whole, if a window fits into it.
+        copied = which.copied[which.active]
+        for i in np.flatnonzero(~which.active):
+            raw = every.column("text")[int(i)].as_py().encode("utf-8")
+            whole = len(raw) >= width
+            add(every.column("doc_id")[int(i)].as_py(), len(raw), len(raw) if whole else 0, int(whole),
+                b"" if whole else raw)
+        ids = table.column("doc_id").to_pylist()
         done = 0
-        for (_, data, off), mine in zip(K.text_slices(table), starts):
-            mine = mine[twice[done:done + len(mine)]], done + len(mine)
-            mine, done = mine
+        for (row, data, off), mine in zip(K.text_slices(table), starts):
+            again = twice[done:done + len(mine)]
+            done += len(mine)
             change = np.zeros(len(data) + 1, np.int32)
-            change[mine] += 1
-            change[mine + width] -= 1
+            change[mine[again]] += 1
+            change[mine[again] + width] -= 1
+            for i in np.flatnonzero(copied[row:row + len(off) - 1] & (np.diff(off) >= width)):
+                change[off[i]] += 1
+                change[off[i + 1]] -= 1
             gone = np.cumsum(change[:-1]) > 0
             edge = gone.copy()
             edge[1:] &= ~gone[:-1]
@@ -269,19 +315,22 @@ def suffix_dedup(docs: DataFrame, *, width: int = 200, id_col: str = "doc_id",
             spans = np.append(0, np.cumsum(edge))[off]
             kept_off = off - removed
             for i in range(len(off) - 1):
-                kept = left[kept_off[i]:kept_off[i + 1]].tobytes()
-                rows["n_bytes"].append(int(off[i + 1] - off[i]))
-                rows["n_removed"].append(int(removed[i + 1] - removed[i]))
-                rows["n_spans"].append(int(spans[i + 1] - spans[i]))
-                rows["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
-                rows["kept"].append(kept if keep_text else None)
+                add(ids[row + i], int(off[i + 1] - off[i]), int(removed[i + 1] - removed[i]),
+                    int(spans[i + 1] - spans[i]), left[kept_off[i]:kept_off[i + 1]].tobytes())
         return pa.table(rows, schema=pa.schema([
             ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
             ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())]))
 
-    grouped = lambda df: df.groupBy("chunk")
-    back1 = grouped(base).applyInArrow(ask_runs, RUN).groupBy("part").applyInArrow(merge, K.ANSWER)
-    ask2 = grouped(base).cogroup(grouped(back1)).applyInArrow(ask_windows, K.REQUEST)
-    back2 = ask2.groupBy("part").applyInArrow(K.repeated, K.ANSWER)
-    both = back1.withColumn("level", F.lit(1)).unionAll(back2.withColumn("level", F.lit(2)))
-    return grouped(base).cogroup(grouped(both)).applyInArrow(remove, RESULT)
+    def by_chunk(answers: DataFrame, k: int) -> DataFrame:
+        return answers.withColumn("level", F.lit(k)).repartition(n, "chunk")
+
+    def joined(answers: DataFrame):
+        return base.groupBy("chunk").cogroup(answers.groupBy("chunk"))
+
+    texts = by_chunk(base.groupBy("chunk").applyInArrow(ask_texts, K.REQUEST)
+                     .groupBy("part").applyInArrow(K.holders, K.ANSWER), 0)
+    suffixes = by_chunk(joined(texts).applyInArrow(ask_runs, RUN)
+                        .groupBy("part").applyInArrow(merge, K.ANSWER), 1)
+    windows = by_chunk(joined(texts.unionAll(suffixes)).applyInArrow(ask_windows, K.REQUEST)
+                       .groupBy("part").applyInArrow(K.repeated, K.ANSWER), 2)
+    return joined(texts.unionAll(suffixes).unionAll(windows)).applyInArrow(remove, RESULT)

@@ -142,3 +142,11 @@ def test_table_against_brute_force(spark, op, brute, size):
     got = {r[0]: tuple(r[1:]) for r in got.collect()}
     spark.conf.unset("respengine.llm.chunkBytes")
     assert got == brute(rows, size)
+
+
+def test_pack_keys():
+    rnd = np.random.default_rng(2)
+    for n in (0, 1, 5, 5000):
+        for shift in (0, 20, 40):
+            key = np.unique(rnd.integers(0, 1 << 63, n, np.uint64) >> np.uint64(shift))
+            assert (K.unpack(K.pack(key), len(key)) == key).all()
