@@ -11,6 +11,7 @@ from respengine.llm.chat_format import chat_format, read_back
 from respengine.llm.common import read_table, shared_path
 from respengine.llm.decontaminate import contaminated
 from respengine.llm.exact_dedup import exact_dedup
+from respengine.llm.jaccard_join import jaccard_components
 from respengine.llm.language_id import identify, learn, remainder
 from respengine.llm.lm_score import lm_score
 from respengine.llm.mixing import mix
@@ -75,6 +76,11 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read_table(spark, sf_dir, "documents")).drop("source")
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the near-duplicate component it belongs to."""
+    return jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of repeated 35-word windows, removed from every document."""
     docs = read_table(spark, sf_dir, "documents")
@@ -93,5 +99,5 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_suffix_dedup, op2_language_id, op3_lm_score, op4_secret_scan,
-                             op5_chat_format, op6_mix_sources, op8_substring_dedup,
+                             op5_chat_format, op6_mix_sources, op7_ngram_jaccard_join, op8_substring_dedup,
                              op9_decontaminate, op10_exact_dedup)}
