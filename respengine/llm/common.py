@@ -51,6 +51,11 @@ def chunk_count(docs: DataFrame, text_col: str = "text") -> int:
     return max(1, -(-int(total) // chunk_bytes(docs.sparkSession)))
 
 
+def chunk_of(n: int) -> Column:
+    """The chunk of a row of ``doc_id, text``."""
+    return F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int")
+
+
 def chunked(docs: DataFrame, n: int, *, id_col: str = "doc_id", text_col: str = "text",
             **extra: Column) -> DataFrame:
     """``chunk, doc_id, text`` (and ``extra`` columns), one shuffle of the texts.
@@ -59,5 +64,4 @@ def chunked(docs: DataFrame, n: int, *, id_col: str = "doc_id", text_col: str =
     """
     out = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"),
                       *[c.alias(name) for name, c in extra.items()])
-    chunk = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int")
-    return out.select(chunk.alias("chunk"), "*").repartition(n, "chunk")
+    return out.select(chunk_of(n).alias("chunk"), "*").repartition(n, "chunk")
