@@ -118,6 +118,8 @@ def build_dictionary(obs: DataFrame, num_partitions: int | None = None) -> Dicti
         acc += r["_cnt"]
         total += r["_n"]
         size_bytes += r["_bytes"] or 0
+    if acc > 2 ** 31:
+        raise ValueError(f"{acc} dictionary entries do not fit the INT ids: hash the features instead")
     off_schema = T.StructType([T.StructField("_part", T.IntegerType()),
                                T.StructField("_offset", T.LongType()),
                                T.StructField("_first", T.LongType())])

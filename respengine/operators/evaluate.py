@@ -36,6 +36,22 @@ def baseline_log_loss(rate: float | DataFrame, data: DataFrame) -> DataFrame:
     return data.agg(F.avg(log_loss(F.lit(float(rate)), F.col("label"))).alias("log_loss"))
 
 
+def baseline_by_split(tagged: DataFrame, col: str = "split", train: str = "train") -> DataFrame:
+    """``(split, log_loss)`` of the training fraction as the prediction for every split.
+
+    One pass and one small aggregate: for a constant prediction the mean log loss
+    follows from the count and the positives of a split (one row per split is collected).
+    """
+    spark = tagged.sparkSession
+    counts = tagged.groupBy(col).agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("pos")).collect()
+    rate = next((r["pos"] / r["n"] for r in counts if r[col] == train), None)
+    parts = spark.createDataFrame([(r[col], int(r["n"]), float(r["pos"])) for r in counts],
+                                  f"`{col}` string, n long, pos double")
+    p = F.lit(rate).cast("double")
+    total = F.col("pos") * log_loss(p, F.lit(1.0)) + (F.col("n") - F.col("pos")) * log_loss(p, F.lit(0.0))
+    return parts.select(col, (total / F.col("n")).alias("log_loss"))
+
+
 def evaluate_log_loss(model: LogisticModel, encoded: DataFrame) -> DataFrame:
     """Mean log loss of a model's scores: one row ``(log_loss)``."""
     return predict(model, encoded).agg(
@@ -100,6 +116,7 @@ def roc_curve(scored: DataFrame, score_col: str = "score", label_col: str = "lab
                   .drop("_bucket"))
     else:
         ranged = points.withColumn("_range", F.lit(0))
+    # (one range only: at most ROC_POINTS_PER_RANGE points, unless the caller asks for it)
     totals = (ranged.groupBy("_range").agg(F.sum("_pos").alias("p"), F.sum("_neg").alias("q"))
               .orderBy("_range").collect())  # one row per range
     offs, tp0, fp0 = [], 0.0, 0.0
@@ -112,7 +129,9 @@ def roc_curve(scored: DataFrame, score_col: str = "score", label_col: str = "lab
         T.StructField("_fp0", T.DoubleType())]))
     w = (Window.partitionBy("_range").orderBy(F.col("score").desc())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = (ranged.join(F.broadcast(off), "_range")
+    offset = ranged.join(F.broadcast(off), "_range") if bounds else \
+        ranged.withColumns({"_tp0": F.lit(0.0), "_fp0": F.lit(0.0)})
+    out = (offset
            .select("score",
                    (F.col("_tp0") + F.sum("_pos").over(w)).alias("tp"),
                    (F.col("_fp0") + F.sum("_neg").over(w)).alias("fp")))

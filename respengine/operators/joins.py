@@ -75,8 +75,12 @@ def lookup_join(left: DataFrame, table: DataFrame, keys: list[str], *, table_row
         salt_buckets = max(DEFAULT_SALT_BUCKETS,
                            int(spark.conf.get("spark.sql.shuffle.partitions")))
     row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
+    # Rows with a null key match nothing and are spread like hot ones.
+    spread = F.col("_is_hot")
+    for k in keys:
+        spread = spread | F.col(k).isNull()
     salted = tagged.withColumn(
-        "_salt", F.when(F.col("_is_hot"), F.pmod(row_hash, F.lit(salt_buckets)) + 1)
+        "_salt", F.when(spread, F.pmod(row_hash, F.lit(salt_buckets)) + 1)
                   .otherwise(F.lit(0)))
     cold = table.withColumn("_salt", F.lit(0))
     joined = salted.join(cold, keys + ["_salt"], "left")

@@ -74,7 +74,7 @@ class LogisticModel:
 
 def _table_df(spark: SparkSession, table: pa.Table) -> DataFrame:
     """A frame from a driver-side Arrow table; frozen to the checkpoint folder when large."""
-    df = spark.createDataFrame(table.to_pandas())
+    df = spark.createDataFrame(table)
     if table.num_rows > broadcast_row_limit(spark):
         df = materialize(df)
     return df
@@ -84,8 +84,11 @@ _BLOCK_SCHEMA = ("n int, m long, idx_bytes byte, label binary, lengths binary, i
                  "val binary")
 # Stored entries below which another task costs more than it saves.
 MIN_ENTRIES_PER_TASK = 1 << 20
-# Rows per packed block of training data.
+# Stored entries beyond which partitions are not merged (about 256 MB of blocks).
+MAX_ENTRIES_PER_TASK = 1 << 26
+# Rows, and stored entries, after which a packed block of training data is closed.
 DEFAULT_BLOCK_ROWS = 1 << 16
+DEFAULT_BLOCK_ENTRIES = 1 << 23
 
 
 def _pack_fn(block_rows: int, num_features: int):
@@ -131,7 +134,7 @@ def _pack_fn(block_rows: int, num_features: int):
             fis.append(fi)
             fvs.append(val.flatten().to_numpy(zero_copy_only=False).astype(np.float64))
             count += rb.num_rows
-            if count >= block_rows:
+            if count >= block_rows or sum(f.size for f in fis) >= DEFAULT_BLOCK_ENTRIES:
                 yield flush()
                 ys, ls, fis, fvs, count = [], [], [], [], 0
         if count:
@@ -246,9 +249,11 @@ def fit_logistic_many(encoded: DataFrame, num_features: int, configs, iterations
         # Blocks are the unit of work. Aim for one task per slot, but no more
         # tasks than blocks and none with less than MIN_ENTRIES_PER_TASK
         # entries: spread blocks (a one-off shuffle of a few large rows) or merge
-        # partitions (no shuffle) to get there.
-        want = max(1, min(num_blocks, sc.defaultParallelism,
-                          -(-int(stats["entries"] or 0) // MIN_ENTRIES_PER_TASK)))
+        # partitions (no shuffle) to get there. Slots seen now (few under dynamic
+        # allocation) never make a task larger than MAX_ENTRIES_PER_TASK.
+        entries = int(stats["entries"] or 0)
+        want = max(1, min(num_blocks, sc.defaultParallelism, -(-entries // MIN_ENTRIES_PER_TASK)),
+                   min(num_blocks, -(-entries // MAX_ENTRIES_PER_TASK)))
         have = data.rdd.getNumPartitions()
         if have != want:
             moved = (data.repartition(want) if have < want else data.coalesce(want)).persist(

@@ -14,14 +14,15 @@ def feature_counts(encoded: DataFrame) -> DataFrame:
             .groupBy("idx").agg(F.count(F.lit(1)).cast("bigint").alias("n")))
 
 
-def count_histogram(encoded: DataFrame) -> DataFrame:
-    """Indices per power-of-two count bucket; counts above 1024 are left out.
+def count_histogram(encoded: DataFrame, overflow: bool = True) -> DataFrame:
+    """Indices per power-of-two count bucket; counts above 1024 are in bucket -1.
 
-    ``(bucket, n_features, ln_bucket, ln_count)``.
+    ``(bucket, n_features, ln_bucket, ln_count)``; ``ln_bucket`` of the overflow
+    bucket is null. ``overflow=False`` leaves that bucket out, as the reference does.
     """
     counts = feature_counts(encoded)
     return (counts.select(pow2_bucket(F.col("n")).alias("bucket"))
-            .where(F.col("bucket") != F.lit(-1))
+            .where(F.lit(overflow) | (F.col("bucket") != F.lit(-1)))
             .groupBy("bucket").agg(F.count(F.lit(1)).cast("bigint").alias("n_features"))
             .select("bucket", "n_features",
                     F.log(F.col("bucket").cast("double")).alias("ln_bucket"),

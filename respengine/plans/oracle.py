@@ -1,15 +1,16 @@
 """SQL oracles: for each registered query, an independent DuckDB statement over
 the same parquet tables (views ``events``, ``documents``, ``labels``,
-``embeddings``, ``lineitem`` ...). Fits are unrolled iteration by iteration as
-CTEs, including the early-stop rule.
+``embeddings``, ``lineitem`` ...). One-hot fits are unrolled iteration by iteration
+as CTEs, the longer fits of the grid are one recursive CTE; both include the
+early-stop rule.
 """
 
 from __future__ import annotations
 
 import math
 
-from .workflow import GRID_REGS, GRID_STEPS, OHE_FIT
-from .registry import CHECK_ITERATIONS, COLLISION_BUCKETS
+from .workflow import GRID_ITERATIONS, GRID_REGS, GRID_STEPS, OHE_FIT
+from .registry import COLLISION_BUCKETS
 
 BUCKETS = 2 ** 15
 WS = "(' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12))"
@@ -138,7 +139,44 @@ def predict_cte(name: str, p: str, rows: str, long: str) -> str:
   GROUP BY r.row_id, r.label)"""
 
 
-def ohe_fit(k: int = CHECK_ITERATIONS) -> str:
+def grid_ctes(rows: str, long: str, configs, k: int, tol: float = 1e-3) -> str:
+    """All cells of a grid in one recursion, a step of which holds the weights of the
+    cells still running (the bias is a stored entry of index -1); last weights in ``gf``."""
+    cells = ", ".join(f"({g}, {lit(s)}, {lit(r)})" for g, (s, r) in enumerate(configs))
+    return f"""cfg(g, step, reg) AS (VALUES {cells}),
+gn AS MATERIALIZED (SELECT count(*)::DOUBLE AS n FROM {rows}),
+gl AS MATERIALIZED (
+  SELECT row_id, label, idx, value FROM {long}
+  UNION ALL SELECT row_id, label, -1 AS idx, 1.0::DOUBLE AS value FROM {rows}),
+gw AS (
+  SELECT g, 0 AS i, idx, (CASE WHEN idx = -1 THEN 1.0 ELSE 0.0 END)::DOUBLE AS w, FALSE AS done
+  FROM cfg CROSS JOIN (SELECT DISTINCT idx FROM gl)
+  UNION ALL (
+  WITH m AS (
+    SELECT w.g, l.row_id, 1.0 / (1.0 + exp(-sum(l.value * w.w))) - any_value(l.label) AS resid
+    FROM gl l JOIN gw w ON w.idx = l.idx WHERE NOT w.done AND w.i < {k} GROUP BY w.g, l.row_id),
+  d AS (
+    SELECT m.g, l.idx, sum(l.value * m.resid) / (SELECT n FROM gn) AS s
+    FROM gl l JOIN m ON m.row_id = l.row_id GROUP BY m.g, l.idx),
+  nxt AS (
+    SELECT w.g, w.i + 1 AS i, w.idx, w.w AS old,
+           w.w * (1.0 - c.step / sqrt(w.i + 1) * c.reg) - c.step / sqrt(w.i + 1) * d.s AS w
+    FROM gw w JOIN cfg c ON c.g = w.g JOIN d ON d.g = w.g AND d.idx = w.idx)
+  SELECT g, i, idx, w, i > 1 AND sqrt(sum((w - old) * (w - old)) OVER (PARTITION BY g))
+         < {lit(tol)} * greatest(sqrt(sum(w * w) OVER (PARTITION BY g)), 1.0) AS done
+  FROM nxt)),
+gf AS MATERIALIZED (SELECT g, i, idx, w FROM gw QUALIFY i = max(i) OVER (PARTITION BY g))"""
+
+
+def grid_predict(name: str, rows: str, long: str) -> str:
+    return f"""{name} AS (
+  SELECT w.g, l.row_id, any_value(l.label) AS label, {sigmoid_clamped('sum(l.value * w.w)')} AS score
+  FROM (SELECT row_id, label, idx, value FROM {long}
+        UNION ALL SELECT row_id, label, -1, 1.0 FROM {rows}) l JOIN gf w ON w.idx = l.idx
+  GROUP BY w.g, l.row_id)"""
+
+
+def ohe_fit(k: int = OHE_FIT["iterations"]) -> str:
     return ",\n".join([ohe_ctes(), fit_ctes("f", "rows_train", "ohe_train", k,
                                             OHE_FIT["step_size"], OHE_FIT["reg_param"])])
 
@@ -177,6 +215,9 @@ SELECT coalesce(split, 'total') AS split, count(*)::BIGINT AS n_rows FROM ces GR
 
     q["random_split_native"] = None  # partition-dependent: rows-only check
 
+    q["random_split_check"] = """SELECT count(*)::BIGINT AS n_rows, count(*)::BIGINT AS n_split,
+  count(DISTINCT event_id)::BIGINT AS n_ids, TRUE AS shares_hold FROM events"""
+
     q["distinct_features"] = f"""WITH {CE}
 SELECT DISTINCT feature_id, category FROM cel WHERE split = 'train'"""
 
@@ -218,14 +259,14 @@ FROM dqs r JOIN dql l ON l.row_id = r.row_id
      LEFT JOIN ddict d ON d.feature_id = l.feature_id AND d.category = l.category
 WHERE r.split = 'test' GROUP BY r.row_id, r.label"""
 
-    q["doc_quality_fit_3_iterations"] = f"""WITH {doc},
+    q["doc_quality_fit"] = f"""WITH {doc},
 drows_train AS (SELECT row_id, label FROM dqs WHERE split = 'train'),
 dohe_train AS (
   SELECT l.row_id, l.label, d.idx, 1.0::DOUBLE AS value
   FROM dql l JOIN ddict d ON d.feature_id = l.feature_id AND d.category = l.category
   WHERE l.split = 'train'),
-{fit_ctes("q", "drows_train", "dohe_train", CHECK_ITERATIONS, OHE_FIT["step_size"], OHE_FIT["reg_param"])}
-SELECT idx, {r6('w')} AS weight FROM q_wf"""
+{fit_ctes("q", "drows_train", "dohe_train", OHE_FIT["iterations"], OHE_FIT["step_size"], OHE_FIT["reg_param"])}
+SELECT idx, {r6('w')} AS weight, (SELECT it FROM q_it) AS iterations FROM q_wf"""
 
     q["feature_counts"] = f"WITH {ohe_ctes()}\nSELECT idx, count(*)::BIGINT AS n FROM ohe_train GROUP BY idx"
     buckets = " ".join(f"WHEN n <= {2 ** e} THEN {2 ** e}" for e in range(0, 11))
@@ -233,8 +274,8 @@ SELECT idx, {r6('w')} AS weight FROM q_wf"""
 fc AS (SELECT idx, count(*) AS n FROM ohe_train GROUP BY idx),
 b AS (SELECT CASE {buckets} ELSE -1 END AS bucket FROM fc)
 SELECT bucket::INTEGER AS bucket, count(*)::BIGINT AS n_features,
-       {r6('ln(bucket)')} AS ln_bucket, {r6('ln(count(*))')} AS ln_count
-FROM b WHERE bucket <> -1 GROUP BY bucket"""
+       {r6('CASE WHEN bucket > 0 THEN ln(bucket) END')} AS ln_bucket, {r6('ln(count(*))')} AS ln_count
+FROM b GROUP BY bucket"""
 
     q["sparsity"] = f"""WITH {hash_ctes()}
 SELECT 'ohe' AS features, {r6('avg(nnz)', 9)} AS avg_nnz,
@@ -278,8 +319,8 @@ SELECT nnz, {r6('total')} AS total, count(*)::BIGINT AS n_rows FROM per_row GROU
   FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1)
 SELECT vec_id,
   {r6('list_sum(list_transform(range(1, len(x) + 1), lambda i: x[i]::DOUBLE * y[i]::DOUBLE))')} AS dense_dot,
-  {r6('coalesce(list_sum(list_transform(list_filter(range(1, len(x) + 1), lambda i: abs(x[i]::DOUBLE) > 0.1::DOUBLE), lambda i: x[i]::DOUBLE * y[i]::DOUBLE)), 0.0)')} AS sparse_dot,
-  len(list_filter(range(1, len(x) + 1), lambda i: abs(x[i]::DOUBLE) > 0.1::DOUBLE))::INTEGER AS nnz
+  {r6('coalesce(list_sum(list_transform(list_filter(range(1, len(x) + 1), lambda i: abs(x[i]::DOUBLE) > 0.0::DOUBLE), lambda i: x[i]::DOUBLE * y[i]::DOUBLE)), 0.0)')} AS sparse_dot,
+  len(list_filter(range(1, len(x) + 1), lambda i: abs(x[i]::DOUBLE) > 0.0::DOUBLE))::INTEGER AS nnz
 FROM j"""
 
     q["log_loss_scalar"] = f"""WITH e AS (
@@ -293,7 +334,8 @@ SELECT row_id, {r6('p')} AS p, label::INTEGER AS label, {r6(log_loss_sql('p', 'l
     q["baseline_log_loss"] = f"""WITH {CE}
 SELECT split, {r6(f'avg({log_loss_sql(rate, "label")})')} AS log_loss FROM ces GROUP BY split"""
 
-    q["fit_3_iterations"] = f"WITH {ohe_fit()}\nSELECT idx, {r6('w')} AS weight FROM f_wf"
+    q["ohe_fit"] = (f"WITH {ohe_fit()}\nSELECT idx, {r6('w')} AS weight, "
+                    f"(SELECT it FROM f_it) AS iterations FROM f_wf")
     q["smallest_weights"] = (f"WITH {ohe_fit()}\nSELECT idx, {r6('w')} AS weight FROM f_wf "
                              f"WHERE idx >= 0 ORDER BY round(w, 6), idx LIMIT 5")
     q["predict_scores"] = (f"WITH {ohe_fit()},\n{predict_cte('pv', 'f', 'rows_validation', 'ohe_validation')}\n"
@@ -319,6 +361,7 @@ SELECT score + 0.0 AS score, tp::BIGINT AS tp, fp::BIGINT AS fp,
        {r6('CASE WHEN tneg = 0 THEN NULL ELSE fp / tneg END', 9)} AS fpr
 FROM cum"""
 
+    q["roc_curve_ranged"] = q["roc_curve"]
     q["roc_curve_binned"] = f"""WITH {ohe_fit()},
 {predict_cte('pv', 'f', 'rows_validation', 'ohe_validation')},
 pts AS (SELECT floor(score * 20) / 20.0 AS score, sum(label) AS pos, sum(1.0 - label) AS neg
@@ -359,18 +402,15 @@ FROM cum"""
 
     # hashed grid
     configs = [(s, r) for s in GRID_STEPS for r in GRID_REGS]
-    grid_parts = [hash_ctes()]
-    for g, (s, r) in enumerate(configs):
-        grid_parts.append(fit_ctes(f"g{g}", "rows_train", "hash_train", CHECK_ITERATIONS, s, r))
-        grid_parts.append(predict_cte(f"gp{g}", f"g{g}", "rows_validation", "hash_validation"))
-    cells = " UNION ALL ".join(
-        f"SELECT {g} AS grid_pos, {float(s)!r}::DOUBLE AS step_size, {float(r)!r}::DOUBLE AS reg_param, "
-        f"(SELECT avg({log_loss_sql('score', 'label')}) FROM gp{g}) AS ll, "
-        f"(SELECT it FROM g{g}_it) AS iterations"
-        for g, (s, r) in enumerate(configs))
-    grid_parts.append(f"cells AS ({cells})")
+    grid_parts = [hash_ctes(), grid_ctes("rows_train", "hash_train", configs, GRID_ITERATIONS),
+                  grid_predict("gp", "rows_validation", "hash_validation")]
+    grid_parts.append(f"""cells AS (
+  SELECT cfg.g AS grid_pos, cfg.step AS step_size, cfg.reg AS reg_param,
+         (SELECT max(i) FROM gf WHERE gf.g = cfg.g) AS iterations,
+         (SELECT avg({log_loss_sql('score', 'label')}) FROM gp WHERE gp.g = cfg.g) AS ll
+  FROM cfg)""")
     grid_parts.append("best AS (SELECT grid_pos FROM cells ORDER BY ll, grid_pos LIMIT 1)")
-    grid_with = "WITH " + ",\n".join(grid_parts)
+    grid_with = "WITH RECURSIVE " + ",\n".join(grid_parts)
     q["grid_search"] = (f"{grid_with}\nSELECT grid_pos::INTEGER AS grid_pos, step_size, reg_param, "
                         f"{r6('ll')} AS log_loss, iterations::INTEGER AS iterations, "
                         f"grid_pos = (SELECT grid_pos FROM best) AS is_best FROM cells")
@@ -378,20 +418,15 @@ FROM cum"""
         f"{r6(f'max(CASE WHEN reg_param = {float(r)!r}::DOUBLE THEN ll END)')} AS \"reg_{r:.0e}\""
         for r in GRID_REGS)
     q["grid_pivot"] = f"{grid_with}\nSELECT step_size, {pivots} FROM cells GROUP BY step_size"
-    best_preds = []
-    for g in range(len(configs)):
-        best_preds.append(predict_cte(f"tp{g}", f"g{g}", "rows_test", "hash_test"))
-    best_ll = " UNION ALL ".join(
-        f"SELECT {g} AS grid_pos, avg({log_loss_sql('score', 'label')}) AS ll FROM tp{g}"
-        for g in range(len(configs)))
     q["final_report"] = (
-        f"{grid_with},\n" + ",\n".join(best_preds) + f""",
+        f"{grid_with},\n{grid_predict('tp', 'rows_test', 'hash_test')}" + f""",
 fr AS (
   SELECT 'test' AS split, 'hashed' AS features, 'baseline' AS model, 'log_loss' AS metric,
          (SELECT avg({log_loss_sql(rate, 'label')}) FROM rows_test)::DOUBLE AS v
   UNION ALL
   SELECT 'test', 'hashed', 'logreg', 'log_loss',
-         (SELECT ll FROM ({best_ll}) WHERE grid_pos = (SELECT grid_pos FROM best))::DOUBLE)
+         (SELECT avg({log_loss_sql('score', 'label')}) FROM tp
+          WHERE tp.g = (SELECT grid_pos FROM best))::DOUBLE)
 SELECT split, features, model, metric, {r6('v')} AS value, printf('%.3f', v) AS text FROM fr""")
     return {k: v for k, v in q.items() if v is not None}
 

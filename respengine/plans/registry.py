@@ -18,7 +18,7 @@ from ..functions.columns import dense_dot, log_loss, sparse_dot, sparse_from_den
 from ..operators.encode import (build_dictionary, categories_per_feature, distinct_features,
                                 encoded_long, lookup, one_hot_encode, to_long,
                                 with_feature_counts)
-from ..operators.evaluate import (base_rate, base_rate_value, baseline_log_loss,
+from ..operators.evaluate import (base_rate, base_rate_value, baseline_by_split,
                                   evaluate_many, roc_curve)
 from ..operators.hashing import DEFAULT_BUCKETS, hash_features, md5_buckets_long
 from ..operators.joins import hot_threshold, lookup_join
@@ -30,11 +30,9 @@ from ..sources.tables import (ctr_event_features, ctr_events, doc_quality, linei
                               read_table)
 from ..session import ensure_checkpoint_dir
 from ..sources.text import lines_from_observations, parse_lines, read_labelled_lines
-from .workflow import (GRID_REGS, GRID_STEPS, OHE_FIT, SPLIT_SEED, SPLIT_WEIGHTS,
+from .workflow import (GRID_ITERATIONS, GRID_REGS, GRID_STEPS, OHE_FIT, SPLIT_SEED, SPLIT_WEIGHTS,
                         final_report, run_ohe, ohe_report, split_observations)
 
-# Iterations of the fits inside registered queries (the SQL oracle unrolls them).
-CHECK_ITERATIONS = 3
 COLLISION_BUCKETS = 16
 
 
@@ -49,13 +47,17 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*cols)
 
 
-def _splits(spark, sf):
-    return split_observations(ctr_events(spark, sf))
+def _splits(spark, sf, storage="table"):
+    return split_observations(ctr_events(spark, sf), storage=storage)
 
 
-def _ohe(spark, sf, iterations=CHECK_ITERATIONS):
-    return run_ohe(_splits(spark, sf), iterations=iterations,
-                        step_size=OHE_FIT["step_size"], reg_param=OHE_FIT["reg_param"])
+def _ohe(spark, sf):
+    return run_ohe(_splits(spark, sf), **OHE_FIT)
+
+
+def _fitted_weights(spark, res):
+    weights = res.model.weights_df(spark)
+    return rounded(weights.withColumn("iterations", F.lit(res.model.iterations).cast("int")))
 
 
 # --- sources and parsing -------------------------------------------------------
@@ -110,16 +112,30 @@ def q_random_split_native(spark, sf):
     return tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
 
 
+def q_random_split_check(spark, sf):
+    """Parts of randomSplit hold every row once, and shares near 0.8, 0.1 and 0.1.
+
+    Shares are within six standard deviations of a draw per row.
+    """
+    counts = q_random_split_native(spark, sf).groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("row_id").alias("ids"))
+    weight = F.when(F.col("split") == "train", 0.8).otherwise(0.1)
+    all_rows = ctr_events(spark, sf).agg(F.count(F.lit(1)).alias("n_rows"))
+    off = F.abs(F.col("n") - weight * F.col("n_rows")) <= 6 * F.sqrt(weight * (1 - weight) * F.col("n_rows"))
+    return counts.join(F.broadcast(all_rows)).groupBy("n_rows").agg(
+        F.sum("n").alias("n_split"), F.sum("ids").alias("n_ids"), F.bool_and(off).alias("shares_hold"))
+
+
 # --- dictionary and encoding ----------------------------------------------------------
 
 def q_distinct_features(spark, sf):
     """A1: distinct (feature_id, category) pairs of the training split."""
-    return distinct_features(_splits(spark, sf).train)
+    return distinct_features(_splits(spark, sf, storage=None).train)
 
 
 def q_categories_per_feature(spark, sf):
     """A2, O1: distinct categories per feature id, ordered."""
-    return categories_per_feature(_splits(spark, sf).train)
+    return categories_per_feature(_splits(spark, sf, storage=None).train)
 
 
 def q_ohe_dictionary(spark, sf):
@@ -177,10 +193,9 @@ def q_doc_quality_dictionary(spark, sf):
     return build_dictionary(s.train).df
 
 
-def q_doc_quality_fit_3_iterations(spark, sf):
-    """M1 on the second labelled set: weights after 3 iterations, quality label."""
-    res = run_ohe(split_observations(doc_quality(spark, sf)), iterations=CHECK_ITERATIONS)
-    return rounded(res.model.weights_df(spark))
+def q_doc_quality_fit(spark, sf):
+    """M1 on the second labelled set: weights after up to 50 iterations, quality label."""
+    return _fitted_weights(spark, run_ohe(split_observations(doc_quality(spark, sf)), **OHE_FIT))
 
 
 def q_doc_quality_encode_test(spark, sf):
@@ -250,7 +265,7 @@ def q_dot_products(spark, sf):
     e = read_table(spark, sf, "embeddings").select("vec_id", "embedding")
     nxt = e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("next_emb"))
     j = e.join(nxt, "vec_id")
-    idx, val = sparse_from_dense(F.col("embedding"), 0.1)
+    idx, val = sparse_from_dense(F.col("embedding"), 0.0)
     out = j.select("vec_id", dense_dot("embedding", "next_emb").alias("dense_dot"),
                    sparse_dot(idx, val, F.col("next_emb")).alias("sparse_dot"),
                    F.size(idx).cast("int").alias("nnz"))
@@ -274,7 +289,7 @@ def q_log_loss_scalar(spark, sf):
     hot = groups.where(F.col("n") >= F.lit(hot_threshold(stats["t"] or 0))).select(
         "user_id", "hour", "p")
     with_p = lookup_join(ev, groups.select("user_id", "hour", "p"), ["user_id", "hour"],
-                         table_rows=int(stats["g"]), hot_keys=hot)
+                         table_rows=int(stats["g"]), table_bytes=24 * int(stats["g"]), hot_keys=hot)
     return rounded(with_p.select("row_id", "p", F.col("label").cast("int"),
                                  log_loss(F.col("p"), F.col("label")).alias("log_loss")))
 
@@ -283,26 +298,22 @@ def q_log_loss_scalar(spark, sf):
 
 def q_base_rate(spark, sf):
     """Click fraction of the training split."""
-    return rounded(base_rate(_splits(spark, sf).train))
+    return rounded(base_rate(_splits(spark, sf, storage=None).train))
 
 
 def q_baseline_log_loss(spark, sf):
     """Training fraction as the prediction, log loss per split."""
-    s = _splits(spark, sf)
-    rate = base_rate_value(s.train)
-    parts = [baseline_log_loss(rate, f).select(F.lit(n).alias("split"), "log_loss")
-             for n, f in (("train", s.train), ("validation", s.validation), ("test", s.test))]
-    return rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    tagged = hash_split(ctr_events(spark, sf), "row_id", SPLIT_WEIGHTS, SPLIT_SEED)
+    return rounded(baseline_by_split(tagged))
 
 
-def q_fit_3_iterations(spark, sf):
-    """M1: weights and intercept (idx -1) after 3 gradient-descent iterations."""
-    res = _ohe(spark, sf)
-    return rounded(res.model.weights_df(spark))
+def q_ohe_fit(spark, sf):
+    """M1: weights and intercept (idx -1) after up to 50 gradient-descent iterations."""
+    return _fitted_weights(spark, _ohe(spark, sf))
 
 
 def q_smallest_weights(spark, sf):
-    """O3: the five smallest weights of the 3-iteration model."""
+    """O3: the five smallest weights of the fitted model."""
     res = _ohe(spark, sf)
     return rounded(smallest_weights(res.model, spark, k=5, tie_digits=6))
 
@@ -322,7 +333,7 @@ def q_predict_scores_shuffled(spark, sf):
 def q_evaluate_log_loss(spark, sf):
     """Model log loss on train, validation and test."""
     s = _splits(spark, sf)
-    res = run_ohe(s, iterations=CHECK_ITERATIONS)
+    res = run_ohe(s, **OHE_FIT)
     test = one_hot_encode(s.test, res.dictionary, unseen="skip")
     rows = [(n, evaluate_many([res.model], f)[0])
             for n, f in (("train", res.train), ("validation", res.validation), ("test", test))]
@@ -337,6 +348,12 @@ def q_roc_curve(spark, sf):
     return rounded(roc_curve(predict(res.model, res.validation), round_digits=9), 9)
 
 
+def q_roc_curve_ranged(spark, sf):
+    """Same curve from eight score ranges, the plan of large inputs."""
+    res = _ohe(spark, sf)
+    return rounded(roc_curve(predict(res.model, res.validation), round_digits=9, num_ranges=8), 9)
+
+
 def q_roc_curve_binned(spark, sf):
     """W2 with num_bins=20: the curve at score bins of width 1/20."""
     res = _ohe(spark, sf)
@@ -354,7 +371,7 @@ def _grid(spark, sf):
     s = _splits(spark, sf)
     tr = hash_features(s.train, DEFAULT_BUCKETS)
     va = hash_features(s.validation, DEFAULT_BUCKETS)
-    grid, best = grid_search(tr, va, DEFAULT_BUCKETS, GRID_STEPS, GRID_REGS, CHECK_ITERATIONS)
+    grid, best = grid_search(tr, va, DEFAULT_BUCKETS, GRID_STEPS, GRID_REGS, GRID_ITERATIONS)
     return s, grid, best
 
 
@@ -392,7 +409,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lineitem_categories_per_feature": q_lineitem_categories_per_feature,
     "doc_quality_dictionary": q_doc_quality_dictionary,
     "doc_quality_encode_test": q_doc_quality_encode_test,
-    "doc_quality_fit_3_iterations": q_doc_quality_fit_3_iterations,
+    "doc_quality_fit": q_doc_quality_fit,
     "feature_counts": q_feature_counts,
     "count_histogram": q_count_histogram,
     "md5_buckets": q_md5_buckets,
@@ -404,16 +421,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "log_loss_scalar": q_log_loss_scalar,
     "base_rate": q_base_rate,
     "baseline_log_loss": q_baseline_log_loss,
-    "fit_3_iterations": q_fit_3_iterations,
+    "ohe_fit": q_ohe_fit,
     "smallest_weights": q_smallest_weights,
     "predict_scores": q_predict_scores,
     "predict_scores_shuffled": q_predict_scores_shuffled,
     "evaluate_log_loss": q_evaluate_log_loss,
     "roc_curve": q_roc_curve,
+    "roc_curve_ranged": q_roc_curve_ranged,
     "roc_curve_binned": q_roc_curve_binned,
     "grid_search": q_grid_search,
     "grid_pivot": q_grid_pivot,
     "metric_report": q_metric_report,
     "final_report": q_final_report,
     "random_split_native": q_random_split_native,
+    "random_split_check": q_random_split_check,
 }
