@@ -32,6 +32,7 @@ from respengine.operators.joins import hot_threshold, lookup_join
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+UNLOAD = "spark.sql.streaming.stateStore.unloadOnCommit"
 SALT_ROWS = 1000
 MAX_HOT = 1000
 BROADCAST_ROWS = 100_000
@@ -69,17 +70,22 @@ def fold_stream(rows: DataFrame, out_path: str, state_path: str) -> None:
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out_path}/batch={number}")
 
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    # A store leaves the local disk after each batch (an open one sets aside megabytes,
+    # however little it holds); the state is in the checkpoint folder.
+    wanted = {PROVIDER: ROCKSDB, UNLOAD: "true"}
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         folded.writeStream.outputMode("update").foreachBatch(write) \
             .option("checkpointLocation", state_path).trigger(availableNow=True) \
             .start().awaitTermination()
     finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def _state(spark: SparkSession, out_path: str) -> DataFrame:
