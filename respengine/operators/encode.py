@@ -15,13 +15,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast, StorageLevel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .joins import broadcast_row_limit, hot_threshold, lookup_join
+from .joins import broadcast_byte_limit, broadcast_row_limit, hot_threshold, lookup_join
 
 # Dictionary entries per range partition when numbering.
 ENTRIES_PER_RANGE = 1_000_000
@@ -39,6 +42,7 @@ class Dictionary:
     size: int
     total: int
     bytes: int = 0
+    packed: Broadcast | None = None
 
     def hot_keys(self) -> DataFrame:
         """Pairs frequent enough to skew a shuffle; bounded by ``hot_threshold``."""
@@ -49,8 +53,10 @@ class Dictionary:
         return self.df.select("feature_id", "category", "idx")
 
     def release(self) -> None:
-        """Drop the cached copy (the numbered table stays in the checkpoint folder)."""
+        """Drop the cached and broadcast copies (the numbered table stays in the checkpoint folder)."""
         self.df.unpersist()
+        if self.packed is not None:
+            self.packed.unpersist()
 
 
 def to_long(obs: DataFrame, keep_empty: bool = False) -> DataFrame:
@@ -138,6 +144,55 @@ def lookup(dictionary: Dictionary, feature_id: int, category: str) -> DataFrame:
             .where((F.col("feature_id") == F.lit(feature_id)) & (F.col("category") == F.lit(category))))
 
 
+def _pair_hashes(fid: Column, cat: Column) -> tuple[Column, Column]:
+    """Two 64-bit hashes of a pair, null for a null category (which no join finds either)."""
+    given = fid.isNotNull() & cat.isNotNull()
+    return F.when(given, F.xxhash64(fid, cat)), F.when(given, F.xxhash64(cat, fid))
+
+
+def _packed(dictionary: Dictionary):
+    """The dictionary as a broadcast of arrays sorted by hash, or None.
+
+    20 bytes an entry; the caller bounds the entries. None when two entries share their
+    first hash: the pairs are then joined.
+    """
+    if dictionary.packed is None:
+        first, second = _pair_hashes(F.col("feature_id"), F.col("category"))
+        table = (dictionary.df.select(first.alias("first"), second.alias("second"), "idx")
+                 .where("first is not null").toArrow())
+        keys, also, idx = (table.column(c).to_numpy() for c in table.column_names)
+        order = np.argsort(keys, kind="stable")
+        keys, also, idx = keys[order], also[order], idx[order]
+        if np.any(keys[1:] == keys[:-1]):
+            return None
+        dictionary.packed = dictionary.df.sparkSession.sparkContext.broadcast((keys, also, idx))
+    return dictionary.packed
+
+
+def _finder(packed):
+    """Arrow function: dictionary ids of arrays of hash pairs, -1 for unknown pairs."""
+    def find(first: pa.Array, second: pa.Array) -> pa.Array:
+        keys, also, idx = packed.value
+        ends = np.cumsum(pc.list_value_length(first).to_numpy(zero_copy_only=False))
+        known = first.flatten().is_valid().to_numpy(zero_copy_only=False)
+        a = first.flatten().fill_null(0).to_numpy(zero_copy_only=False)
+        b = second.flatten().fill_null(0).to_numpy(zero_copy_only=False)
+        found = np.full(len(a), -1, np.int32)
+        if len(keys):
+            place = np.minimum(np.searchsorted(keys, a), len(keys) - 1)
+            known = known & (keys[place] == a) & (also[place] == b)
+            found[known] = idx[place[known]]
+        offsets = np.concatenate(([0], ends)).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(found))
+
+    return F.arrow_udf(find, "array<int>")
+
+
+def _unseen(fid: Column, cat: Column) -> Column:
+    return F.raise_error(F.concat(F.lit("unseen feature pair ("), fid.cast("string"), F.lit(", '"),
+                                  F.coalesce(cat, F.lit("null")), F.lit("')")))
+
+
 def one_hot_encode(obs: DataFrame, dictionary: Dictionary, unseen: str = "skip",
                    max_broadcast_rows: int | None = None) -> DataFrame:
     """Encode observations with a dictionary: one 1.0 per known pair.
@@ -146,38 +201,58 @@ def one_hot_encode(obs: DataFrame, dictionary: Dictionary, unseen: str = "skip",
     empty vector and stays); ``unseen='error'`` fails on the first unknown pair.
     A pair repeated within one observation fails in both modes.
 
-    Plan: the pairs are exploded and looked up in the dictionary, then
-    regrouped by row. A dictionary within ``max_broadcast_rows`` (default
-    ``respengine.broadcastMaxRows``) is broadcast, so the exploded rows of an
-    observation stay together and partial aggregation collapses them to one
-    row before the regrouping shuffle. A larger dictionary is joined through a
-    shuffle in which hot pairs are salted.
+    A dictionary within ``max_broadcast_rows`` (default
+    ``respengine.broadcastMaxRows``) and ``respengine.broadcastMaxBytes`` is
+    broadcast once, and pairs are looked up inside the row by two 64-bit hashes:
+    no shuffle, and ids may repeat. For a larger one the pairs are exploded, joined
+    through a shuffle in which hot pairs are salted, and regrouped by row; rows
+    are told apart there by id, label and a hash of the features.
     """
     if unseen not in ("skip", "error"):
         raise ValueError("unseen must be 'skip' or 'error'")
     spark = obs.sparkSession
     limit = broadcast_row_limit(spark) if max_broadcast_rows is None else max_broadcast_rows
-    long = to_long(obs, keep_empty=True)
-    joined = lookup_join(long, dictionary.table(), ["feature_id", "category"],
-                         table_rows=dictionary.size, table_bytes=dictionary.bytes,
-                         hot_keys=dictionary.hot_keys(), max_broadcast_rows=limit)
-    idx = F.col("idx")
-    if unseen == "error":
-        idx = F.when(
-            F.col("feature_id").isNotNull() & F.col("idx").isNull(),
-            F.raise_error(F.concat(F.lit("unseen feature pair ("),
-                                   F.col("feature_id").cast("string"), F.lit(", '"),
-                                   F.col("category"), F.lit("')")))).otherwise(idx)
-    grouped = (joined.groupBy("row_id", "label")
-               .agg(F.array_sort(F.collect_list(idx)).alias("indices")))
+    packed = None
+    if dictionary.size <= limit and dictionary.size * 20 <= broadcast_byte_limit(spark):
+        packed = _packed(dictionary)
+    if packed is not None:
+        indices = _looked_up(obs, packed, unseen)
+    else:
+        indices = _joined(obs, dictionary, unseen, limit)
     checked = F.when(F.size(F.array_distinct("indices")) != F.size("indices"),
                      F.raise_error(F.lit("repeated feature pair in one observation"))
                      ).otherwise(F.col("indices"))
-    return grouped.select(
+    return indices.select(
         "row_id", "label", checked.cast("array<int>").alias("indices"),
         F.transform(checked, lambda _: F.lit(1.0)).alias("values"))
 
 
+def _looked_up(obs: DataFrame, packed, unseen: str) -> DataFrame:
+    first = F.transform("feats", lambda f: _pair_hashes(f["feature_id"], f["category"])[0])
+    second = F.transform("feats", lambda f: _pair_hashes(f["feature_id"], f["category"])[1])
+    found = obs.select("row_id", "label", "feats", _finder(packed)(first, second).alias("_idx"))
+    idx = F.col("_idx")
+    if unseen == "error":
+        unknown = F.get("feats", F.array_position(idx, F.lit(-1)).cast("int") - 1)
+        idx = F.when(F.array_contains(idx, F.lit(-1)),
+                     _unseen(unknown["feature_id"], unknown["category"])).otherwise(idx)
+    return found.select("row_id", "label",
+                        F.array_sort(F.filter(idx, lambda i: i >= 0)).alias("indices"))
+
+
+def _joined(obs: DataFrame, dictionary: Dictionary, unseen: str, limit: int) -> DataFrame:
+    long = obs.select("row_id", "label", F.xxhash64("feats").alias("_row"), F.inline_outer("feats"))
+    joined = lookup_join(long, dictionary.table(), ["feature_id", "category"],
+                         table_rows=dictionary.size, table_bytes=dictionary.bytes,
+                         hot_keys=dictionary.hot_keys(), max_broadcast_rows=limit)
+    idx = F.col("idx")
+    if unseen == "error":
+        idx = F.when(F.col("feature_id").isNotNull() & idx.isNull(),
+                     _unseen(F.col("feature_id"), F.col("category"))).otherwise(idx)
+    return (joined.groupBy("row_id", "label", "_row")
+            .agg(F.array_sort(F.collect_list(idx)).alias("indices")))
+
+
 def encoded_long(encoded: DataFrame) -> DataFrame:
     """``(row_id, label, idx, value)``, one row per stored entry."""
     return (encoded.select("row_id", "label",

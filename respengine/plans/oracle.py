@@ -67,6 +67,17 @@ dict AS (
   FROM (SELECT feature_id, category, count(*)::BIGINT AS n FROM cel WHERE split = 'train' GROUP BY ALL))"""
 
 
+def content_split_ctes(content: str, table: str) -> str:
+    """``parts``: rows of ``table`` with the split of their content id."""
+    return f"""numbered AS (
+  SELECT {content} AS content, row_number() OVER (PARTITION BY {content}) - 1 AS copy FROM {table}),
+ided AS (
+  SELECT ('0x' || substr(md5(content || chr(10) || copy::VARCHAR), 1, 15))::BIGINT AS row_id FROM numbered),
+parts AS (
+  SELECT CASE WHEN u < 0.8 THEN 'train' WHEN u < 0.9 THEN 'validation' ELSE 'test' END AS split
+  FROM (SELECT {unit_hash_sql('row_id')} AS u FROM ided))"""
+
+
 def ohe_ctes() -> str:
     parts = [CE]
     for s in ("train", "validation", "test"):
@@ -213,6 +224,11 @@ FROM parts"""
     q["split_sizes"] = f"""WITH {CE}
 SELECT coalesce(split, 'total') AS split, count(*)::BIGINT AS n_rows FROM ces GROUP BY ROLLUP (split)"""
 
+    q["text_split_sizes"] = f"""WITH {CE},
+lines AS (SELECT concat_ws(chr(9), label::INTEGER::VARCHAR, f0, f1, f2, f3, f4) AS line FROM ce),
+{content_split_ctes('line', 'lines')}
+SELECT coalesce(split, 'total') AS split, count(*)::BIGINT AS n_rows FROM parts GROUP BY ROLLUP (split)"""
+
     q["random_split_native"] = None  # partition-dependent: rows-only check
 
     q["random_split_check"] = """SELECT count(*)::BIGINT AS n_rows, count(*)::BIGINT AS n_split,
@@ -303,6 +319,11 @@ FROM cel"""
                 "l_suppkey::VARCHAR", "l_partkey::VARCHAR"]
     li_strs = ", ".join(f"coalesce({f}, '') || '{i}'" for i, f in enumerate(li_feats))
     li_cols = ", ".join(f"coalesce({f}, '')" for f in li_feats)
+    q["lineitem_split_sizes"] = f"""WITH li AS (
+  SELECT array_to_string([CASE WHEN l_returnflag = 'R' THEN '1' ELSE '0' END, {li_cols}], '|') AS content
+  FROM lineitem),
+{content_split_ctes('content', 'li')}
+SELECT coalesce(split, 'total') AS split, count(*)::BIGINT AS n_rows FROM parts GROUP BY ROLLUP (split)"""
     q["lineitem_categories_per_feature"] = f"""WITH li AS (
   SELECT unnest(range({len(li_feats)}))::INTEGER AS feature_id, unnest([{li_cols}]) AS category
   FROM lineitem)

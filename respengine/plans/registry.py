@@ -104,6 +104,18 @@ def q_split_sizes(spark, sf):
     return split_sizes(hash_split(ctr_events(spark, sf), "row_id", SPLIT_WEIGHTS, SPLIT_SEED))
 
 
+def q_text_split_sizes(spark, sf):
+    """Hash split of the events as text lines, whose ids come from their content."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/text/{uuid.uuid4().hex}"
+    lines_from_observations(ctr_events(spark, sf)).select("line").write.text(path)
+    return split_sizes(hash_split(read_labelled_lines(spark, path), "row_id", SPLIT_WEIGHTS, SPLIT_SEED))
+
+
+def q_lineitem_split_sizes(spark, sf):
+    """Hash split of the wide set, which has no key of its own."""
+    return split_sizes(hash_split(lineitem_returns(spark, sf), "row_id", SPLIT_WEIGHTS, SPLIT_SEED))
+
+
 def q_random_split_native(spark, sf):
     """Spark's randomSplit with the same weights and seed (partition-dependent, rows only)."""
     parts = random_split(ctr_events(spark, sf), SPLIT_WEIGHTS, SPLIT_SEED)
@@ -433,6 +445,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "grid_pivot": q_grid_pivot,
     "metric_report": q_metric_report,
     "final_report": q_final_report,
+    "text_split_sizes": q_text_split_sizes,
+    "lineitem_split_sizes": q_lineitem_split_sizes,
     "random_split_native": q_random_split_native,
     "random_split_check": q_random_split_check,
 }

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import feature_array
+from .rows import with_content_ids
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,12 +68,12 @@ def lineitem_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Features: line number, quantity, discount and tax in percent, ship year,
     ship month, supplier, part. The table has no unique key (order and line
-    number repeat), so the row id is taken at the scan, before any shuffle.
+    number repeat), so the row id comes from the observation itself and its
+    place among equal ones.
     """
     li = read_table(spark, sf_dir, "lineitem")
-    return table_observations(
-        li, F.monotonically_increasing_id(),
-        F.when(F.col("l_returnflag") == "R", 1).otherwise(0),
+    obs = table_observations(
+        li, F.lit(0), F.when(F.col("l_returnflag") == "R", 1).otherwise(0),
         [F.col("l_linenumber").cast("string"),
          F.col("l_quantity").cast("int").cast("string"),
          F.round(F.col("l_discount") * 100).cast("int").cast("string"),
@@ -80,4 +81,7 @@ def lineitem_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
          F.year("l_shipdate").cast("string"),
          F.month("l_shipdate").cast("string"),
          F.col("l_suppkey").cast("string"),
-         F.col("l_partkey").cast("string")])
+         F.col("l_partkey").cast("string")]).drop("row_id")
+    content = F.concat_ws("|", F.col("label").cast("int").cast("string"),
+                          F.transform("feats", lambda f: f["category"]))
+    return with_content_ids(obs, content)

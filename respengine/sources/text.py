@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import parse_features, parse_label, split_fields, strip_line
+from .rows import with_content_ids
 
 FEATS_TYPE = T.ArrayType(T.StructType([
     T.StructField("feature_id", T.IntegerType(), False),
@@ -48,65 +49,68 @@ def parse_lines(lines: DataFrame, line_col: str = "line", row_id_col: str = "row
     )
 
 
-def read_lines(spark: SparkSession, path: str, num_partitions: int | None = None) -> DataFrame:
-    """Text lines split on ``\\n`` only, with a row id fixed at the scan.
+def _scan(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("lineSep", "\n").text(path)
 
-    ``monotonically_increasing_id`` is taken before any shuffle, so a retried
-    task of the same file split numbers its lines identically. An explicit
-    partition count (the reference's ``numPartitions``) repartitions after the
-    id is assigned.
+
+def _numbered(lines: DataFrame, ids: str, num_partitions: int | None) -> DataFrame:
+    if ids not in ("content", "scan"):
+        raise ValueError("ids must be 'content' or 'scan'")
+    if ids == "content":
+        lines = with_content_ids(lines, F.col("line"))
+    else:
+        lines = lines.select(F.monotonically_increasing_id().alias("row_id"), "line")
+    return lines.repartition(num_partitions, "row_id") if num_partitions else lines
+
+
+def read_lines(spark: SparkSession, path: str, num_partitions: int | None = None,
+               ids: str = "content") -> DataFrame:
+    """Text lines split on ``\\n`` only, as ``row_id, line``.
+
+    ``ids='content'`` (default) derives the id from the line and its place among equal
+    lines: the same for every packing of the files into tasks, at the price of one shuffle
+    of the lines. ``ids='scan'`` numbers lines as they are scanned, without a shuffle; such
+    ids change with the number of cores and the split size. An explicit partition count
+    (the reference's ``numPartitions``) repartitions after the id is assigned.
+    """
+    return _numbered(_scan(spark, path).select(F.col("value").alias("line")), ids, num_partitions)
+
+
+_COMPRESSED = r"(?i)\.(gz|bz2|zst|lz4|snappy|deflate|xz)$"
+
+
+def final_blank_lines(spark: SparkSession, path: str) -> DataFrame:
+    """One empty ``line`` per input file that ends in a newline.
+
+    Such a file is as long as its lines and one newline each (less a byte order mark of
+    three bytes, which the reader skips). The size of a compressed file tells nothing about
+    its lines, so such a file is an error.
     """
-    lines = (spark.read.option("lineSep", "\n").text(path)
-             .select(F.monotonically_increasing_id().alias("row_id"),
-                     F.col("value").alias("line")))
-    if num_partitions:
-        lines = lines.repartition(num_partitions, "row_id")
-    return lines
-
-
-_COMPRESSED = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate", ".xz")
-
-
-def files_ending_in_newline(spark: SparkSession, files: list[str]) -> list[str]:
-    """Uncompressed input files whose last byte is ``\n`` (one 1-byte read each)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    out = []
-    for f in files:
-        if f.lower().endswith(_COMPRESSED):
-            continue
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        fs = p.getFileSystem(conf)
-        size = fs.getFileStatus(p).getLen()
-        if size == 0:
-            continue
-        stream = fs.open(p)
-        try:
-            stream.seek(size - 1)
-            if stream.read() == 10:
-                out.append(f)
-        finally:
-            stream.close()
-    return out
+    size = F.when(F.col("file_path").rlike(_COMPRESSED), F.raise_error(F.concat(
+        F.lit("blank='positive' needs uncompressed files: "), F.col("file_path")))
+        ).otherwise(F.col("file_size"))
+    per_file = (_scan(spark, path)
+                .select("value", "_metadata.file_path", "_metadata.file_size")
+                .groupBy("file_path", "file_size")
+                .agg(F.sum(F.octet_length("value") + 1).alias("lines")))
+    return (per_file.where((size - F.col("lines")).isin(0, 3))
+            .select(F.lit("").alias("line")))
 
 
 def read_labelled_lines(spark: SparkSession, path: str, sep: str = "\t",
-                        blank: str = "drop", num_partitions: int | None = None) -> DataFrame:
+                        blank: str = "drop", num_partitions: int | None = None,
+                        ids: str = "content") -> DataFrame:
     """Read a labelled delimited text file (or folder) into observations.
 
     With ``blank='positive'``, blank lines become positives without features,
     as in the reference; that includes the empty line after a file's final
-    newline, which Spark's line reader does not yield, so one such row (with a
-    negative row id) is added per input file that ends in a newline.
+    newline, which Spark's line reader does not yield, so one empty line is
+    added per input file that ends in a newline.
     """
-    lines = read_lines(spark, path, num_partitions)
+    lines = _scan(spark, path).select(F.col("value").alias("line"))
     if blank == "positive":
-        ending = files_ending_in_newline(spark, lines.inputFiles())
-        if ending:
-            extra = spark.createDataFrame([(-(i + 1), "") for i in range(len(ending))],
-                                          "row_id long, line string")
-            lines = lines.unionByName(extra)
-    return parse_lines(lines, sep=sep, blank=blank)
+        lines = lines.unionByName(final_blank_lines(spark, path))
+    return parse_lines(_numbered(lines, ids, num_partitions), sep=sep, blank=blank)
 
 
 def lines_from_observations(obs: DataFrame, sep: str = "\t") -> DataFrame:

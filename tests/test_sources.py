@@ -1,8 +1,13 @@
 import os
 import tempfile
 
+from pyspark.sql import functions as F
+
+from respengine.operators.split import hash_split
+from respengine.sources.rows import with_content_ids
 from respengine.sources.tables import ctr_events, doc_quality, lineitem_returns
-from respengine.sources.text import parse_lines, read_labelled_lines, sample_observations
+from respengine.sources.text import (parse_lines, read_labelled_lines, read_lines,
+                                     sample_observations)
 
 from conftest import SF001
 
@@ -37,7 +42,7 @@ def test_read_labelled_lines_file(spark):
     path = os.path.join(folder, "clicks.txt")
     with open(path, "w") as fh:
         fh.write("1\ta\tb\n0\tc\t\t\n\n1\td\r\n")
-    rows = sorted(read_labelled_lines(spark, path).collect(), key=lambda r: r["row_id"])
+    rows = sorted(read_labelled_lines(spark, path).collect(), key=_feats)
     assert [r["label"] for r in rows] == [1.0, 0.0, 1.0]
     assert [_feats(r) for r in rows] == [[(0, "a"), (1, "b")], [(0, "c")], [(0, "d")]]
     assert len({r["row_id"] for r in rows}) == 3
@@ -52,6 +57,43 @@ def test_read_labelled_lines_file(spark):
     assert read_labelled_lines(spark, no_final, blank="positive").count() == 2
 
 
+def test_blank_positive_needs_plain_files(spark):
+    import gzip
+
+    import pytest
+    folder = tempfile.mkdtemp(prefix="respengine-gz-")
+    with gzip.open(os.path.join(folder, "a.txt.gz"), "wt") as fh:
+        fh.write("1\ta\n\n")
+    assert read_labelled_lines(spark, folder).count() == 1
+    with pytest.raises(Exception, match="uncompressed"):
+        read_labelled_lines(spark, folder, blank="positive").count()
+
+
+def test_content_ids_do_not_follow_the_packing(spark):
+    folder = tempfile.mkdtemp(prefix="respengine-packing-")
+    for f in range(5):
+        with open(os.path.join(folder, f"{f}.txt"), "w") as fh:
+            fh.write("".join(f"{i % 2}\tv{i % 97}\n" for i in range(f, 400)) + "1\thot\n" * 300)
+    seen = []
+    for packed in ("64m", "700b"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", packed)
+        try:
+            lines = read_lines(spark, folder)
+            n = lines.count()
+            seen.append(sorted(map(tuple, hash_split(lines, "row_id").collect())))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert seen[0] == seen[1]
+    assert n == len({r[0] for r in seen[0]}) == len(seen[0])
+
+
+def test_many_copies_are_dealt_in_runs(spark):
+    df = spark.range(1000).selectExpr("if(id < 900, 'hot', cast(id as string)) as line")
+    small = sorted(map(tuple, with_content_ids(df, F.col("line"), copies_per_run=7).collect()))
+    assert small == sorted(map(tuple, with_content_ids(df, F.col("line")).collect()))
+    assert len({r[0] for r in small}) == 1000 and sum(r[1] == "hot" for r in small) == 900
+
+
 def test_sample(spark):
     rows = sorted(sample_observations(spark).collect(), key=lambda r: r["row_id"])
     assert [len(r["feats"]) for r in rows] == [2, 3, 3]
