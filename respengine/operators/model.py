@@ -340,8 +340,9 @@ def predict_many(models: list[LogisticModel], encoded: DataFrame,
     K = len(models)
     table = _weights_table(spark, models)
     table_rows = int(np.count_nonzero(np.any(np.vstack([m.weights for m in models]) != 0.0, axis=0)))
+    # Rows are told apart by id, label and a hash of their entries.
     long = encoded.select(
-        "row_id", "label",
+        "row_id", "label", F.xxhash64("indices", "values").alias("_row"),
         F.inline_outer(F.zip_with("indices", "values",
                                   lambda i, v: F.struct(i.alias("idx"), v.alias("value")))))
     limit = broadcast_row_limit(spark) if max_broadcast_rows is None else max_broadcast_rows
@@ -357,7 +358,7 @@ def predict_many(models: list[LogisticModel], encoded: DataFrame,
                          max_broadcast_rows=limit)
     sums = [F.coalesce(F.sum(F.col("value") * F.col(f"w_{k}")), F.lit(0.0)).alias(f"m_{k}")
             for k in range(K)]
-    margins = joined.groupBy("row_id", "label").agg(*sums)
+    margins = joined.groupBy("row_id", "label", "_row").agg(*sums)
     return margins.select(
         "row_id", "label",
         *[clamped_sigmoid(F.col(f"m_{k}") + F.lit(float(models[k].intercept))).alias(f"score_{k}")
