@@ -71,3 +71,19 @@ def test_capacity_bounds_the_model(documents):
     few = {r.doc_id: r.score for r in lm_score(documents(rows), F.lit(True), capacity=40).collect()}
     all_ = {r.doc_id: r.score for r in lm_score(documents(rows), F.lit(True)).collect()}
     assert sum(few.values()) < sum(all_.values()) < 0
+
+
+def test_no_gram_is_left_out(documents):
+    # More than 2^19 n-grams of order 4, each learned twice: the text is coded in full contexts.
+    rnd = random.Random(3)
+    text = "".join(rnd.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+-", k=600_000))
+    line = bytes(ORDER) + text.encode() + b"\xff"
+    grams = Counter(line[p - ORDER:p + 1] for p in range(ORDER, len(line)))
+    assert len(grams) > 1 << 19
+    context, kinds = Counter(), Counter()
+    for g, n in grams.items():
+        context[g[:-1]] += 2 * n
+        kinds[g[:-1]] += 1
+    want = sum(n * log10(2 * n / (context[g[:-1]] + kinds[g[:-1]])) for g, n in grams.items())
+    got = lm_score(documents([(i, text) for i in range(3)]), F.col("doc_id") < 2).collect()
+    assert [r.score for r in got] == pytest.approx([want] * 3)
