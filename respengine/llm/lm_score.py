@@ -103,7 +103,7 @@ def _low(column: Column, size: int) -> Column:
 
 def _limited(orders: list[DataFrame], capacity: int) -> list[DataFrame]:
     """The orders with the counts of all but about ``capacity`` n-grams each set to 0."""
-    out, least = [], 1.0
+    out, least = [], 0
     for grams in orders:
         # Frequencies by eighths of a power of two: at most 512 classes, taken from the top.
         level = F.floor(F.log2("n") * 8)
@@ -115,7 +115,7 @@ def _limited(orders: list[DataFrame], capacity: int) -> list[DataFrame]:
                 lowest = c + 1
                 break
         least = max(least, lowest)  # a kept n-gram keeps its shorter ones
-        kept = (F.col("n") > 0) & (level >= (least if least > 1 else 0))
+        kept = (F.col("n") > 0) & (level >= least)
         out.append(grams.withColumn("n", F.when(kept, F.col("n")).otherwise(0)))
     return out
 

@@ -7,7 +7,7 @@ from math import log10
 import pytest
 from pyspark.sql import functions as F
 
-from respengine.llm.lm_score import ORDER, lm_score
+from respengine.llm.lm_score import ORDER, _limited, lm_score
 
 
 def plain(rows, train):
@@ -87,3 +87,9 @@ def test_no_gram_is_left_out(documents):
     want = sum(n * log10(2 * n / (context[g[:-1]] + kinds[g[:-1]])) for g, n in grams.items())
     got = lm_score(documents([(i, text) for i in range(3)]), F.col("doc_id") < 2).collect()
     assert [r.score for r in got] == pytest.approx([want] * 3)
+
+
+def test_capacity_holds_for_singletons(spark):
+    grams = spark.createDataFrame([(i, 8 if i < 3 else 1) for i in range(50)], "gram long, n long")
+    some, all_ = (_limited([grams], size)[0].where("n > 0").count() for size in (10, 50))
+    assert (some, all_) == (3, 50)
