@@ -6,9 +6,10 @@ in order; a document is compared with each profile by the out-of-place distance:
 over the document's own most frequent n-grams, of how far each is from its place in the
 profile (the profile's length if it is not there). The nearest profile wins.
 
-N-grams are kept as 16-bit hashes, so a task's counts have a fixed size whatever the
-corpus and its alphabets are. Training counts all labelled texts: tasks emit their counts
-per language, Spark sums them, and ``profile_size`` n-grams a language reach the driver.
+N-grams are kept as 64-bit numbers, no two of them alike. Training counts all labelled
+texts: tasks emit their counts per language (in between, once they hold two million),
+Spark sums them, and ``profile_size`` n-grams a language reach the driver. Equal counts
+are ordered by number.
 
 Defined results: ``und`` with score 0 for a null text, a text without letters, or when
 nothing could be learned; ties between languages go to the first in code point order;
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from respengine.llm.common import text_of
 
-GRAMS = 1 << 16
+HELD = 4_000_000
 UNDEFINED = "und"
 PROFILE_SIZE = 300
 
@@ -41,21 +42,17 @@ def _letters() -> np.ndarray:
 
 
 def grams(text: str) -> np.ndarray:
-    """16-bit hashes of the n-grams of a text, in order of place."""
+    """The n-grams of a text as numbers, in order of place."""
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
     points = np.where(_letters()[points], points, 0).astype(np.uint64)
     padded = np.concatenate([np.zeros(1, np.uint64), points, np.zeros(1, np.uint64)])
     letter = points > 0
-    one = points[letter] * np.uint64(0x9E3779B97F4A7C15)
-    # Of two and three characters: at least one letter, and a letter in the middle.
-    pairs = (padded[:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + padded[1:] * np.uint64(0x165667B19E3779F9))[
-        (padded[:-1] > 0) | (padded[1:] > 0)]
-    three = (padded[:-2] * np.uint64(0x27D4EB2F165667C5) + padded[1:-1] * np.uint64(0x85EBCA77C2B2AE63)
-             + padded[2:] * np.uint64(0x9FB21C651E98DF25))[letter]
-    mixed = np.concatenate([one, pairs, three])
-    mixed ^= mixed >> np.uint64(32)
-    mixed *= np.uint64(0xD6E8FEB86659FD93)
-    return (mixed >> np.uint64(48)).astype(np.uint16)
+    # Code points have 21 bits. One letter: the top bit and the letter. Two and three
+    # characters: at least one letter, 0 in the middle, and a letter in the middle.
+    one = points[letter] | np.uint64(1 << 63)
+    pairs = (padded[:-1] << np.uint64(42) | padded[1:])[(padded[:-1] > 0) | (padded[1:] > 0)]
+    three = (padded[:-2] << np.uint64(42) | points << np.uint64(21) | padded[2:])[letter]
+    return np.concatenate([one, pairs, three])
 
 
 class Profiles:
@@ -66,25 +63,26 @@ class Profiles:
         self.size = size
         self.languages = sorted({r[0] for r in rows}, key=lambda s: s.encode("utf-8"))
         index = {name: i for i, name in enumerate(self.languages)}
-        self.place = np.full((len(self.languages), GRAMS), size, np.int32)
+        self.known = np.unique(np.array([r[1] for r in rows], np.int64).astype(np.uint64))
+        # The last column is that of n-grams in no profile.
+        self.place = np.full((len(self.languages), len(self.known) + 1), size, np.int32)
         for lang, gram, place in rows:
-            self.place[index[lang], gram] = place
+            at = np.searchsorted(self.known, np.int64(gram).astype(np.uint64))
+            self.place[index[lang], at] = place
         # Equal counts inside a document are ordered by how common an n-gram is overall.
-        self.order = np.argsort(np.argsort(self.place.sum(axis=0), kind="stable")).astype(np.uint16) \
-            if rows else np.arange(GRAMS, dtype=np.uint16)
-        self.back = np.argsort(self.order).astype(np.int64)
+        self.order = np.argsort(np.argsort(self.place.sum(axis=0), kind="stable"))
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        found = grams(text) if text else np.zeros(0, np.uint16)
+        found = grams(text) if text else np.zeros(0, np.uint64)
         if not len(found) or not self.languages:
             return UNDEFINED, 0.0
-        ranked = np.sort(self.order[found], kind="stable")
-        at = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-        counts = np.diff(np.append(at, len(ranked)))
-        top = ranked[at[np.argsort(-counts, kind="stable")[:self.size]]]
-        away = np.abs(self.place[:, self.back[top]] - np.arange(len(top)))
-        missing = self.place[:, self.back[top]] == self.size
-        distance = np.where(missing, self.size, away).sum(axis=1)
+        every, counts = np.unique(found, return_counts=True)
+        at = np.searchsorted(self.known, every)
+        at[self.known[np.minimum(at, len(self.known) - 1)] != every] = len(self.known)
+        top = at[np.lexsort((self.order[at], -counts))[:self.size]]
+        place = self.place[:, top]
+        away = np.abs(place - np.arange(len(top)))
+        distance = np.where(place == self.size, self.size, away).sum(axis=1)
         best = int(distance.argmin())
         return self.languages[best], 1.0 - float(distance[best]) / (self.size * len(top))
 
@@ -99,21 +97,41 @@ def learn(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang"
           size: int = PROFILE_SIZE) -> Profiles:
     """Profiles from all rows of ``labelled`` with a language."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[str, np.ndarray] = {}
+        raw: dict[str, list[np.ndarray]] = {}
+        sums: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        held = 0
+
+        def add_up() -> int:
+            for lang, found in raw.items():
+                gram, n = np.unique(np.concatenate(found), return_counts=True)
+                if lang in sums:
+                    gram, where = np.unique(np.concatenate([sums[lang][0], gram]), return_inverse=True)
+                    n = np.bincount(where, np.concatenate([sums[lang][1], n])).astype(np.int64)
+                sums[lang] = gram, n
+            raw.clear()
+            return sum(len(g) for g, _ in sums.values())
+
+        def emit():
+            for lang, (gram, n) in sums.items():
+                yield pa.record_batch({"lang": pa.array([lang] * len(gram), pa.string()),
+                                       "gram": pa.array(gram.view(np.int64)), "n": pa.array(n, pa.int64())})
+            sums.clear()
+
         for batch in batches:
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if lang not in totals:
-                    totals[lang] = np.zeros(GRAMS, np.int64)
-                totals[lang] += np.bincount(grams(text), minlength=GRAMS)
-        for lang, total in totals.items():
-            seen = np.flatnonzero(total)
-            yield pa.record_batch({"lang": pa.array([lang] * len(seen), pa.string()),
-                                   "gram": pa.array(seen.astype(np.int32)),
-                                   "n": pa.array(total[seen])})
+                found = grams(text)
+                raw.setdefault(lang, []).append(found)
+                held += len(found)
+                if held > HELD:
+                    held = 0
+                    if add_up() > HELD // 2:  # a varied corpus: pass on what there is
+                        yield from emit()
+        add_up()
+        yield from emit()
 
     rows = labelled.select(text_of(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")) \
         .where("lang is not null and text != ''")
-    counts = rows.mapInArrow(count, "lang string, gram int, n long") \
+    counts = rows.mapInArrow(count, "lang string, gram long, n long") \
         .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
     top = counts.withColumn("place", place).where(F.col("place") <= size)

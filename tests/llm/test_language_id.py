@@ -1,8 +1,11 @@
 """Language ID: held-out accuracy on a given table, and small cases."""
+import random
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from respengine.llm.common import read_table
-from respengine.llm.language_id import UNDEFINED, identify, learn
+from respengine.llm.language_id import UNDEFINED, grams, identify, learn
 from respengine.llm.queries import op2_language_id
 
 SF = "/root/testdata/sf0.01"
@@ -39,3 +42,15 @@ def test_nothing_learned(spark, documents):
     none = learn(docs.where("lang is null"))
     assert [(r.lang_pred, r.score) for r in identify(docs, none).collect()] == [(UNDEFINED, 0.0)]
     assert identify(docs.where("doc_id > 5"), learn(docs)).count() == 0
+
+
+def test_large_alphabets_share_no_place():
+    rnd = random.Random(4)
+    text = "".join(chr(rnd.randrange(0x4E00, 0x9FA0)) if rnd.random() < 0.9 else " " for _ in range(60_000))
+    padded = f" {text} "
+    plain = set(text) - {" "}
+    plain |= {padded[i:i + 2] for i in range(len(padded) - 1)} - {"  "}
+    plain |= {padded[i:i + 3] for i in range(len(padded) - 2) if padded[i + 1] != " "}
+    # One letter and a pair with a boundary are told apart by their spaces.
+    assert len(plain) > 1 << 16
+    assert len(np.unique(grams(text))) == len(plain)
