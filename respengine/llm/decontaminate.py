@@ -3,7 +3,8 @@
 Texts are words (ASCII lower-cased) and shingles of five words; an item of N shingles is
 compared with windows of N consecutive shingles of a document, or with the whole document
 where it is shorter. The similarity is the weighted Jaccard similarity of the shingle
-counts, and every document with a window of 0.75 or more is found.
+counts; documents with a window of 0.75 or more are found, but for the chance that the
+fingerprints miss the window (below).
 
 1. Anchors. Such a window shares all but a quarter of the item's shingle occurrences, so
    it holds one of the item's first N/4 + 1. Document shingles are joined with these;
@@ -15,7 +16,10 @@ counts, and every document with a window of 0.75 or more is found.
 3. Candidates within the radius are verified by the exact similarity of their counts.
 
 The radius (23) is four standard deviations above the distance that a similarity of 0.75
-gives (11 of 64 bits on average).
+gives (11 of 64 bits on average). A window of exactly 0.75 differs in more bits, and is
+missed, with a chance of 2e-6 to 3.4e-4 (exact binomials for distinct shingles and
+independent bits: 1.8e-5 for windows of 7 shingles, 8.3e-5 for 280, 3.4e-4 for a document
+that is 3 of the 4 shingles of an item).
 
 Defined results: null and empty texts, and texts or items below five words, match nothing;
 an item without text matches nothing; equal rows give one result row; an empty table on
