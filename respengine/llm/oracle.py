@@ -68,8 +68,72 @@ SELECT doc_id, size, source_size, target,
 FROM epochs
 """
 
+def crc32(number: str) -> str:
+    """SQL for the unsigned CRC-32 of the decimal text of ``number``."""
+    byte = "ascii(x)"
+    bits = "list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: xor(c >> 1, 3988292384 * (c & 1)))"
+    return (f"xor(4294967295, list_reduce(list_prepend(4294967295, list_transform("
+            f"string_split({number}::VARCHAR, ''), lambda x: {byte}::BIGINT)), lambda a, b: {bits}))")
+
+
+def _encoded(*columns: str) -> str:
+    return " || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in columns)
+
+
+MERKLE = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, lang, sha256({_encoded('doc_id', 'source', 'lang', 'n_chars', 'text')}) AS leaf,
+         CASE WHEN n_chars IS NOT NULL AND {crc32('doc_id')} % 7 = 0
+              THEN sha256({_encoded('doc_id', 'source', 'lang', '(n_chars + 1)', 'text')}) END AS tampered
+  FROM documents
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves
+), nodes AS (
+  SELECT lang, 0 AS level, pos, count(*) OVER (PARTITION BY lang) AS n, leaf AS hash FROM placed
+  UNION ALL
+  SELECT lang, level + 1, pos // 2, any_value(n + 1) // 2, sha256(string_agg(hash, '' ORDER BY pos))
+  FROM nodes WHERE n > 1 GROUP BY lang, level, pos // 2
+), subroots AS (
+  SELECT lang, level AS height, hash,
+         row_number() OVER (ORDER BY lang IS NOT NULL, lang::BLOB) - 1 AS pos FROM nodes WHERE n = 1
+), top AS (
+  SELECT 0 AS level, pos, count(*) OVER () AS n, hash FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 2, any_value(n + 1) // 2, sha256(string_agg(hash, '' ORDER BY pos))
+  FROM top WHERE n > 1 GROUP BY level, pos // 2
+), steps AS (
+  SELECT p.doc_id, p.leaf, p.lang, n.level, s.hash AS sibling, (p.pos >> n.level) & 1 AS side
+  FROM placed p JOIN nodes n ON n.lang IS NOT DISTINCT FROM p.lang AND n.pos = p.pos >> n.level AND n.n > 1
+  LEFT JOIN nodes s ON s.lang IS NOT DISTINCT FROM p.lang AND s.level = n.level AND s.pos = xor(n.pos, 1)
+  UNION ALL
+  SELECT p.doc_id, p.leaf, p.lang, r.height + n.level, s.hash, (r.pos >> n.level) & 1
+  FROM placed p JOIN subroots r ON r.lang IS NOT DISTINCT FROM p.lang
+  JOIN top n ON n.pos = r.pos >> n.level AND n.n > 1
+  LEFT JOIN top s ON s.level = n.level AND s.pos = xor(n.pos, 1)
+), proofs AS (
+  SELECT p.doc_id, p.leaf, r.hash AS subroot, (SELECT hash FROM top WHERE n = 1) AS root,
+         coalesce(p.tampered, p.leaf) AS claimed,
+         coalesce(list(struct_pack(h := s.sibling, side := s.side) ORDER BY s.level) FILTER (s.level IS NOT NULL), []) AS path
+  FROM placed p JOIN subroots r ON r.lang IS NOT DISTINCT FROM p.lang
+  LEFT JOIN steps s ON s.doc_id = p.doc_id
+  GROUP BY ALL
+), folding AS (
+  SELECT doc_id, leaf, subroot, root, path, 0 AS done, claimed AS node FROM proofs
+  UNION ALL
+  SELECT doc_id, leaf, subroot, root, path, done + 1,
+         sha256(CASE path[done + 1].side WHEN 1 THEN coalesce(path[done + 1].h, '') || node
+                ELSE node || coalesce(path[done + 1].h, '') END)
+  FROM folding WHERE done < len(path)
+)
+SELECT doc_id, leaf, subroot, root,
+       sha256(array_to_string([s.h FOR s IN path IF s.h IS NOT NULL], '')) AS proof_sha256,
+       node AS folded_root, node = root AS verified
+FROM folding WHERE done = len(path)
+"""
+
 ORACLE_SQL = {
     "op5_chat_format": CHAT_FORMAT,
     "op6_mix_sources": MIX,
     "op10_exact_dedup": EXACT_DEDUP,
+    "op11_merkle_manifest": MERKLE,
 }

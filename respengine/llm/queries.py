@@ -14,6 +14,7 @@ from respengine.llm.exact_dedup import exact_dedup
 from respengine.llm.jaccard_join import jaccard_components
 from respengine.llm.language_id import identify, learn, remainder
 from respengine.llm.lm_score import lm_score
+from respengine.llm.merkle_manifest import COLUMNS, fold, leaf_hash, manifest
 from respengine.llm.mixing import mix
 from respengine.llm.secret_scan import listed, scan
 from respengine.llm.substring_dedup import substring_dedup
@@ -97,7 +98,20 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents")).drop("file", "pos")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The proof of every document, and the root it gives after some documents were changed."""
+    docs = read_table(spark, sf_dir, "documents")
+    changed = F.col("doc_id").isNotNull() & F.col("n_chars").isNotNull() & (remainder("doc_id", 7) == 0)
+    values = [F.col(c) + 1 if c == "n_chars" else F.col(c) for c in COLUMNS]
+    made = manifest(docs, tampered=F.when(changed, leaf_hash(*values)))
+    return made.proofs().select(
+        "doc_id", "leaf", "subroot", F.lit(made.root).cast("string").alias("root"),
+        F.sha2("siblings", 256).alias("proof_sha256"),
+        fold(F.coalesce("tampered", "leaf"), F.col("siblings"), F.col("sides")).alias("folded_root")) \
+        .withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_suffix_dedup, op2_language_id, op3_lm_score, op4_secret_scan,
                              op5_chat_format, op6_mix_sources, op7_ngram_jaccard_join, op8_substring_dedup,
-                             op9_decontaminate, op10_exact_dedup)}
+                             op9_decontaminate, op10_exact_dedup, op11_merkle_manifest)}
