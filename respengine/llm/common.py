@@ -41,6 +41,14 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, with underscores in front until no column is called so (in any case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def chunk_bytes(spark: SparkSession) -> int:
     return int(spark.conf.get("respengine.llm.chunkBytes", str(DEFAULT_CHUNK_BYTES)))
 

@@ -27,7 +27,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from respengine.llm.common import shared_path, text_of
+from respengine.llm.common import free_name, shared_path, text_of
 from respengine.operators.joins import hot_threshold, lookup_join
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -161,8 +161,9 @@ def _differing(content: DataFrame, joined: DataFrame) -> DataFrame:
 
 def drop_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` (read from Parquet) that stay, with all their columns."""
+    file, pos = free_name(docs.columns, "file"), free_name(docs.columns, "pos")
     gone = exact_dedup(docs, id_col=id_col, text_col=text_col).where("not kept") \
-        .select(F.col("file").alias("_file"), F.col("pos").alias("_pos"))
-    named = docs.select("*", F.col("_metadata.file_path").alias("_file"),
-                        F.col("_metadata.row_index").alias("_pos"))
-    return named.join(gone, ["_file", "_pos"], "left_anti").select(*docs.columns)
+        .select(F.col("file").alias(file), F.col("pos").alias(pos))
+    named = docs.select("*", F.col("_metadata.file_path").alias(file),
+                        F.col("_metadata.row_index").alias(pos))
+    return named.join(gone, [file, pos], "left_anti").select(*docs.columns)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from respengine.llm.common import text_of
+from respengine.llm.common import free_name, text_of
 
 HELD = 4_000_000
 UNDEFINED = "und"
@@ -142,7 +142,8 @@ def identify(docs: DataFrame, profiles: Profiles, *, text_col: str = "text") ->
     """``docs`` with ``lang_pred`` and ``score`` (replacing columns of these names)."""
     shared = docs.sparkSession.sparkContext.broadcast(profiles)
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    rows = docs.select(*kept).withColumn("_read", F.col(text_col).cast("string"))
+    # Read by place: the column may share its name with one of ``kept``.
+    rows = docs.select(*kept, F.col(text_col).cast("string").alias(free_name(docs.columns, "read")))
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value

@@ -1,5 +1,7 @@
 """Language-model scores by prediction by partial matching (PPM).
 
+A-Z are lower-cased first, for the model's bytes and for the words alike.
+
 The model is a trie of byte contexts of up to ``ORDER`` bytes. A byte is coded in the
 longest known context; where that has not seen it, an escape (method C: as likely as the
 context has distinct successors) leads to the next shorter context, in which the bytes
@@ -80,7 +82,7 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         train = batch.column(1).to_numpy(zero_copy_only=False)
         for first, data, off in K.text_slices(pa.Table.from_batches([batch])):
-            grams, at = byte_grams(data, off)
+            grams, at = byte_grams(K.lower_ascii(data), off)
             found, where = np.unique(grams, return_inverse=True)
             keys.append(found)
             counts.append(np.bincount(where, np.repeat(train[first:first + len(off) - 1], np.diff(at))))
@@ -197,7 +199,7 @@ class ChunkGrams:
     def __init__(self, table: pa.Table):
         self.slices = []
         for _, data, off in K.text_slices(table):
-            grams, at = byte_grams(data, off)
+            grams, at = byte_grams(K.lower_ascii(data), off)
             self.slices.append((*np.unique(grams, return_inverse=True), at))
         self.every = np.unique(np.concatenate([s[0] for s in self.slices]))
         self.keys = K.Keys(K.mix(self.every))
@@ -254,7 +256,7 @@ def lm_score(docs: DataFrame, training: Column, *, id_col: str = "doc_id", text_
     base = chunked(docs, n, train=F.col("train"))
 
     def ask(table: pa.Table) -> pa.Table:
-        hashes, off = K.table_words(table)
+        hashes, off = K.table_words(table, lower=True)
         learned = np.repeat(table.column("train").to_numpy(zero_copy_only=False), np.diff(off))
         keys = K.Keys(hashes)
         counts = np.add.reduceat(learned[keys.order].astype(np.int64), np.flatnonzero(keys.new)) \
@@ -281,7 +283,7 @@ def lm_score(docs: DataFrame, training: Column, *, id_col: str = "doc_id", text_
     scale = log10(tokens + 0.1 * (vocabulary + 1))
 
     def score(table: pa.Table, totals: pa.Table) -> pa.Table:
-        hashes, off = K.table_words(table)
+        hashes, off = K.table_words(table, lower=True)
         keys = K.Keys(hashes)
         totals = totals.sort_by("part")
         counts, costs = (np.concatenate([np.zeros(0, t), *_arrays(totals, c, t)])

@@ -11,7 +11,8 @@ from respengine.llm.lm_score import ORDER, _limited, lm_score
 
 
 def plain(rows, train):
-    """Dictionary PPM (method C, exclusion) and word unigrams."""
+    """Dictionary PPM (method C, exclusion) and word unigrams, A-Z lower-cased."""
+    rows = [(i, re.sub("[A-Z]", lambda m: m.group().lower(), t or "")) for i, t in rows]
     succ = defaultdict(Counter)
     lines = {i: [0] * ORDER + list((t or "").encode()) + [255] for i, t in rows}
     tokens = {i: re.findall(r"[^\x20\x09-\x0D]+", t or "") + [None] for i, t in rows}
@@ -45,9 +46,9 @@ def plain(rows, train):
 @pytest.mark.parametrize("size", [1 << 22, 2000])
 def test_against_plain(spark, documents, size):
     rnd = random.Random(5)
-    vocab = ["".join(rnd.choice("abé日") for _ in range(rnd.randint(1, 4))) for _ in range(60)]
+    vocab = ["".join(rnd.choice("abABé日É") for _ in range(rnd.randint(1, 4))) for _ in range(60)]
     rows = [(i, " ".join(rnd.choice(vocab) for _ in range(rnd.randint(0, 60)))) for i in range(80)]
-    rows += [(80, None), (81, ""), (82, "\n\t "), (83, "unseen words entirely Ω"), (84, "ab " * 900)]
+    rows += [(80, None), (81, ""), (82, "\n\t "), (83, "unseen words entirely Ω"), (84, "ab " * 900), (85, "AB aB İ ÀÀ")]
     spark.conf.set("respengine.llm.chunkBytes", str(size))
     got = lm_score(documents(rows), F.col("doc_id") % 5 != 3).collect()
     spark.conf.unset("respengine.llm.chunkBytes")
@@ -76,8 +77,8 @@ def test_capacity_bounds_the_model(documents):
 def test_no_gram_is_left_out(documents):
     # More than 2^19 n-grams of order 4, each learned twice: the text is coded in full contexts.
     rnd = random.Random(3)
-    text = "".join(rnd.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+-", k=600_000))
-    line = bytes(ORDER) + text.encode() + b"\xff"
+    text = "".join(rnd.choices("abcdefghijklmnopqrstuvwxyzABCDEF0123456789+-!?#$%&()[]{}<>@^~|;", k=600_000))
+    line = bytes(ORDER) + text.lower().encode() + b"\xff"
     grams = Counter(line[p - ORDER:p + 1] for p in range(ORDER, len(line)))
     assert len(grams) > 1 << 19
     context, kinds = Counter(), Counter()
