@@ -131,9 +131,49 @@ SELECT doc_id, leaf, subroot, root,
 FROM folding WHERE done = len(path)
 """
 
+TRIE = f"""
+WITH turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS i
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT c, count(*) AS n, {crc32('c')} % 4 AS h, c - c % 20 AS base FROM turns GROUP BY c
+), lengths AS (
+  SELECT v.*, least(v.h, coalesce(b.n, 0)) AS taken FROM convs v LEFT JOIN convs b ON b.c = v.base
+), rebuilt AS (
+  SELECT v.c, t.i AS place, t.role, t.text FROM lengths v JOIN turns t ON t.c = v.base AND t.i < v.h
+  UNION ALL
+  SELECT v.c, t.i - v.h + v.taken, t.role, t.text FROM lengths v JOIN turns t ON t.c = v.c AND t.i >= v.h
+), members AS (
+  SELECT c, place + 1 AS d, len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS words,
+         sha256(string_agg(sha256(strlen(role) || ':' || role || text), '') OVER (PARTITION BY c ORDER BY place)) AS key
+  FROM rebuilt
+  UNION ALL SELECT c, 0, 0, '' FROM convs
+), ends AS (
+  SELECT *, d = max(d) OVER (PARTITION BY c) AS last FROM members
+), nodes AS (
+  SELECT d, key, min(c) AS conv_id, count(*) AS n, any_value(words) AS words,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (last), '')) AS ends_sha256
+  FROM ends GROUP BY d, key
+), linked AS (
+  SELECT v.*, m.key AS parent FROM nodes v LEFT JOIN members m ON m.c = v.conv_id AND m.d = v.d - 1
+), counted AS (
+  SELECT v.*, p.conv_id AS parent_conv_id,
+         (SELECT count(*) FROM linked k WHERE k.d = v.d + 1 AND k.parent = v.key) AS n_children
+  FROM linked v LEFT JOIN nodes p ON p.d = v.d - 1 AND p.key = v.parent
+), sums AS (
+  SELECT m.d, m.key, sum((n_children = 0)::BIGINT) AS n_leaves, sum((v.n - 1) * v.words) AS saved
+  FROM counted v JOIN members m ON m.c = v.conv_id AND m.d <= v.d GROUP BY m.d, m.key
+)
+SELECT conv_id, v.d::BIGINT AS depth, parent_conv_id, n AS n_convs, n_children,
+       n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, ends_sha256
+FROM counted v JOIN sums s ON s.d = v.d AND s.key = v.key
+"""
+
 ORACLE_SQL = {
     "op5_chat_format": CHAT_FORMAT,
     "op6_mix_sources": MIX,
     "op10_exact_dedup": EXACT_DEDUP,
     "op11_merkle_manifest": MERKLE,
+    "op12_conversation_trie": TRIE,
 }

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from respengine.llm.chat_format import chat_format, read_back
-from respengine.llm.common import read_table, shared_path
+from respengine.llm.common import read_table, shared_path, stored
+from respengine.llm.conversation_trie import placed_turns, prefix_trie
 from respengine.llm.decontaminate import contaminated
 from respengine.llm.exact_dedup import exact_dedup
 from respengine.llm.jaccard_join import jaccard_components
@@ -19,6 +20,7 @@ from respengine.llm.mixing import mix
 from respengine.llm.secret_scan import listed, scan
 from respengine.llm.substring_dedup import substring_dedup
 from respengine.llm.suffix_dedup import suffix_dedup
+from respengine.operators.joins import hot_threshold, lookup_join
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +113,37 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def _rebuilt(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every conversation with its first turns (up to 3) taken from another one; and the
+    conversations that this leaves without turns."""
+    placed, groups = placed_turns(conversations)
+    head = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
+    heads = placed.where("pos < 3").groupBy(F.col("conv_id").alias("base")).agg(
+        F.sort_array(F.collect_list(F.struct("pos", "id", "words"))).alias("t"))
+    convs = groups.withColumn("h", head).withColumn("base", F.col("conv_id") - F.col("conv_id") % 20)
+    first = F.coalesce(F.slice("t", 1, F.col("h").cast("int")), F.array().cast(heads.schema["t"].dataType))
+    convs = convs.join(heads, "base", "left").withColumn("t", first) \
+        .withColumn("total", F.size("t") + F.greatest(F.col("n") - F.col("h"), F.lit(0)))
+    convs = stored(convs.select("conv_id", "n", "h", "t", "total"), "trie/rebuilt")
+    taken = convs.select("conv_id", F.inline("t"), "total") \
+        .select("conv_id", F.col("pos").alias("at"), "total", "id", "words")
+    fewer = convs.select("conv_id", (F.col("h") - F.size("t")).alias("missing")).where("missing > 0")
+    total, most = convs.agg(F.sum("n"), F.count("*")).first()
+    crowd = convs.where(F.col("n") >= hot_threshold(total or 0)).select("conv_id")
+    own = lookup_join(placed.withColumn("h", head).where("pos >= h"), fewer, ["conv_id"], table_rows=most,
+                      hot_keys=crowd, max_broadcast_rows=100_000)
+    less = F.coalesce("missing", F.lit(0))
+    kept = own.select("conv_id", (F.col("pos") - less).alias("at"), (F.col("n") - less).alias("total"), "id", "words")
+    return taken.unionAll(kept), convs.where("total = 0").select("conv_id")
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct sequence of first turns of the rebuilt conversations."""
+    turns, turnless = _rebuilt(read_table(spark, sf_dir, "conversations"))
+    return prefix_trie(turns, turnless).drop("turn_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_suffix_dedup, op2_language_id, op3_lm_score, op4_secret_scan,
                              op5_chat_format, op6_mix_sources, op7_ngram_jaccard_join, op8_substring_dedup,
-                             op9_decontaminate, op10_exact_dedup, op11_merkle_manifest)}
+                             op9_decontaminate, op10_exact_dedup, op11_merkle_manifest, op12_conversation_trie)}
