@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from respengine.llm import byte_cnn
 from respengine.llm.chat_format import chat_format, read_back
 from respengine.llm.common import read_table, shared_path, stored
 from respengine.llm.conversation_trie import placed_turns, prefix_trie
@@ -143,7 +144,15 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(turns, turnless).drop("turn_id")
 
 
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document; a fifth of the labels is held out."""
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    network = byte_cnn.learn(docs, labels.where(remainder("doc_id", 5) != 0))
+    told = docs.select("doc_id", "text", (remainder("doc_id", 5) == 0).alias("held_out"))
+    return byte_cnn.classify(told, network).drop("text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_suffix_dedup, op2_language_id, op3_lm_score, op4_secret_scan,
                              op5_chat_format, op6_mix_sources, op7_ngram_jaccard_join, op8_substring_dedup,
-                             op9_decontaminate, op10_exact_dedup, op11_merkle_manifest, op12_conversation_trie)}
+                             op9_decontaminate, op10_exact_dedup, op11_merkle_manifest, op12_conversation_trie, op13_quality_classifier)}
