@@ -15,6 +15,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from .lifetime import Lifetime
 from .plans.report import reference_flow
 from .plans.workflow import split_observations
 from .session import ensure_checkpoint_dir
@@ -41,6 +42,11 @@ def main(argv=None) -> None:
         builder = builder.config("spark.ui.enabled", "false")
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)
+    with Lifetime(spark):
+        _run(spark, args)
+
+
+def _run(spark: SparkSession, args: argparse.Namespace) -> None:
     obs = (read_labelled_lines(spark, args.text, sep=args.sep, blank=args.blank) if args.text
            else ctr_events(spark, args.events))
     splits = split_observations(obs, storage=args.split_storage)

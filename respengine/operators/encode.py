@@ -23,8 +23,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..lifetime import own_broadcast, own_frame
 from ..session import materialize
-from .joins import broadcast_byte_limit, broadcast_row_limit, hot_threshold, lookup_join
+from .blocks import Block, answers, packed, with_answers
+from .joins import broadcast_byte_limit, broadcast_row_limit, hot_threshold
 
 # Dictionary entries per range partition when numbering.
 ENTRIES_PER_RANGE = 1_000_000
@@ -135,6 +137,7 @@ def build_dictionary(obs: DataFrame, num_partitions: int | None = None) -> Dicti
                   (F.col("_offset") + F.col("_pos") - F.col("_first")).cast("int").alias("idx"),
                   F.col("n").cast("bigint").alias("n"))
           .persist())
+    own_frame(df)
     return Dictionary(df=df, size=acc, total=total, bytes=int(size_bytes))
 
 
@@ -165,7 +168,8 @@ def _packed(dictionary: Dictionary):
         keys, also, idx = keys[order], also[order], idx[order]
         if np.any(keys[1:] == keys[:-1]):
             return None
-        dictionary.packed = dictionary.df.sparkSession.sparkContext.broadcast((keys, also, idx))
+        dictionary.packed = own_broadcast(
+            dictionary.df.sparkSession.sparkContext.broadcast((keys, also, idx)))
     return dictionary.packed
 
 
@@ -204,9 +208,9 @@ def one_hot_encode(obs: DataFrame, dictionary: Dictionary, unseen: str = "skip",
     A dictionary within ``max_broadcast_rows`` (default
     ``respengine.broadcastMaxRows``) and ``respengine.broadcastMaxBytes`` is
     broadcast once, and pairs are looked up inside the row by two 64-bit hashes:
-    no shuffle, and ids may repeat. For a larger one the pairs are exploded, joined
-    through a shuffle in which hot pairs are salted, and regrouped by row; rows
-    are told apart there by id, label and a hash of the features.
+    no shuffle. For a larger one the rows are packed into blocks, each block asks for
+    its distinct pairs through a shuffle in which hot pairs are salted, and the ids come
+    back to the block (``blocks``). Rows are never regrouped or merged: ids may repeat.
     """
     if unseen not in ("skip", "error"):
         raise ValueError("unseen must be 'skip' or 'error'")
@@ -241,16 +245,29 @@ def _looked_up(obs: DataFrame, packed, unseen: str) -> DataFrame:
 
 
 def _joined(obs: DataFrame, dictionary: Dictionary, unseen: str, limit: int) -> DataFrame:
-    long = obs.select("row_id", "label", F.xxhash64("feats").alias("_row"), F.inline_outer("feats"))
-    joined = lookup_join(long, dictionary.table(), ["feature_id", "category"],
-                         table_rows=dictionary.size, table_bytes=dictionary.bytes,
-                         hot_keys=dictionary.hot_keys(), max_broadcast_rows=limit)
+    keys = ["feature_id", "category"]
+    blocks = packed(obs.select("row_id", "label", *[
+        F.col(f"feats.{k}").alias(k) for k in keys]), keys)
+    found = answers(blocks, dictionary.table(), keys, table_rows=dictionary.size, table_bytes=dictionary.bytes,
+                    hot_keys=dictionary.hot_keys(), max_broadcast_rows=limit)
     idx = F.col("idx")
     if unseen == "error":
-        idx = F.when(F.col("feature_id").isNotNull() & idx.isNull(),
-                     _unseen(F.col("feature_id"), F.col("category"))).otherwise(idx)
-    return (joined.groupBy("row_id", "label", "_row")
-            .agg(F.array_sort(F.collect_list(idx)).alias("indices")))
+        idx = F.when(idx.isNull(), _unseen(F.col("feature_id"), F.col("category"))).otherwise(idx)
+    schema = obs.select("row_id", "label").schema.add("indices", T.ArrayType(T.IntegerType()))
+    return with_answers(blocks, found.select("block", "k", idx.alias("idx")), _with_ids, schema)
+
+
+def _with_ids(block: Block, found: pa.Table) -> pa.Table:
+    """The rows of a block with the ids of their known pairs, in order."""
+    known = found.filter(pc.is_valid(found.column("idx")))
+    ids = np.full(block.keys, -1, np.int64)
+    ids[known.column("k").to_numpy()] = known.column("idx").to_numpy()
+    entry = ids[block.place]
+    row, entry = block.owner[entry >= 0], entry[entry >= 0]
+    order = np.lexsort((entry, row))
+    off = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(block.lengths)))]).astype(np.int32)
+    indices = pa.ListArray.from_arrays(pa.array(off), pa.array(entry[order].astype(np.int32)))
+    return block.rows.append_column("indices", indices)
 
 
 def encoded_long(encoded: DataFrame) -> DataFrame:

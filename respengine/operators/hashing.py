@@ -2,7 +2,8 @@
 
 Each observation's distinct feature strings (category followed by feature id)
 are hashed with md5 into ``num_buckets``; the value at a bucket is the number
-of distinct strings that landed there. Everything is array functions on the
+of distinct strings that landed there: the length of the bucket's run in the
+sorted buckets of the row, so the work grows with a row's width alone. Everything is array functions on the
 row, so the operator is a narrow projection (and works on a stream as is).
 """
 
@@ -26,16 +27,16 @@ def feature_strings(feats) -> F.Column:
 def hash_features(obs: DataFrame, num_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """``(row_id, label, indices, values)`` with md5 buckets and per-bucket counts."""
     digests = F.transform(feature_strings(F.col("feats")), lambda s: F.md5(s))
-    with_buckets = obs.select(
-        "row_id", "label",
-        F.transform(digests, lambda h: md5_bucket_of_hex(h, num_buckets)).alias("_b"))
-    indices = F.array_sort(F.array_distinct(F.col("_b")))
-    return (with_buckets
-            .select("row_id", "label", "_b", indices.alias("indices"))
-            .select("row_id", "label", "indices",
-                    F.transform("indices",
-                                lambda b: F.size(F.filter(F.col("_b"), lambda x: x == b))
-                                .cast("double")).alias("values")))
+    buckets = F.array_sort(F.transform(digests, lambda h: md5_bucket_of_hex(h, num_buckets)))
+    with_buckets = obs.select("row_id", "label", buckets.alias("_b"))
+    places = F.when(F.size("_b") > 0, F.sequence(F.lit(0), F.size("_b") - 1)).otherwise(F.array().cast("array<int>"))
+    # Where a run of equal buckets begins.
+    runs = F.filter(places, lambda i: (i == 0) | (F.get("_b", i) != F.get("_b", i - 1)))
+    return (with_buckets.select("row_id", "label", "_b", runs.alias("_runs"))
+            .select("row_id", "label",
+                    F.transform("_runs", lambda i: F.get("_b", i)).alias("indices"),
+                    F.transform("_runs", lambda i, k: (
+                        F.coalesce(F.get("_runs", k + 1), F.size("_b")) - i).cast("double")).alias("values")))
 
 
 def md5_buckets_long(obs: DataFrame, bucket_counts=(4, 100, DEFAULT_BUCKETS)) -> DataFrame:

@@ -8,16 +8,20 @@ started at 1.0, iteration ``i`` takes ``s = step / sqrt(i)``,
 ``|w_i - w_{i-1}| < tol * max(|w_i|, 1)``.
 
 The training rows are first packed into blocks of raw buffers (as Spark ML
-stacks instances into blocks) and cached. Per iteration one Spark job runs
-over the blocks: the weights of every model still being fitted travel as one
-broadcast, each task turns its blocks into partial gradients with numpy, and
-the partials are summed per index: directly on the driver when
-``partitions x models x (d + 1)`` stays under 4M values, otherwise by a
-grouped sum on the index first, so that only ``d + 1`` values per model reach
-the driver. Several models (a grid) share each pass over the data.
-
-Scoring stays in the JVM: a lookup join of the stored entries against the
-weight table (broadcast when its size allows) and a per-row sum.
+stacks instances into blocks) and cached. Per iteration the weights of every
+model still being fitted travel as one broadcast, and each task turns its
+blocks into one partial gradient with numpy. While ``models x (d + 1)`` stays
+under 4M values, the blocks are held as an RDD prepared once, as MLlib holds its
+points: an iteration is then one small job without a plan of its own, and the
+dense partial gradients are added up by a tree on the executors (or straight on
+the driver, while all of them together are under 4M values). Beyond that the
+gradients are summed per index by a grouped sum, so that only ``d + 1`` values
+per model reach the driver; ``model_ranges`` fits models whose weights should
+not reach it at all. Several models (a grid) share each pass over the data.
+
+Scoring happens inside the row: an Arrow function over the list columns against
+one broadcast weight matrix, without a shuffle. Weights beyond the broadcast
+bound are looked up by blocks of rows (``blocks``).
 """
 
 from __future__ import annotations
@@ -26,19 +30,23 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import clamped_sigmoid
+from ..lifetime import own_broadcast
 from ..session import materialize
-from .joins import broadcast_row_limit, hot_threshold, lookup_join
+from .blocks import Block, answers, packed, with_answers
+from .joins import broadcast_byte_limit, broadcast_row_limit, hot_threshold
 
 # Dense per-task accumulation up to this many doubles, sparse emission beyond.
 _DENSE_ACC_LIMIT = 1 << 22
 # Partial gradients go straight to the driver when partitions * models * (d + 1)
-# stays under this bound; beyond it a grouped sum on the index reduces them first.
+# stays under this bound; beyond it a tree of executors (dense) or a grouped sum on
+# the index (sparse) reduces them first.
 _DIRECT_REDUCE_LIMIT = 1 << 22
 # Partial gradient rows (a StructType: no DDL parsing in every iteration).
 _GRAD_SCHEMA = T.StructType([T.StructField("k", T.IntegerType()),
@@ -143,65 +151,101 @@ def _pack_fn(block_rows: int, num_features: int):
     return run
 
 
-def _gradient_fn(bc, d: int, intercept: bool):
-    """Partition function: packed blocks -> partial gradients of every model.
+def _block_gradient(block: tuple, W: np.ndarray, d: int, intercept: bool):
+    """Of one packed block: residual sums by stored entry. Yields ``k, indices, values, bias``:
+    model k's contributions, index by index as stored, and its bias gradient."""
+    nrows, idx_bytes, label, lengths, idx, val = block
+    y = np.frombuffer(label, np.uint8).astype(np.float64)
+    lengths = np.frombuffer(lengths, np.int32)
+    fi = np.frombuffer(idx, np.uint16 if idx_bytes == 2 else np.int32)
+    fv = None if val is None else np.frombuffer(val, np.float64)
+    rows = np.repeat(np.arange(nrows), lengths)
+    with np.errstate(over="ignore"):
+        for k in range(W.shape[0]):
+            wk = W[k, fi] if fv is None else W[k, fi] * fv
+            margin = np.bincount(rows, weights=wk, minlength=nrows)
+            if intercept:
+                margin = margin + W[k, d]
+            resid = 1.0 / (1.0 + np.exp(-margin)) - y
+            yield k, fi, resid[rows] if fv is None else resid[rows] * fv, resid.sum()
+
+
+_BLOCK_COLUMNS = ("n", "idx_bytes", "label", "lengths", "idx", "val")
+
+
+def _dense_gradient_fn(bc, d: int, intercept: bool):
+    """Partition function: packed blocks -> one dense ``(K, d + 1)`` array (the bias last)."""
+    def run(blocks):
+        W = bc.value
+        acc = np.zeros((W.shape[0], d + 1))
+        for block in blocks:
+            for k, fi, contrib, bias in _block_gradient(block, W, d, intercept):
+                acc[k, :d] += np.bincount(fi, weights=contrib, minlength=d)
+                acc[k, d] += bias
+        yield acc
 
-    Output rows ``(k, idx, g)``: model k's summed gradient at index idx (the
-    bias is idx = d). Dense accumulation per task when ``K * (d + 1)`` is
-    small, otherwise the touched indices of each block are emitted.
-    """
+    return run
 
+
+def _sparse_gradient_fn(bc, d: int, intercept: bool):
+    """Partition function: packed blocks -> rows ``(k, idx, g)`` of the indices each block
+    touches (the bias is idx = d)."""
     def run(batches):
-        W = bc.value  # (K, d + 1); column d is the bias
-        K = W.shape[0]
-        dense = K * (d + 1) <= _DENSE_ACC_LIMIT
-        acc = np.zeros((K, d + 1)) if dense else None
+        W = bc.value
         for rb in batches:
-            cn, cw, cy, cl, ci, cv = (rb.column(c) for c in
-                                      ("n", "idx_bytes", "label", "lengths", "idx", "val"))
-            for j in range(rb.num_rows):
-                # zero-copy views of the block's buffers (labels widened to float)
-                nrows = cn[j].as_py()
-                y = np.frombuffer(cy[j].as_buffer(), np.uint8).astype(np.float64)
-                lengths = np.frombuffer(cl[j].as_buffer(), np.int32)
-                fi = np.frombuffer(ci[j].as_buffer(),
-                                   np.uint16 if cw[j].as_py() == 2 else np.int32)
-                fv = None if not cv[j].is_valid else np.frombuffer(cv[j].as_buffer(), np.float64)
-                rows = np.repeat(np.arange(nrows), lengths)
-                if not dense:
+            for block in zip(*[rb.column(c).to_pylist() for c in _BLOCK_COLUMNS]):
+                for k, fi, contrib, bias in _block_gradient(block, W, d, intercept):
                     uniq, inv = np.unique(fi, return_inverse=True)
-                    part = np.zeros((K, uniq.shape[0] + 1))
-                with np.errstate(over="ignore"):
-                    for k in range(K):
-                        wk = W[k, fi] if fv is None else W[k, fi] * fv
-                        margin = np.bincount(rows, weights=wk, minlength=nrows)
-                        if intercept:
-                            margin = margin + W[k, d]
-                        resid = 1.0 / (1.0 + np.exp(-margin)) - y
-                        contrib = resid[rows] if fv is None else resid[rows] * fv
-                        if dense:
-                            acc[k, :d] += np.bincount(fi, weights=contrib, minlength=d)
-                            acc[k, d] += resid.sum()
-                        else:
-                            part[k, :-1] = np.bincount(inv, weights=contrib,
-                                                       minlength=uniq.shape[0])
-                            part[k, -1] = resid.sum()
-                if not dense:
                     ids = np.concatenate([uniq, [d]]).astype(np.int32)
-                    for k in range(K):
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(ids.shape[0], k, np.int32)), pa.array(ids),
-                             pa.array(part[k])], names=["k", "idx", "g"])
-        if dense:
-            for k in range(K):
-                nz = np.flatnonzero(acc[k])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(nz.shape[0], k, np.int32)), pa.array(nz.astype(np.int32)),
-                     pa.array(acc[k, nz])], names=["k", "idx", "g"])
+                    g = np.append(np.bincount(inv, weights=contrib, minlength=uniq.shape[0]), bias)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(ids.shape[0], k, np.int32)), pa.array(ids), pa.array(g)],
+                        names=["k", "idx", "g"])
 
     return run
 
 
+class _Blocks:
+    """Packed training rows, cached, and the gradient of a set of models over them."""
+
+    def __init__(self, data: DataFrame, d: int, models: int, intercept: bool):
+        self.data, self.d, self.intercept = data, d, intercept
+        self.parts = data.rdd.getNumPartitions()
+        self.prepared = None
+        if models * (d + 1) <= _DENSE_ACC_LIMIT:
+            self.prepared = data.select(*_BLOCK_COLUMNS).rdd.map(tuple).persist(StorageLevel.MEMORY_AND_DISK)
+            self.prepared.count()
+            data.unpersist()
+
+    def gradient(self, W: np.ndarray) -> np.ndarray:
+        sc = self.data.sparkSession.sparkContext
+        bc = sc.broadcast(W)
+        try:
+            if self.prepared is None:
+                return self._sparse(bc, W)
+            partial = self.prepared.mapPartitions(_dense_gradient_fn(bc, self.d, self.intercept))
+            if self.parts * W.size <= _DIRECT_REDUCE_LIMIT:
+                return sum(partial.collect(), np.zeros_like(W))
+            return partial.treeReduce(np.add, depth=2)
+        finally:
+            bc.destroy()
+
+    def _sparse(self, bc, W: np.ndarray) -> np.ndarray:
+        partial = self.data.mapInArrow(_sparse_gradient_fn(bc, self.d, self.intercept), _GRAD_SCHEMA)
+        if self.parts * W.size > _DIRECT_REDUCE_LIMIT:
+            partial = partial.groupBy("k", "idx").agg(F.sum("g").alias("g"))
+        grads = partial.toArrow()
+        G = np.zeros_like(W)
+        np.add.at(G, (grads.column("k").to_numpy(), grads.column("idx").to_numpy()),
+                  grads.column("g").to_numpy())
+        return G
+
+    def release(self) -> None:
+        self.data.unpersist()
+        if self.prepared is not None:
+            self.prepared.unpersist()
+
+
 def fit_logistic_many(encoded: DataFrame, num_features: int, configs, iterations: int = 50,
                       intercept: bool = True, reg_type: str | None = "l2",
                       tol: float = 1e-3, block_rows: int = DEFAULT_BLOCK_ROWS,
@@ -212,7 +256,7 @@ def fit_logistic_many(encoded: DataFrame, num_features: int, configs, iterations
     The weights of all models in a pass are broadcast every iteration; when
     ``models x (d + 1) x 8`` bytes would exceed ``max_broadcast_bytes``, the
     models are fitted in consecutive groups that stay under it. A single model
-    above the bound is refused (hash its features into fewer buckets).
+    above the bound is refused (``model_ranges.fit_logistic_ranged`` fits it).
     """
     if reg_type not in ("l2", None):
         raise ValueError("reg_type must be 'l2' or None")
@@ -220,8 +264,8 @@ def fit_logistic_many(encoded: DataFrame, num_features: int, configs, iterations
     if 8 * (int(num_features) + 1) > max_broadcast_bytes:
         raise ValueError(
             f"{num_features} weights need {8 * (int(num_features) + 1)} bytes per broadcast, "
-            f"above max_broadcast_bytes={max_broadcast_bytes}: hash the features into fewer "
-            "buckets, or raise the bound if executors can hold the weights")
+            f"above max_broadcast_bytes={max_broadcast_bytes}: fit_logistic_ranged keeps the "
+            "weights on the executors; or hash the features into fewer buckets, or raise the bound")
     per_pass = max(1, int(max_broadcast_bytes // (8 * (int(num_features) + 1))))
     if len(configs) > per_pass:
         out: list[LogisticModel] = []
@@ -242,6 +286,7 @@ def fit_logistic_many(encoded: DataFrame, num_features: int, configs, iterations
     # partition to Python instead of converting every row to Arrow again.
     data = rows.mapInArrow(_pack_fn(block_rows, d), _BLOCK_SCHEMA).persist(
         StorageLevel.MEMORY_AND_DISK)
+    blocks = None
     try:
         stats = data.agg(F.sum("n").alias("rows"), F.sum("m").alias("entries"),
                          F.count(F.lit(1)).alias("blocks")).first()
@@ -261,7 +306,7 @@ def fit_logistic_many(encoded: DataFrame, num_features: int, configs, iterations
             moved.count()
             data.unpersist()
             data = moved
-        num_parts = data.rdd.getNumPartitions()
+        blocks = _Blocks(data, d, K, intercept)
         W = np.zeros((K, d + 1))
         if intercept:
             W[:, d] = 1.0
@@ -275,18 +320,7 @@ def fit_logistic_many(encoded: DataFrame, num_features: int, configs, iterations
             if not active.any():
                 break
             ks = np.flatnonzero(active)
-            bc = sc.broadcast(W[ks])
-            try:
-                partial = data.mapInArrow(_gradient_fn(bc, d, intercept), _GRAD_SCHEMA)
-                if num_parts * ks.shape[0] * (d + 1) > _DIRECT_REDUCE_LIMIT:
-                    partial = partial.groupBy("k", "idx").agg(F.sum("g").alias("g"))
-                grads = partial.toArrow()
-            finally:
-                bc.destroy()
-            G = np.zeros((ks.shape[0], d + 1))
-            np.add.at(G, (grads.column("k").to_numpy(), grads.column("idx").to_numpy()),
-                      grads.column("g").to_numpy())
-            G /= n
+            G = blocks.gradient(W[ks]) / n
             if not intercept:
                 G[:, d] = 0.0
             s = (steps[ks] / np.sqrt(i))[:, None]
@@ -303,6 +337,8 @@ def fit_logistic_many(encoded: DataFrame, num_features: int, configs, iterations
                     done_at[k] = i
     finally:
         data.unpersist()
+        if blocks is not None:
+            blocks.release()
     return [LogisticModel(weights=W[k, :d].copy(), intercept=float(W[k, d]) if intercept else 0.0,
                           step_size=configs[k][0], reg_param=configs[k][1],
                           iterations=int(done_at[k]))
@@ -319,50 +355,105 @@ def fit_logistic_gd(encoded: DataFrame, num_features: int, iterations: int = 50,
 
 
 def _weights_table(spark: SparkSession, models: list[LogisticModel]) -> DataFrame:
-    """``(idx, w_0 .. w_{K-1})`` over the union of indices with a non-zero weight."""
+    """``(indices, w_0 .. w_{K-1})`` over the union of indices with a non-zero weight."""
     stacked = np.vstack([m.weights for m in models])
     keep = np.flatnonzero(np.any(stacked != 0.0, axis=0)).astype(np.int32)
-    cols = {"idx": pa.array(keep, pa.int32())}
+    cols = {"indices": pa.array(keep, pa.int32())}
     for k in range(len(models)):
         cols[f"w_{k}"] = pa.array(stacked[k, keep], pa.float64())
     return _table_df(spark, pa.table(cols))
 
 
+def _margin_fn(bc):
+    """Arrow function: margins (without intercept) of every model for rows of list columns."""
+    def margins(indices: pa.Array, values: pa.Array) -> pa.Array:
+        W = bc.value  # (K, d)
+        K, d = W.shape
+        rows, idx, val = _entries(indices, values)
+        known = (idx >= 0) & (idx < d)
+        rows, idx, val = rows[known], idx[known], val[known]
+        out = np.zeros((len(indices), K))
+        for k in range(K):
+            out[:, k] = np.bincount(rows, weights=W[k, idx] * val, minlength=len(indices))
+        off = pa.array(np.arange(len(indices) + 1, dtype=np.int32) * K)
+        return pa.ListArray.from_arrays(off, pa.array(out.ravel()))
+
+    return F.arrow_udf(margins, "array<double>")
+
+
+def _entries(indices: pa.Array, values: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, index and value of every stored entry (a null index is -1, a null value 0)."""
+    lengths = pc.fill_null(pc.list_value_length(indices), 0).to_numpy(zero_copy_only=False)
+    idx = pc.fill_null(indices.flatten(), -1).to_numpy(zero_copy_only=False)
+    val = pc.fill_null(values.flatten(), 0.0).to_numpy(zero_copy_only=False)
+    if len(idx) != len(val):
+        raise ValueError("indices and values differ in length")
+    return np.repeat(np.arange(len(indices)), lengths), idx, val
+
+
+def _with_margins(block: Block, found: pa.Table, models: int) -> pa.Table:
+    """The rows of a block with their margins, from the weights of its distinct indices."""
+    W = np.zeros((models, block.keys))
+    at = found.column("k").to_numpy()
+    for k in range(models):
+        W[k, at] = pc.fill_null(found.column(f"w_{k}"), 0.0).to_numpy()
+    _, _, val = _entries(*[block.rows.column("values").combine_chunks()] * 2)
+    out = np.zeros((len(block.lengths), models))
+    for k in range(models):
+        out[:, k] = np.bincount(block.owner, weights=W[k, block.place] * val, minlength=len(block.lengths))
+    off = pa.array(np.arange(len(block.lengths) + 1, dtype=np.int32) * models)
+    return block.rows.drop_columns("values").append_column("m", pa.ListArray.from_arrays(off, pa.array(out.ravel())))
+
+
+def looked_up_margins(encoded: DataFrame, table: DataFrame, models: int, *, table_rows: int,
+                      hot_idx: DataFrame | None = None, max_broadcast_rows: int | None = None) -> DataFrame:
+    """``(row_id, label, m)`` with the margins of rows against a weight table
+    (``indices, w_0 ..``) that is not broadcast: blocks of rows ask for their indices."""
+    rows = encoded.select("row_id", "label", F.col("indices").cast("array<int>").alias("indices"),
+                          F.col("values").cast("array<double>").alias("values"))
+    blocks = packed(rows, ["indices"])
+    if hot_idx is None:
+        # Asks per index: at most one a block.
+        counts = blocks.select(F.explode("asked").alias("a")).groupBy("a.indices").agg(F.count(F.lit(1)).alias("n"))
+        total = counts.agg(F.sum("n")).first()[0] or 0
+        hot_idx = counts.where(F.col("n") >= F.lit(max(2, hot_threshold(total)))).select("indices")
+    else:
+        hot_idx = hot_idx.select(F.col(hot_idx.columns[0]).alias("indices"))
+    found = answers(blocks, table, ["indices"], table_rows=table_rows, table_bytes=table_rows * (4 + 8 * models),
+                    hot_keys=hot_idx, max_broadcast_rows=max_broadcast_rows)
+    schema = rows.select("row_id", "label").schema.add("m", T.ArrayType(T.DoubleType()))
+    return with_answers(blocks, found.drop("indices"), lambda b, t: _with_margins(b, t, models), schema)
+
+
 def predict_many(models: list[LogisticModel], encoded: DataFrame,
                  hot_idx: DataFrame | None = None,
                  max_broadcast_rows: int | None = None) -> DataFrame:
     """``(row_id, label, score_0 .. score_{K-1})``: clamped sigmoid of ``x.w + b`` per model.
 
-    One lookup join and one per-row sum serve all models. Rows without stored
-    entries score their intercept.
+    All models score in one pass inside the row, against one broadcast matrix; equal rows
+    stay separate rows. Above ``respengine.broadcastMaxRows`` weights that are not 0 (or
+    ``max_broadcast_rows``), or ``respengine.broadcastMaxBytes``, blocks of rows look their
+    weights up instead. Rows without stored entries score their intercept.
     """
     spark = encoded.sparkSession
     K = len(models)
-    table = _weights_table(spark, models)
-    table_rows = int(np.count_nonzero(np.any(np.vstack([m.weights for m in models]) != 0.0, axis=0)))
-    # Rows are told apart by id, label and a hash of their entries.
-    long = encoded.select(
-        "row_id", "label", F.xxhash64("indices", "values").alias("_row"),
-        F.inline_outer(F.zip_with("indices", "values",
-                                  lambda i, v: F.struct(i.alias("idx"), v.alias("value")))))
+    stacked = np.vstack([m.weights for m in models])
+    table_rows = int(np.count_nonzero(np.any(stacked != 0.0, axis=0)))
     limit = broadcast_row_limit(spark) if max_broadcast_rows is None else max_broadcast_rows
-    if hot_idx is None and table_rows > limit:
-        # Entry counts per index (at most one row per weight), cached for the
-        # total and the hot list; the hot list is bounded by ``hot_threshold``.
-        counts = (long.where(F.col("idx").isNotNull()).groupBy("idx")
-                  .agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK))
-        total = counts.agg(F.sum("n")).first()[0] or 0
-        hot_idx = counts.where(F.col("n") >= F.lit(hot_threshold(total))).select("idx")
-    joined = lookup_join(long, table, ["idx"], table_rows=table_rows,
-                         table_bytes=table_rows * (4 + 8 * K), hot_keys=hot_idx,
-                         max_broadcast_rows=limit)
-    sums = [F.coalesce(F.sum(F.col("value") * F.col(f"w_{k}")), F.lit(0.0)).alias(f"m_{k}")
-            for k in range(K)]
-    margins = joined.groupBy("row_id", "label", "_row").agg(*sums)
-    return margins.select(
-        "row_id", "label",
-        *[clamped_sigmoid(F.col(f"m_{k}") + F.lit(float(models[k].intercept))).alias(f"score_{k}")
-          for k in range(K)])
+    if table_rows <= limit and stacked.nbytes <= broadcast_byte_limit(spark):
+        bc = own_broadcast(spark.sparkContext.broadcast(stacked))
+        margin = _margin_fn(bc)(F.col("indices").cast("array<int>"), F.col("values").cast("array<double>"))
+        margins = encoded.select("row_id", "label", margin.alias("m"))
+    else:
+        margins = looked_up_margins(encoded, _weights_table(spark, models), K, table_rows=table_rows,
+                                    hot_idx=hot_idx, max_broadcast_rows=limit)
+    return scored(margins, [m.intercept for m in models])
+
+
+def scored(margins: DataFrame, intercepts: list[float]) -> DataFrame:
+    """``(row_id, label, score_0 ..)`` of ``(row_id, label, m)``."""
+    return margins.select("row_id", "label", *[
+        clamped_sigmoid(F.get("m", F.lit(k)) + F.lit(float(b))).alias(f"score_{k}") for k, b in enumerate(intercepts)])
 
 
 def predict(model: LogisticModel, encoded: DataFrame,

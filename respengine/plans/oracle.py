@@ -449,6 +449,32 @@ fr AS (
          (SELECT avg({log_loss_sql('score', 'label')}) FROM tp
           WHERE tp.g = (SELECT grid_pos FROM best))::DOUBLE)
 SELECT split, features, model, metric, {r6('v')} AS value, printf('%.3f', v) AS text FROM fr""")
+    cell = ("'step=' || step_size::VARCHAR || ', reg=' || CASE reg_param "
+            + " ".join(f"WHEN {float(r)!r}::DOUBLE THEN '{float(r)!r}'" for r in GRID_REGS) + " END")
+    q["hashed_report"] = (
+        f"{grid_with},\n{grid_predict('tp', 'rows_test', 'hash_test')}" + f""",
+hr AS (
+  SELECT 'validation' AS split, {cell} AS model, ll::DOUBLE AS v,
+         printf('stepSize = %.1f, regParam = %.0e: logloss = %.3f', step_size, reg_param, ll) AS line FROM cells
+  UNION ALL
+  SELECT 'validation', 'logreg', ll::DOUBLE, NULL FROM cells WHERE grid_pos = (SELECT grid_pos FROM best)
+  UNION ALL
+  SELECT 'validation', 'baseline', (SELECT avg({log_loss_sql(rate, 'label')}) FROM rows_validation)::DOUBLE, NULL
+  UNION ALL
+  SELECT 'test', 'baseline', (SELECT avg({log_loss_sql(rate, 'label')}) FROM rows_test)::DOUBLE, NULL
+  UNION ALL
+  SELECT 'test', 'logreg', (SELECT avg({log_loss_sql('score', 'label')}) FROM tp
+                            WHERE tp.g = (SELECT grid_pos FROM best))::DOUBLE, NULL)
+SELECT split, 'hashed' AS features, model, 'log_loss' AS metric, {r6('v')} AS value,
+       coalesce(line, printf('%.3f', v)) AS text FROM hr""")
+    q["sparse_vectors"] = f"""WITH {ohe_ctes()}
+SELECT row_id, label, (SELECT count(*)::INTEGER FROM dict) AS size, idx, value FROM ohe_validation"""
+    q["ohe_fit_ranged"] = q["ohe_fit"]
+    q["predict_scores_ranged"] = q["predict_scores"]
+    q["text_offsets"] = f"""WITH {CE}
+SELECT count(*)::BIGINT AS n_lines, count(*)::BIGINT AS n_offsets, sum(strlen(line) + 1)::BIGINT AS n_bytes
+FROM (SELECT concat_ws({TAB}, label::INTEGER::VARCHAR, f0, f1, f2, f3, f4) AS line FROM ce)"""
+    q["roc_ranges"] = """SELECT count(DISTINCT l_extendedprice)::BIGINT AS n_points, TRUE AS even FROM lineitem"""
     return {k: v for k, v in q.items() if v is not None}
 
 

@@ -14,22 +14,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.vectors import from_vector, with_vector
 from ..functions.columns import dense_dot, log_loss, sparse_dot, sparse_from_dense
 from ..operators.encode import (build_dictionary, categories_per_feature, distinct_features,
                                 encoded_long, lookup, one_hot_encode, to_long,
                                 with_feature_counts)
-from ..operators.evaluate import (base_rate, base_rate_value, baseline_by_split,
-                                  evaluate_many, roc_curve)
+from ..operators.evaluate import (base_rate, base_rate_value, baseline_by_split, evaluate_many,
+                                  metric_report, range_bounds, roc_curve)
 from ..operators.hashing import DEFAULT_BUCKETS, hash_features, md5_buckets_long
 from ..operators.joins import hot_threshold, lookup_join
 from ..operators.model import predict, smallest_weights
+from ..operators.model_ranges import fit_logistic_ranged, predict_ranged
 from ..operators.profile import count_histogram, feature_counts, sparsity
 from ..operators.search import grid_search, pivot_grid
+from ..lifetime import own_frame, own_table
 from ..operators.split import hash_split, random_split, split_sizes
 from ..sources.tables import (ctr_event_features, ctr_events, doc_quality, lineitem_returns,
                               read_table)
 from ..session import ensure_checkpoint_dir
-from ..sources.text import lines_from_observations, parse_lines, read_labelled_lines
+from ..sources.text import (lines_from_observations, parse_lines, read_labelled_lines,
+                            with_offsets)
+from .report import hashed_entries
 from .workflow import (GRID_ITERATIONS, GRID_REGS, GRID_STEPS, OHE_FIT, SPLIT_SEED, SPLIT_WEIGHTS,
                         final_report, run_ohe, ohe_report, split_observations)
 
@@ -74,7 +79,7 @@ def q_text_file_long(spark: SparkSession, sf: str) -> DataFrame:
     The text reader numbers lines itself, so the result is the multiset of
     ``(label, feature_id, category)``.
     """
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/text/{uuid.uuid4().hex}"
+    path = own_table(f"{ensure_checkpoint_dir(spark).rstrip('/')}/text/{uuid.uuid4().hex}")
     lines_from_observations(ctr_events(spark, sf)).select("line").write.text(path)
     return to_long(read_labelled_lines(spark, path)).select("label", "feature_id", "category")
 
@@ -106,9 +111,21 @@ def q_split_sizes(spark, sf):
 
 def q_text_split_sizes(spark, sf):
     """Hash split of the events as text lines, whose ids come from their content."""
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/text/{uuid.uuid4().hex}"
+    path = own_table(f"{ensure_checkpoint_dir(spark).rstrip('/')}/text/{uuid.uuid4().hex}")
     lines_from_observations(ctr_events(spark, sf)).select("line").write.text(path)
-    return split_sizes(hash_split(read_labelled_lines(spark, path), "row_id", SPLIT_WEIGHTS, SPLIT_SEED))
+    lines = read_labelled_lines(spark, path, ids="content")
+    return split_sizes(hash_split(lines, "row_id", SPLIT_WEIGHTS, SPLIT_SEED))
+
+
+def q_text_offsets(spark, sf):
+    """Lines of a text file by byte offset: as many offsets as lines, and no byte left out."""
+    path = own_table(f"{ensure_checkpoint_dir(spark).rstrip('/')}/text/{uuid.uuid4().hex}")
+    lines_from_observations(ctr_events(spark, sf)).select("line").write.text(path)
+    lines = with_offsets(spark, path)
+    per_file = lines.groupBy("file").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("offset").alias("places"),
+        F.max(F.col("offset") + F.octet_length("line") + 1).alias("bytes"))
+    return per_file.agg(F.sum("n").alias("n_lines"), F.sum("places").alias("n_offsets"), F.sum("bytes").alias("n_bytes"))
 
 
 def q_lineitem_split_sizes(spark, sf):
@@ -217,6 +234,16 @@ def q_doc_quality_encode_test(spark, sf):
     return with_feature_counts(enc).select("row_id", "label", F.col("nnz").cast("int"))
 
 
+def q_sparse_vectors(spark, sf):
+    """validation rows as MLlib sparse vectors and back, entry by entry."""
+    s = _splits(spark, sf)
+    d = build_dictionary(s.train)
+    vectors = with_vector(one_hot_encode(s.validation, d, unseen="skip"), d.size)
+    fields = vectors.select("row_id", "label", from_vector("features").alias("v"))
+    return fields.select("row_id", "label", F.col("v.size").alias("size"), F.inline(
+        F.arrays_zip(F.col("v.indices").alias("idx"), F.col("v.values").alias("value"))))
+
+
 # --- profiles ---------------------------------------------------------------------
 
 def _ohe_train(spark, sf):
@@ -294,9 +321,9 @@ def q_log_loss_scalar(spark, sf):
     ev = read_table(spark, sf, "events").select(
         F.col("event_id").alias("row_id"), "user_id", F.hour("ts").alias("hour"),
         F.when(F.col("event_type") == "click", 1).otherwise(0).alias("label"))
-    groups = (ev.groupBy("user_id", "hour")
-              .agg(F.avg(F.col("label").cast("double")).alias("p"), F.count(F.lit(1)).alias("n"))
-              .persist())
+    groups = own_frame(ev.groupBy("user_id", "hour")
+                       .agg(F.avg(F.col("label").cast("double")).alias("p"), F.count(F.lit(1)).alias("n"))
+                       .persist())
     stats = groups.agg(F.count(F.lit(1)).alias("g"), F.sum("n").alias("t")).first()
     hot = groups.where(F.col("n") >= F.lit(hot_threshold(stats["t"] or 0))).select(
         "user_id", "hour", "p")
@@ -324,6 +351,27 @@ def q_ohe_fit(spark, sf):
     return _fitted_weights(spark, _ohe(spark, sf))
 
 
+def _ranged(spark, sf):
+    s = _splits(spark, sf)
+    d = build_dictionary(s.train)
+    train = one_hot_encode(s.train, d, unseen="error")
+    # Small ranges and blocks, so that every iteration moves weights between them.
+    return s, d, fit_logistic_ranged(train, d.size, **OHE_FIT, width=128, block_rows=4096)
+
+
+def q_ohe_fit_ranged(spark, sf):
+    """M1 with weights cut by index range, which no machine holds whole."""
+    _, _, model = _ranged(spark, sf)
+    bias = spark.createDataFrame([(-1, model.intercept)], "idx int, weight double")
+    return rounded(model.weights_df().unionAll(bias).withColumn("iterations", F.lit(model.iterations).cast("int")))
+
+
+def q_predict_scores_ranged(spark, sf):
+    """Scores from weights cut by index range, looked up by blocks of rows."""
+    s, d, model = _ranged(spark, sf)
+    return rounded(predict_ranged(model, one_hot_encode(s.validation, d, unseen="skip")))
+
+
 def q_smallest_weights(spark, sf):
     """O3: the five smallest weights of the fitted model."""
     res = _ohe(spark, sf)
@@ -366,6 +414,16 @@ def q_roc_curve_ranged(spark, sf):
     return rounded(roc_curve(predict(res.model, res.validation), round_digits=9, num_ranges=8), 9)
 
 
+def q_roc_ranges(spark, sf):
+    """Ranges of the amounts of line items by exact counts: whole, and none above twice the mean."""
+    amounts = read_table(spark, sf, "lineitem").select(F.col("l_extendedprice").cast("double").alias("score")) \
+        .where("score is not null").distinct()
+    bounds = range_bounds(amounts, "score", 50)
+    at = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col("score")))
+    sizes = amounts.groupBy(at.alias("at")).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(F.sum("n").alias("n_points"), (F.max("n") <= 2 * F.avg("n")).alias("even"))
+
+
 def q_roc_curve_binned(spark, sf):
     """W2 with num_bins=20: the curve at score bins of width 1/20."""
     res = _ohe(spark, sf)
@@ -404,6 +462,14 @@ def q_final_report(spark, sf):
     return rounded(final_report(best, rate, hash_features(s.test, DEFAULT_BUCKETS)))
 
 
+def q_hashed_report(spark, sf):
+    """The grid's lines, the best cell beside the baseline on validation and test."""
+    s, grid, best = _grid(spark, sf)
+    rate = base_rate_value(s.train)
+    frames = [hash_features(f, DEFAULT_BUCKETS) for f in (s.validation, s.test)]
+    return rounded(metric_report(spark, hashed_entries(grid, best, rate, *frames)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_long": q_parse_long,
     "text_file_long": q_text_file_long,
@@ -446,6 +512,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metric_report": q_metric_report,
     "final_report": q_final_report,
     "text_split_sizes": q_text_split_sizes,
+    "text_offsets": q_text_offsets,
+    "sparse_vectors": q_sparse_vectors,
+    "ohe_fit_ranged": q_ohe_fit_ranged,
+    "predict_scores_ranged": q_predict_scores_ranged,
+    "roc_ranges": q_roc_ranges,
+    "hashed_report": q_hashed_report,
     "lineitem_split_sizes": q_lineitem_split_sizes,
     "random_split_native": q_random_split_native,
     "random_split_check": q_random_split_check,

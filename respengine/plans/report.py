@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.encode import categories_per_feature, lookup
-from ..operators.evaluate import evaluate_many, metric_report, roc_curve
+from ..operators.evaluate import baseline_log_loss, evaluate_many, metric_report, roc_curve
 from ..operators.hashing import DEFAULT_BUCKETS
-from ..operators.model import model_summary, predict, smallest_weights
+from ..operators.model import LogisticModel, model_summary, predict, smallest_weights
 from ..operators.profile import count_histogram, sparsity
 from ..operators.search import pivot_grid
 from ..operators.split import split_sizes
@@ -18,6 +18,22 @@ from .workflow import (GRID_ITERATIONS, GRID_REGS, GRID_STEPS, OHE_FIT, Splits,
                        run_ohe)
 
 
+def hashed_entries(grid: DataFrame, best: LogisticModel | None, rate: float, validation: DataFrame,
+                   test: DataFrame) -> list[tuple]:
+    """Report entries of the hashed grid: a line for every cell, in grid order, then the
+    training fraction and the best cell on validation and test (one row a cell is collected)."""
+    cells = grid.orderBy("grid_pos").collect()
+    out = [("validation", "hashed", f"step={r['step_size']!r}, reg={r['reg_param']!r}", "log_loss", float(r["log_loss"]))
+           for r in cells]
+    if best is not None:
+        base = baseline_log_loss(rate, validation).first()["log_loss"]
+        out.append(("validation", "hashed", "baseline", "log_loss", float(base)))
+        out += [("validation", "hashed", "logreg", "log_loss", float(r["log_loss"])) for r in cells if r["is_best"]]
+        model_ll, base = evaluate_many([best], test, baseline_rate=rate)
+        out += [("test", "hashed", "baseline", "log_loss", base), ("test", "hashed", "logreg", "log_loss", model_ll)]
+    return out
+
+
 def reference_flow(splits: Splits, ohe_iterations: int = OHE_FIT["iterations"],
                    num_buckets: int = DEFAULT_BUCKETS, grid_steps=GRID_STEPS,
                    grid_regs=GRID_REGS, grid_iterations: int = GRID_ITERATIONS
@@ -54,12 +70,6 @@ def reference_flow(splits: Splits, ohe_iterations: int = OHE_FIT["iterations"],
         sp = sparsity(enc, d).first()
         entries.append(("train", feats, "none", "avg_nnz", float(sp["avg_nnz"])))
         entries.append(("train", feats, "none", "density", float(sp["density"])))
-    best = hashed.best
-    if best is not None:
-        best_val = hashed.grid.where(F.col("is_best")).first()["log_loss"]
-        entries.append(("validation", "hashed", "logreg", "log_loss", float(best_val)))
-        model_ll, base = evaluate_many([best], hashed.test, baseline_rate=ohe.base_rate)
-        entries.append(("test", "hashed", "baseline", "log_loss", base))
-        entries.append(("test", "hashed", "logreg", "log_loss", model_ll))
+    entries += hashed_entries(hashed.grid, hashed.best, ohe.base_rate, hashed.validation, hashed.test)
     out["metric_report"] = metric_report(spark, entries)
     return out

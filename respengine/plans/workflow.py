@@ -18,6 +18,7 @@ from ..operators.model import LogisticModel, fit_logistic_gd
 from ..operators.profile import sparsity
 from ..operators.search import grid_search
 from ..operators.split import hash_split, split_frames
+from ..lifetime import own_frame
 from ..session import materialize
 
 # The reference's settings.
@@ -58,7 +59,7 @@ def split_observations(obs: DataFrame, weights=SPLIT_WEIGHTS, seed: int = SPLIT_
         raise ValueError("storage must be 'cache', 'table' or None")
     tagged = hash_split(obs, "row_id", weights, seed, names, col="split")
     if storage == "cache":
-        tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
+        tagged = own_frame(tagged.persist(StorageLevel.MEMORY_AND_DISK))
     else:
         tagged = materialize(tagged, partition_by="split")
     parts = [tagged.where(F.col("split") == F.lit(n)).drop("split") for n in names]
@@ -89,10 +90,10 @@ def run_ohe(splits: Splits, iterations: int = OHE_FIT["iterations"],
                  reg_param: float = OHE_FIT["reg_param"]) -> OheResult:
     """Dictionary on train, strict encoding of train, lenient of validation, one fit."""
     dictionary = build_dictionary(splits.train)
-    train = one_hot_encode(splits.train, dictionary, unseen="error").persist(
-        StorageLevel.MEMORY_AND_DISK)
-    validation = one_hot_encode(splits.validation, dictionary, unseen="skip").persist(
-        StorageLevel.MEMORY_AND_DISK)
+    train = own_frame(one_hot_encode(splits.train, dictionary, unseen="error").persist(
+        StorageLevel.MEMORY_AND_DISK))
+    validation = own_frame(one_hot_encode(splits.validation, dictionary, unseen="skip").persist(
+        StorageLevel.MEMORY_AND_DISK))
     model = fit_logistic_gd(train, dictionary.size, iterations, step_size, reg_param)
     rate = base_rate_value(train)
     return OheResult(dictionary, train, validation, model, rate)
@@ -125,7 +126,7 @@ class HashResult:
 def run_hashed(splits: Splits, num_buckets: int = DEFAULT_BUCKETS, steps=GRID_STEPS,
                     regs=GRID_REGS, iterations: int = GRID_ITERATIONS) -> HashResult:
     """Hash all three splits, then grid-search on train against validation."""
-    frames = [hash_features(f, num_buckets).persist(StorageLevel.MEMORY_AND_DISK)
+    frames = [own_frame(hash_features(f, num_buckets).persist(StorageLevel.MEMORY_AND_DISK))
               for f in (splits.train, splits.validation, splits.test)]
     grid, best = grid_search(frames[0], frames[1], num_buckets, steps, regs, iterations)
     return HashResult(frames[0], frames[1], frames[2], grid, best, num_buckets)

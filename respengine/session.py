@@ -14,6 +14,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .lifetime import own_table
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "respengine") -> SparkSession:
@@ -70,7 +72,7 @@ def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     where lineage would otherwise be recomputed many times.
     """
     folder = ensure_checkpoint_dir(df.sparkSession)
-    path = f"{folder.rstrip('/')}/tables/{uuid.uuid4().hex}"
+    path = own_table(f"{folder.rstrip('/')}/tables/{uuid.uuid4().hex}")
     writer = df.write.mode("error")
     if partition_by:
         writer = writer.partitionBy(partition_by)

@@ -7,11 +7,17 @@ Observation frames everywhere in the library have the columns
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import parse_features, parse_label, split_fields, strip_line
+from ..operators.joins import lookup_join
+from ..session import materialize
 from .rows import with_content_ids
 
 FEATS_TYPE = T.ArrayType(T.StructType([
@@ -54,8 +60,6 @@ def _scan(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _numbered(lines: DataFrame, ids: str, num_partitions: int | None) -> DataFrame:
-    if ids not in ("content", "scan"):
-        raise ValueError("ids must be 'content' or 'scan'")
     if ids == "content":
         lines = with_content_ids(lines, F.col("line"))
     else:
@@ -63,24 +67,85 @@ def _numbered(lines: DataFrame, ids: str, num_partitions: int | None) -> DataFra
     return lines.repartition(num_partitions, "row_id") if num_partitions else lines
 
 
+def _running_offsets(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    """Bytes before each line in its split, for (file, split start, line bytes) as scanned."""
+    last, held = None, 0
+    for file, start, size in batches:
+        n = len(size)
+        if not n:
+            yield pa.array([], pa.int64())
+            continue
+        size = size.to_numpy(zero_copy_only=False).astype(np.int64) + 1  # and its newline
+        where = np.stack([file.to_numpy(zero_copy_only=False), start.to_numpy(zero_copy_only=False)], axis=1)
+        new = np.ones(n, bool)
+        new[1:] = (where[1:] != where[:-1]).any(axis=1)
+        new[0] = tuple(where[0]) != last
+        before = np.cumsum(size) - size
+        first = np.flatnonzero(new)
+        base = np.zeros(n, np.int64)
+        if len(first):
+            base[first] = np.diff(before[first], prepend=0)
+        out = before - np.cumsum(base)
+        carried = first[0] if len(first) else n  # lines that go on with the split of the batch before
+        out[:carried] += held
+        yield pa.array(out, pa.int64())
+        last, held = tuple(where[-1]), int(out[-1] + size[-1])
+
+
+def with_offsets(spark: SparkSession, path: str) -> DataFrame:
+    """``file, offset, line``: every line of the files and the byte it begins at.
+
+    Two scans, no shuffle of the lines: the first adds up the bytes of each split's lines
+    (one row per split; lines and their newlines tile a file, so the splits before a split
+    tell where its first line begins), the second counts on inside the split. Only lengths
+    leave the JVM. A split without a place (the scans were planned differently) is an error.
+    """
+    scan = _scan(spark, path).select(
+        F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"), F.octet_length("value").alias("size"))
+    splits = materialize(scan.groupBy("file", "start").agg(F.sum(F.col("size") + 1).alias("bytes")))
+    earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    begins = splits.select("file", "start", F.coalesce(F.sum("bytes").over(earlier), F.lit(0)).alias("begin"))
+    running = F.arrow_udf(_running_offsets, "bigint")(F.xxhash64("file"), F.col("start"), F.col("size"))
+    lines = scan.withColumn("running", running)
+    found = lookup_join(lines, begins, ["file", "start"], table_rows=splits.count())
+    begin = F.coalesce("begin", F.raise_error(F.lit("the two scans of the text were split differently")).cast("bigint"))
+    return found.select("file", (begin + F.col("running")).alias("offset"), "line")
+
+
+def _offset_ids(lines: DataFrame) -> DataFrame:
+    return lines.select(F.xxhash64("file", "offset").alias("row_id"), "line")
+
+
 def read_lines(spark: SparkSession, path: str, num_partitions: int | None = None,
-               ids: str = "content") -> DataFrame:
+               ids: str = "offset") -> DataFrame:
     """Text lines split on ``\\n`` only, as ``row_id, line``.
 
-    ``ids='content'`` (default) derives the id from the line and its place among equal
-    lines: the same for every packing of the files into tasks, at the price of one shuffle
-    of the lines. ``ids='scan'`` numbers lines as they are scanned, without a shuffle; such
-    ids change with the number of cores and the split size. An explicit partition count
-    (the reference's ``numPartitions``) repartitions after the id is assigned.
+    ``ids='offset'`` (default) derives the id from the file and the byte the line begins at
+    (64 bits of a hash): the same for every packing of the files into tasks, without a
+    shuffle of the lines. ``ids='content'`` derives it from the line and its place among
+    equal lines, whatever file they are in, at the price of one shuffle. ``ids='scan'``
+    numbers lines as they are scanned; such ids change with the number of cores and the
+    split size. An explicit partition count (the reference's ``numPartitions``) repartitions
+    after the id is assigned.
     """
+    _check_ids(ids)
+    if ids == "offset":
+        lines = _offset_ids(with_offsets(spark, path))
+        return lines.repartition(num_partitions, "row_id") if num_partitions else lines
     return _numbered(_scan(spark, path).select(F.col("value").alias("line")), ids, num_partitions)
 
 
+def _check_ids(ids: str) -> None:
+    if ids not in ("offset", "content", "scan"):
+        raise ValueError("ids must be 'offset', 'content' or 'scan'")
+
+
 _COMPRESSED = r"(?i)\.(gz|bz2|zst|lz4|snappy|deflate|xz)$"
 
 
 def final_blank_lines(spark: SparkSession, path: str) -> DataFrame:
-    """One empty ``line`` per input file that ends in a newline.
+    """One empty ``line`` per input file that ends in a newline, at the file's end.
 
     Such a file is as long as its lines and one newline each (less a byte order mark of
     three bytes, which the reader skips). The size of a compressed file tells nothing about
@@ -94,12 +159,12 @@ def final_blank_lines(spark: SparkSession, path: str) -> DataFrame:
                 .groupBy("file_path", "file_size")
                 .agg(F.sum(F.octet_length("value") + 1).alias("lines")))
     return (per_file.where((size - F.col("lines")).isin(0, 3))
-            .select(F.lit("").alias("line")))
+            .select(F.col("file_path").alias("file"), F.col("lines").alias("offset"), F.lit("").alias("line")))
 
 
 def read_labelled_lines(spark: SparkSession, path: str, sep: str = "\t",
                         blank: str = "drop", num_partitions: int | None = None,
-                        ids: str = "content") -> DataFrame:
+                        ids: str = "offset") -> DataFrame:
     """Read a labelled delimited text file (or folder) into observations.
 
     With ``blank='positive'``, blank lines become positives without features,
@@ -107,10 +172,19 @@ def read_labelled_lines(spark: SparkSession, path: str, sep: str = "\t",
     newline, which Spark's line reader does not yield, so one empty line is
     added per input file that ends in a newline.
     """
-    lines = _scan(spark, path).select(F.col("value").alias("line"))
-    if blank == "positive":
-        lines = lines.unionByName(final_blank_lines(spark, path))
-    return parse_lines(_numbered(lines, ids, num_partitions), sep=sep, blank=blank)
+    _check_ids(ids)
+    if ids == "offset":
+        lines = with_offsets(spark, path)
+        if blank == "positive":
+            lines = lines.unionByName(final_blank_lines(spark, path))
+        lines = _offset_ids(lines)
+        lines = lines.repartition(num_partitions, "row_id") if num_partitions else lines
+    else:
+        lines = _scan(spark, path).select(F.col("value").alias("line"))
+        if blank == "positive":
+            lines = lines.unionByName(final_blank_lines(spark, path).select("line"))
+        lines = _numbered(lines, ids, num_partitions)
+    return parse_lines(lines, sep=sep, blank=blank)
 
 
 def lines_from_observations(obs: DataFrame, sep: str = "\t") -> DataFrame:

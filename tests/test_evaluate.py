@@ -81,3 +81,28 @@ def test_roc_edge_cases(spark):
     one = spark.createDataFrame([(1.0, 0.5), (0.0, 0.5), (1.0, 0.5)], "label double, score double")
     (row,) = roc_curve(one).collect()
     assert (row["tp"], row["fp"], row["tpr"], row["fpr"]) == (2, 1, 1.0, 1.0)
+
+
+def test_range_bounds_are_even(spark):
+    import bisect
+    from collections import Counter
+
+    from respengine.operators.evaluate import range_bounds
+    # Scores crowd near 0, over many orders of magnitude.
+    points = spark.range(60_000).select(F.pow(F.rand(3), F.lit(9.0)).alias("score")).distinct().persist()
+    values = [r[0] for r in points.collect()]
+    for ranges in (2, 300, 4000):
+        bounds = range_bounds(points, "score", ranges)
+        sizes = Counter(bisect.bisect_right(bounds, v) for v in values)
+        assert len(sizes) == len(bounds) + 1 and len(sizes) >= ranges / 2
+        assert max(sizes.values()) < 2 * len(values) / len(sizes)
+    points.unpersist()
+    few = spark.createDataFrame([(0.5,), (0.5,), (None,), (float("nan"),), (float("inf"),)], "score double")
+    assert range_bounds(few, "score", 4) == [] and range_bounds(few.limit(0), "score", 4) == []
+
+
+def test_report_lines(spark):
+    from respengine.operators.evaluate import metric_report
+    rows = metric_report(spark, [("validation", "hashed", "step=10.0, reg=1e-06", "log_loss", 0.44508),
+                                 ("validation", "hashed", "logreg", "log_loss", 0.44508)]).collect()
+    assert {r["text"] for r in rows} == {"stepSize = 10.0, regParam = 1e-06: logloss = 0.445", "0.445"}

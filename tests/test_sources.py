@@ -120,3 +120,32 @@ def test_comma_separator_keeps_trailing_empties(spark):
     tab = parse_lines(lines.where("row_id = 2"), sep="\t").first()
     assert _feats(comma) == [(0, "a"), (1, ""), (2, "b"), (3, ""), (4, "")]
     assert _feats(tab) == [(0, "a"), (1, ""), (2, "b")]
+
+
+def test_offsets_are_those_of_the_file(spark):
+    from respengine.sources.text import with_offsets
+    folder = tempfile.mkdtemp(prefix="respengine-offsets-")
+    want = set()
+    for f, end in (("a", "\n"), ("b", ""), ("c", "\n")):
+        lines = [f"é{i}" * (i % 7) for i in range(500)] + ["last"]
+        body, at = "\n".join(lines) + end, 0
+        with open(os.path.join(folder, f"{f}.txt"), "w", newline="") as fh:
+            fh.write(body)
+        for line in lines:
+            want.add((f"{f}.txt", at, line))
+            at += len(line.encode()) + 1
+    open(os.path.join(folder, "empty.txt"), "w").close()
+    ids = []
+    for packed in ("64m", "300b"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", packed)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+        try:
+            rows = with_offsets(spark, folder).collect()
+            ids.append(sorted(map(tuple, read_lines(spark, folder).collect())))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert {(r.file.rsplit("/", 1)[1], r.offset, r.line) for r in rows} == want and len(rows) == len(want)
+    assert ids[0] == ids[1] and len({r[0] for r in ids[0]}) == len(want)
+    plan = read_lines(spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan.split("BroadcastExchange")[0]
