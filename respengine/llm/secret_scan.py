@@ -53,9 +53,15 @@ RULES = (
     Rule("hex", r"[0-9a-f]{16,}"),
     Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", base=False),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}", base=False),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", base=False),
+    # Only where a run of its characters begins, and without giving any back: a text made
+    # of beginnings is read once, not once for each of them.
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+", version=2,
+         base=False),
 )
 
+# A row and a finding of the joined table, in bytes, generously.
+DIGEST_BYTES, FINDING_BYTES = 128, 96
+
 SCANNED = "digest string, rule string"
 FINDINGS = "digest string, rule string, start long, end long"
 
@@ -112,7 +118,7 @@ def scan(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, *,
     rows = stored(content.select("doc_id", "file", "pos", sha256(F.col("text")).alias("digest")),
                   "secret_scan/rows")
     sizes = rows.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.struct("file", "pos")).alias("at"))
-    total, blobs_total = sizes.agg(F.sum("n"), F.count("*")).first()
+    total = sizes.agg(F.sum("n")).first()[0]
 
     keys = F.array(*[F.lit(r.key) for r in rules])
     wanted = sizes.select("digest", "at", F.explode(keys).alias("rule"))
@@ -126,12 +132,18 @@ def scan(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, *,
     place = F.create_map(*[x for i, r in enumerate(rules) for x in (
         F.lit(r.key), F.struct(F.lit(i).alias("place"), F.lit(r.kind).alias("kind"), F.lit(r.base).alias("base")))])
     rule = place[F.col("rule")]
-    found = _ledger(spark, f"{ledger}/findings", FINDINGS).where(F.col("rule").isin(*[r.key for r in rules]))
+    # The ledger may be far larger than this scan: only findings of its own blobs are grouped,
+    # and their rows and bytes decide how they are joined.
+    found = _ledger(spark, f"{ledger}/findings", FINDINGS).where(F.col("rule").isin(*[r.key for r in rules])) \
+        .join(sizes.select("digest"), "digest", "left_semi")
     per_blob = found.groupBy("digest").agg(F.sort_array(F.collect_list(F.struct(
         "start", rule["place"].alias("place"), rule["kind"].alias("kind"), "end",
         rule["base"].alias("base")))).alias("findings"))
+    per_blob = stored(per_blob, "secret_scan/found")
+    blobs_found, spans = per_blob.agg(F.count("*"), F.sum(F.size("findings"))).first()
     hot = sizes.where(F.col("n") >= hot_threshold(total or 0, MAX_HOT)).select("digest")
-    return lookup_join(rows.select("doc_id", "digest"), per_blob, ["digest"], table_rows=blobs_total,
+    return lookup_join(rows.select("doc_id", "digest"), per_blob, ["digest"], table_rows=blobs_found,
+                       table_bytes=blobs_found * DIGEST_BYTES + (spans or 0) * FINDING_BYTES,
                        hot_keys=hot, max_broadcast_rows=BROADCAST_ROWS)
 
 
