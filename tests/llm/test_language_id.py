@@ -1,5 +1,6 @@
 """Language ID: held-out accuracy on a given table, and small cases."""
 import random
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -54,3 +55,58 @@ def test_large_alphabets_share_no_place():
     # One letter and a pair with a boundary are told apart by their spaces.
     assert len(plain) > 1 << 16
     assert len(np.unique(grams(text))) == len(plain)
+
+
+def test_clashing_names_and_ties(spark):
+    # Helper columns stay apart from any column of the table, in any case.
+    docs = spark.createDataFrame([(1, "abc abc", "aa", "x", 7, None)], "doc_id long, text string, lang string, read string, _read int, __READ int")
+    told = identify(docs, learn(docs))
+    assert told.columns == [*docs.columns, "lang_pred", "score"]
+    assert [(r.lang_pred, r.read, r._read) for r in told.collect()] == [("aa", "x", 7)]
+    # Equally near languages: the first in code point order.
+    same = spark.createDataFrame([(1, "abc", "zz"), (2, "abc", "bb"), (3, "abc", "cc")], "doc_id long, text string, lang string")
+    assert {r.lang_pred for r in identify(same, learn(same)).collect()} == {"bb"}
+
+
+def plain_counts(text):
+    """How often a text has each n-gram, by strings."""
+    padded = " " + "".join(c if c.isalpha() else " " for c in text.lower()) + " "
+    found = [("1", c) for c in padded if c != " "]
+    found += [("2", padded[i:i + 2]) for i in range(len(padded) - 1) if padded[i:i + 2] != "  "]
+    found += [("3", padded[i - 1:i + 2]) for i in range(1, len(padded) - 1) if padded[i] != " "]
+    return Counter(found)
+
+
+def test_distance_against_brute_force(spark):
+    """The nearest profile by plain dictionaries, for texts whose n-grams have distinct ranks."""
+    rnd = random.Random(8)
+    words = {"aa": ["ka", "kat", "kato", "mi"], "bb": ["ro", "rom", "romu", "li"]}
+    rows, i = [], 0
+    for lang, vocab in words.items():
+        for _ in range(40):
+            rows.append((i, " ".join(rnd.choices(vocab, [8, 4, 2, 1], k=30)), lang))
+            i += 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = learn(docs, size=12)
+    counts = {lang: {} for lang in words}
+    for _, text, lang in rows:
+        for g, n in plain_counts(text).items():
+            counts[lang][g] = counts[lang].get(g, 0) + n
+    for lang in words:  # places follow the counts
+        kept = sorted(counts[lang].values(), reverse=True)[:12]
+        place = model.place[model.languages.index(lang)][:-1]
+        assert sorted(place[place < 12]) == list(range(12)) and len(kept) == 12
+    told = {r.doc_id: r for r in identify(docs, model).collect()}
+    for i, text, lang in rows:
+        mine = plain_counts(text)
+        lowest = None
+        for other in words:
+            known = dict(zip(model.known.tolist(), model.place[model.languages.index(other)].tolist()))
+            every, n = np.unique(grams(text), return_counts=True)
+            order = sorted(range(len(every)), key=lambda k: (-n[k], model.order[np.searchsorted(model.known, every[k])]
+                           if int(every[k]) in known else model.order[-1]))[:12]
+            away = sum(12 if known.get(int(every[k]), 12) == 12 else abs(known[int(every[k])] - at) for at, k in enumerate(order))
+            lowest = min(lowest, (away, other)) if lowest else (away, other)
+        assert len(mine) == len(np.unique(grams(text)))
+        assert told[i].lang_pred == lowest[1] == lang
+        assert abs(told[i].score - (1 - lowest[0] / (12 * min(12, len(mine))))) < 1e-9

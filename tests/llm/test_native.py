@@ -139,3 +139,13 @@ def test_mix_prefers_quality(documents):
     out = [r for r in mix(documents(rows)).collect() if r.source == "a"]
     good = sum(r.taken for r in out if r.doc_id % 2)
     assert good > 1.2 * sum(r.taken for r in out if not r.doc_id % 2)
+
+
+def test_drop_copies_keeps_clashing_columns(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    spark.createDataFrame([(1, "a", "f", 1, 2), (2, "a", "g", 3, 4), (3, "b", None, None, None)],
+                          "doc_id long, text string, _file string, _pos int, pos int").write.parquet(path)
+    docs = spark.read.parquet(path)
+    left = drop_copies(docs)
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id, r._file) for r in left.collect()) == [(2, "g"), (3, None)]
