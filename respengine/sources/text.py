@@ -11,13 +11,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import parse_features, parse_label, split_fields, strip_line
-from ..operators.joins import lookup_join
-from ..session import materialize
+from ..lifetime import own_broadcast
 from .rows import with_content_ids
 
 FEATS_TYPE = T.ArrayType(T.StructType([
@@ -67,50 +66,58 @@ def _numbered(lines: DataFrame, ids: str, num_partitions: int | None) -> DataFra
     return lines.repartition(num_partitions, "row_id") if num_partitions else lines
 
 
-def _running_offsets(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-    """Bytes before each line in its split, for (file, split start, line bytes) as scanned."""
-    last, held = None, 0
-    for file, start, size in batches:
-        n = len(size)
-        if not n:
-            yield pa.array([], pa.int64())
-            continue
-        size = size.to_numpy(zero_copy_only=False).astype(np.int64) + 1  # and its newline
-        where = np.stack([file.to_numpy(zero_copy_only=False), start.to_numpy(zero_copy_only=False)], axis=1)
-        new = np.ones(n, bool)
-        new[1:] = (where[1:] != where[:-1]).any(axis=1)
-        new[0] = tuple(where[0]) != last
-        before = np.cumsum(size) - size
-        first = np.flatnonzero(new)
-        base = np.zeros(n, np.int64)
-        if len(first):
-            base[first] = np.diff(before[first], prepend=0)
-        out = before - np.cumsum(base)
-        carried = first[0] if len(first) else n  # lines that go on with the split of the batch before
-        out[:carried] += held
-        yield pa.array(out, pa.int64())
-        last, held = tuple(where[-1]), int(out[-1] + size[-1])
+def _offsets_fn(begins):
+    """Arrow function over (file hash, split start, line bytes) as scanned: the byte each line
+    begins at. ``begins``: broadcast of the byte at which the first line of a split begins."""
+    def run(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        last, held = None, 0
+        for columns in batches:
+            file, start, size = (c.to_numpy(zero_copy_only=False) for c in columns)
+            if not len(size):
+                yield pa.array([], pa.int64())
+                continue
+            size = size.astype(np.int64) + 1  # and its newline
+            new = np.ones(len(size), bool)
+            new[1:] = (file[1:] != file[:-1]) | (start[1:] != start[:-1])
+            new[0] = (file[0], start[0]) != last
+            before = np.cumsum(size) - size
+            first = np.flatnonzero(new)
+            # What a split's lines add to the bytes before them in the batch; the first rows
+            # may go on with the split of the batch before.
+            shift = np.array([held, *[_begin(begins.value, file[i], start[i]) - before[i] for i in first]], np.int64)
+            out = before + shift[np.cumsum(new)]
+            yield pa.array(out, pa.int64())
+            last, held = (file[-1], start[-1]), int(out[-1] + size[-1])
+
+    return F.arrow_udf(run, "bigint")
+
+
+def _begin(begins: dict, file: int, start: int) -> int:
+    try:
+        return begins[int(file), int(start)]
+    except KeyError:
+        raise RuntimeError("the two scans of the text were split differently") from None
 
 
 def with_offsets(spark: SparkSession, path: str) -> DataFrame:
     """``file, offset, line``: every line of the files and the byte it begins at.
 
     Two scans, no shuffle of the lines: the first adds up the bytes of each split's lines
-    (one row per split; lines and their newlines tile a file, so the splits before a split
-    tell where its first line begins), the second counts on inside the split. Only lengths
-    leave the JVM. A split without a place (the scans were planned differently) is an error.
+    (one row per split reaches the driver; lines and their newlines tile a file, so the
+    splits before a split tell where its first line begins), the second counts on inside the
+    split. Only lengths leave the JVM. A split without a place is an error: the scans were
+    planned differently, as when executors came or went in between.
     """
     scan = _scan(spark, path).select(
         F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"), F.octet_length("value").alias("size"))
-    splits = materialize(scan.groupBy("file", "start").agg(F.sum(F.col("size") + 1).alias("bytes")))
-    earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    begins = splits.select("file", "start", F.coalesce(F.sum("bytes").over(earlier), F.lit(0)).alias("begin"))
-    running = F.arrow_udf(_running_offsets, "bigint")(F.xxhash64("file"), F.col("start"), F.col("size"))
-    lines = scan.withColumn("running", running)
-    found = lookup_join(lines, begins, ["file", "start"], table_rows=splits.count())
-    begin = F.coalesce("begin", F.raise_error(F.lit("the two scans of the text were split differently")).cast("bigint"))
-    return found.select("file", (begin + F.col("running")).alias("offset"), "line")
+    splits = scan.groupBy(F.xxhash64("file").alias("file"), "start").agg(F.sum(F.col("size") + 1).alias("bytes")).collect()
+    begins, ends = {}, {}
+    for r in sorted(splits, key=lambda r: r["start"]):
+        begins[r["file"], r["start"]] = ends.get(r["file"], 0)
+        ends[r["file"]] = ends.get(r["file"], 0) + r["bytes"]
+    offsets = _offsets_fn(own_broadcast(spark.sparkContext.broadcast(begins)))
+    return scan.select("file", offsets(F.xxhash64("file"), F.col("start"), F.col("size")).alias("offset"), "line")
 
 
 def _offset_ids(lines: DataFrame) -> DataFrame:
