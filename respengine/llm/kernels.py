@@ -1,11 +1,23 @@
-"""Vectorised text kernels that run inside Spark tasks (numpy on Arrow buffers)."""
+"""Vectorised text kernels that run inside Spark tasks (numpy on Arrow buffers).
+
+Hashes that stand for content take a ``salt``: a secret number drawn by each call of an
+operator on the driver and sent with its tasks, so that nobody can prepare texts that
+collide. Long content goes through a keyed digest or a polynomial modulo a prime.
+"""
 
 from __future__ import annotations
 
+import hashlib
+import secrets
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
+# After one block of this size was freed, malloc keeps freed blocks up to it for the next
+# arrays; before, it returns them and their pages fault in anew for every array.
+np.empty((32 << 20) - 8192, np.uint8)
 _MASK = (1 << 64) - 1
 # An odd base, so that its powers have inverses modulo 2^64.
 _BASE = 0xD1342543DE82EF95
@@ -23,7 +35,19 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+def new_salt() -> int:
+    """A secret for one call of an operator; its tasks all get the same."""
+    return secrets.randbits(64)
+
+
+@lru_cache(maxsize=4)
+def _secret(salt: int, label: str, n: int) -> np.ndarray:
+    """``n`` 64-bit values that only holders of the salt can tell."""
+    raw = b"".join(hashlib.blake2b(i.to_bytes(8, "little"), key=salt.to_bytes(8, "little"),
+                                   person=label.encode(), digest_size=8).digest() for i in range(n))
+    return np.frombuffer(raw, np.uint64)
+
+
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -55,8 +79,58 @@ class Rolling:
         return (self.sums[n:n + count] - self.sums[:count]) * self.inverse[:count]
 
 
-def byte_values(data: np.ndarray) -> np.ndarray:
-    return _BYTE[data]
+def byte_values(data: np.ndarray, salt: int) -> np.ndarray:
+    return _secret(salt, "byte", 256)[data]
+
+
+_PRIME = np.uint64((1 << 31) - 1)
+
+
+def _fold(x: np.ndarray) -> np.ndarray:
+    """A smaller number that is the same modulo 2^31 - 1."""
+    return (x & _PRIME) + (x >> np.uint64(31))
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = _fold(_fold(x))
+    return np.where(x >= _PRIME, x - _PRIME, x)
+
+
+@lru_cache(maxsize=4)
+def _prime_powers(salt: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    prime = int(_PRIME)
+    base = int(_secret(salt, "base", 1)[0]) % (prime - 2) + 2
+    out = []
+    for b in (base, pow(base, -1, prime)):
+        p = np.ones(1, np.uint64)
+        while len(p) < n:
+            p = np.concatenate([p, _reduced(p * np.uint64(pow(b, len(p), prime)))])
+        out.append(p)
+    return out[0], out[1]
+
+
+class PrimeRolling:
+    """Hashes below 2^31 of any range of bytes: a polynomial modulo 2^31 - 1 at a secret
+    base over secret values, so two different ranges of n bytes collide with a chance of
+    n / 2^31 at most, whatever they hold."""
+
+    def __init__(self, data: np.ndarray, salt: int):
+        n = len(data)
+        power, self.inverse = _prime_powers(salt, 1 << max(16, n.bit_length()))
+        values = _secret(salt, "prime", 256) % _PRIME
+        self.sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(_fold(values[data] * power[:n]), out=self.sums[1:])
+
+    def ranges(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return _reduced(_reduced(self.sums[end] - self.sums[start]) * self.inverse[start])
+
+
+def lanes(data: np.ndarray, extra: int = 0) -> np.ndarray:
+    """The eight bytes from each position on (zeros beyond the end) as one number, also
+    for ``extra`` positions beyond the end."""
+    padded = np.zeros(len(data) + extra + 8, np.uint8)
+    padded[:len(data)] = data
+    return np.ndarray((len(data) + extra,), "<u8", padded, strides=(1,))
 
 
 def text_slices(table: pa.Table, column: str = "text", limit: int = SLICE_BYTES):
@@ -102,19 +176,38 @@ def words(data: np.ndarray, off: np.ndarray):
     return starts, ends, np.searchsorted(starts, off)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    raw = Rolling(byte_values(data)).ranges(starts, ends)
-    return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_LANE = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+WORD_LANES = 4
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: int) -> np.ndarray:
+    """Hashes of words by keyed rounds of eight bytes; words of more than 32 bytes by
+    digests. Words of up to eight bytes and one length never collide."""
+    size = ends - starts
+    eight = lanes(data, 8 * WORD_LANES)
+    keys = _secret(salt, "word", 2 * WORD_LANES + 1)
+    hashes = size.astype(np.uint64) * (keys[-1] | np.uint64(1))
+    for k in range(WORD_LANES):
+        rows = np.flatnonzero(size > 8 * k) if k else slice(None)
+        if k and not len(rows):
+            break
+        own = eight[starts[rows] + 8 * k] & _LANE[np.minimum(size[rows] - 8 * k, 8)]
+        hashes[rows] = mix((hashes[rows] ^ own) * (keys[2 * k] | np.uint64(1)) + keys[2 * k + 1])
+    key = salt.to_bytes(8, "little")
+    for i in np.flatnonzero(size > 8 * WORD_LANES):
+        digest = hashlib.blake2b(data[starts[i]:ends[i]].tobytes(), key=key, digest_size=8).digest()
+        hashes[i] = int.from_bytes(digest, "little")
+    return hashes
 
 
-def table_words(table: pa.Table, *, lower: bool = False):
+def table_words(table: pa.Table, salt: int, *, lower: bool = False):
     """Word hashes of all rows of a table, and the word offset of each row."""
     hashes, counts = [], [np.zeros(1, np.int64)]
     for _, data, off in text_slices(table):
         if lower:
             data = lower_ascii(data)
         starts, ends, woff = words(data, off)
-        hashes.append(word_hashes(data, starts, ends))
+        hashes.append(word_hashes(data, starts, ends, salt))
         counts.append(np.diff(woff))
     return (np.concatenate(hashes) if hashes else np.zeros(0, np.uint64),
             np.cumsum(np.concatenate(counts)))
@@ -245,15 +338,15 @@ class Originals:
         self.active = leads & keys.to_items(first)
 
 
-def text_keys(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """80-bit keys of whole texts."""
-    key, check = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint16)]
+def text_keys(table: pa.Table, salt: int) -> tuple[np.ndarray, np.ndarray]:
+    """80-bit keys of whole texts, from keyed digests."""
+    secret, digests = salt.to_bytes(8, "little"), []
     for _, data, off in text_slices(table):
-        size = np.diff(off).astype(np.uint64)
-        key.append(mix(Rolling(byte_values(data)).ranges(off[:-1], off[1:]) + mix(size)))
-        other = Rolling(mix(data.astype(np.uint64) + np.uint64(0x51))).ranges(off[:-1], off[1:])
-        check.append((mix(other + size) >> np.uint64(48)).astype(np.uint16))
-    return np.concatenate(key), np.concatenate(check)
+        body = memoryview(data)
+        digests += [hashlib.blake2b(body[a:b], key=secret, digest_size=10).digest()
+                    for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
+    both = np.frombuffer(b"".join(digests), np.dtype([("key", "<u8"), ("check", "<u2")]))
+    return both["key"].astype(np.uint64), both["check"].astype(np.uint16)
 
 
 def answered(table: pa.Table, n: int) -> np.ndarray:

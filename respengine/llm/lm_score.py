@@ -252,11 +252,12 @@ def lm_score(docs: DataFrame, training: Column, *, id_col: str = "doc_id", text_
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"),
                        F.coalesce(training, F.lit(False)).alias("train"))
     n = chunk_count(docs)
+    salt = K.new_salt()
     packed = gram_costs(docs, capacity).mapInArrow(partial(_pack, parts=n), PACKED)
     base = chunked(docs, n, train=F.col("train"))
 
     def ask(table: pa.Table) -> pa.Table:
-        hashes, off = K.table_words(table, lower=True)
+        hashes, off = K.table_words(table, salt, lower=True)
         learned = np.repeat(table.column("train").to_numpy(zero_copy_only=False), np.diff(off))
         keys = K.Keys(hashes)
         counts = np.add.reduceat(learned[keys.order].astype(np.int64), np.flatnonzero(keys.new)) \
@@ -283,7 +284,7 @@ def lm_score(docs: DataFrame, training: Column, *, id_col: str = "doc_id", text_
     scale = log10(tokens + 0.1 * (vocabulary + 1))
 
     def score(table: pa.Table, totals: pa.Table) -> pa.Table:
-        hashes, off = K.table_words(table, lower=True)
+        hashes, off = K.table_words(table, salt, lower=True)
         keys = K.Keys(hashes)
         totals = totals.sort_by("part")
         counts, costs = (np.concatenate([np.zeros(0, t), *_arrays(totals, c, t)])

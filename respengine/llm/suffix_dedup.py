@@ -19,6 +19,10 @@ others, and it, go whole if a window fits into them.
 3. Extension. Windows around repeated suffixes are taken to full width, counted over the
    corpus by 80-bit keys, and the bytes that repeated windows cover are removed.
 
+The keys come from a secret of the call (see ``kernels``): windows that differ are taken
+for equal by chance only, about 40 pairs among 10^13 windows, and texts made to collide
+cannot be prepared (a chance of about 2^-46 a pair at most).
+
 Sorting every suffix would move the input about a hundred times over; the sample moves
 about one suffix in sixty-four positions and loses no window.
 
@@ -40,6 +44,7 @@ from respengine.llm import kernels as K
 from respengine.llm.common import chunk_count, chunked
 
 GRAM, SPAN = 16, 128
+_GRAM = K.mix(np.arange(1, 4, dtype=np.uint64)) | np.uint64(1)
 
 RUN = "chunk int, part int, shared binary, rest binary, several binary"
 RESULT = ("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
@@ -55,13 +60,16 @@ def suffix_length(width: int) -> int:
 
 def _sampled(data: np.ndarray, off: np.ndarray, width: int):
     """For every window start: its sampled suffix. Returns starts, sampled positions
-    (ascending), the index of each start's suffix, part hashes and the rolling hash."""
-    rolling = K.Rolling(K.byte_values(data))
-    grams = K.mix(rolling.windows(GRAM))
+    (ascending), how many successive starts have each, and the hashes to deal them by."""
     starts = np.flatnonzero(K.room(off) >= width)
     if not len(starts):
         none = np.zeros(0, np.int64)
-        return none, none, none, np.zeros(0, np.uint64), rolling
+        return none, none, none, np.zeros(0, np.uint64)
+    eight = np.ascontiguousarray(K.lanes(data))
+    grams = eight[:-8] * _GRAM[0]
+    grams += eight[8:] * _GRAM[1]
+    grams ^= grams >> np.uint64(32)
+    grams *= _GRAM[2]
     least = (grams >> np.uint64(32) << np.uint64(32)) | np.arange(len(grams), dtype=np.uint64)
     step = 1
     while step < SPAN:  # SPAN is a power of two
@@ -70,17 +78,25 @@ def _sampled(data: np.ndarray, off: np.ndarray, width: int):
     chosen = (least[starts] & np.uint64(0xFFFFFFFF)).astype(np.int64)
     new = np.ones(len(chosen), bool)
     new[1:] = chosen[1:] != chosen[:-1]
-    at = chosen[new]
-    return starts, at, np.cumsum(new) - 1, grams[at] << np.uint64(32), rolling
+    first = np.flatnonzero(new)
+    at = chosen[first]
+    return starts, at, np.diff(np.append(first, len(chosen))), K.mix(grams[at])
 
 
-def _suffix_hashes(rows: np.ndarray) -> np.ndarray:
-    """Hash of each row of bytes, as ``Rolling.ranges`` gives it for the same bytes."""
-    power = K.Rolling(np.full(rows.shape[1], 1, np.uint64)).sums
-    weights = power[1:] - power[:-1]
-    out = np.zeros(len(rows), np.uint64)
-    for k in range(rows.shape[1]):
-        out += K.byte_values(rows[:, k]) * weights[k]
+def _strings(data: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """The ``size`` bytes from each position on, as rows of numbers of eight bytes."""
+    eight = K.lanes(data)
+    out = np.empty((len(at), size // 8), "<u8")
+    for k in range(size // 8):
+        out[:, k] = eight[at + 8 * k]
+    return out
+
+
+def _suffix_hashes(strings: np.ndarray) -> np.ndarray:
+    """Hash of each row of ``_strings``; it only nominates windows."""
+    out = np.zeros(len(strings), np.uint64)
+    for column in strings.T:
+        out = K.mix((out ^ column) * _GRAM[0])
     return out
 
 
@@ -89,9 +105,9 @@ def _run(table: pa.Table, width: int, parts: int, chunk: int) -> pa.Table:
     size = suffix_length(width)
     strings, hashes = [np.zeros((0, size), np.uint8)], [np.zeros(0, np.uint64)]
     for _, data, off in K.text_slices(table):
-        _, at, _, part_hash, _ = _sampled(data, off, width)
+        _, at, _, part_hash = _sampled(data, off, width)
         if len(at):
-            strings.append(data[at[:, None] + np.arange(size)])
+            strings.append(_strings(data, at, size).view(np.uint8))
             hashes.append(part_hash)
     rows, part = np.concatenate(strings), K.parts_of(np.concatenate(hashes), parts)
     columns = np.ascontiguousarray(rows).view(">u8").astype(np.uint64)
@@ -213,7 +229,7 @@ def _merge(table: pa.Table, size: int) -> pa.Table:
     found = []
     for (shared, rest), several, flags in zip(runs, table.column("several").to_pylist(), merge_runs(runs, size)):
         flags |= np.unpackbits(np.frombuffer(several, np.uint8), count=len(flags)).astype(bool)
-        found.append(_suffix_hashes(_unpack(shared, rest, size)[flags]) if flags.any() else np.zeros(0, np.uint64))
+        found.append(_suffix_hashes(_unpack(shared, rest, size)[flags].view("<u8")) if flags.any() else np.zeros(0, np.uint64))
     return pa.table({"chunk": table.column("chunk"), "part": table.column("part"),
                      "n": pa.array([len(f) for f in found], pa.int32()),
                      "bits": pa.array([f.tobytes() for f in found], pa.binary())})
@@ -221,21 +237,28 @@ def _merge(table: pa.Table, size: int) -> pa.Table:
 
 # -- extension --------------------------------------------------------------------------
 
-def _windows(table: pa.Table, answers: pa.Table, width: int):
+def _windows(table: pa.Table, answers: pa.Table, width: int, salt: int):
     """Keys of the windows around repeated suffixes, and their starts by slice."""
     size = suffix_length(width)
     repeated = np.unique(np.concatenate([np.zeros(0, np.uint64)] + [
         np.frombuffer(b, np.uint64) for b in answers.column("bits").to_pylist()]))
     keys, checks, starts = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint16)], []
     for _, data, off in K.text_slices(table):
-        all_starts, at, index, _, rolling = _sampled(data, off, width)
-        flags = np.isin(rolling.ranges(at, at + size), repeated)
-        mine = all_starts[flags[index]] if len(at) else all_starts
+        every, at, count, _ = _sampled(data, off, width)
+        flags = np.isin(_suffix_hashes(_strings(data, at, size)), repeated)
+        mine = every[np.repeat(flags, count)]
         starts.append(mine)
         if len(mine):
-            other = K.Rolling(K.mix(data.astype(np.uint64) + np.uint64(0x51)))
-            keys.append(K.mix(rolling.ranges(mine, mine + width)))
-            checks.append((K.mix(other.ranges(mine, mine + width)) >> np.uint64(48)).astype(np.uint16))
+            # Only the bytes of these windows are hashed: within a window, none is left out.
+            change = np.zeros(len(data) + 1, np.int32)
+            change[mine] += 1
+            change[mine + width] -= 1
+            covered = np.cumsum(change[:-1]) > 0
+            begin = (np.cumsum(covered) - 1)[mine]
+            inside = data[covered]
+            keys.append(K.mix(K.Rolling(K.byte_values(inside, salt)).ranges(begin, begin + width)))
+            other = K.PrimeRolling(inside, salt).ranges(begin, begin + width)
+            checks.append((K.mix(other) >> np.uint64(48)).astype(np.uint16))
     return K.Keys(np.concatenate(keys), np.concatenate(checks)), starts
 
 
@@ -249,7 +272,7 @@ def suffix_dedup(docs: DataFrame, *, width: int = 200, id_col: str = "doc_id",
     if suffix_length(width) < GRAM:
         raise ValueError(f"width must be at least {SPAN + GRAM - 1} bytes")
     n = chunk_count(docs, text_col)
-    size = suffix_length(width)
+    size, salt = suffix_length(width), K.new_salt()
     base = chunked(docs, n, id_col=id_col, text_col=text_col)
 
     def level(answers: pa.Table, k: int) -> pa.Table:
@@ -257,11 +280,11 @@ def suffix_dedup(docs: DataFrame, *, width: int = 200, id_col: str = "doc_id",
 
     def originals(table: pa.Table, answers: pa.Table):
         """Only the first of equal texts takes part; the chunk's number; who has copies."""
-        which = K.Originals(*K.text_keys(table), level(answers, 0))
+        which = K.Originals(*K.text_keys(table, salt), level(answers, 0))
         return table.filter(pa.array(which.active)), which
 
     def ask_texts(table: pa.Table) -> pa.Table:
-        return K.request_table(table.column("chunk")[0].as_py(), K.Keys(*K.text_keys(table)), n)
+        return K.request_table(table.column("chunk")[0].as_py(), K.Keys(*K.text_keys(table, salt)), n)
 
     def ask_runs(table: pa.Table, answers: pa.Table) -> pa.Table:
         mine, _ = originals(table, answers)
@@ -272,13 +295,13 @@ def suffix_dedup(docs: DataFrame, *, width: int = 200, id_col: str = "doc_id",
 
     def ask_windows(table: pa.Table, answers: pa.Table) -> pa.Table:
         mine, _ = originals(table, answers)
-        keys, _ = _windows(mine, level(answers, 1), width)
+        keys, _ = _windows(mine, level(answers, 1), width, salt)
         return K.request_table(table.column("chunk")[0].as_py(), keys, n)
 
     def remove(table: pa.Table, answers: pa.Table) -> pa.Table:
         every = table
         table, which = originals(every, answers)
-        keys, starts = _windows(table, level(answers, 1), width)
+        keys, starts = _windows(table, level(answers, 1), width, salt)
         twice = keys.to_items(K.answered(level(answers, 2), len(keys.key)) | (keys.count > 1))
         del keys
         rows = {"doc_id": [], "n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": [], "kept": []}

@@ -150,3 +150,52 @@ def test_pack_keys():
         for shift in (0, 20, 40):
             key = np.unique(rnd.integers(0, 1 << 63, n, np.uint64) >> np.uint64(shift))
             assert (K.unpack(K.pack(key), len(key)) == key).all()
+
+
+def thue_morse(a, b, length):
+    """Two sequences whose polynomials agree modulo 2^64 for every odd base."""
+    signs = [bin(i).count("1") % 2 for i in range(length)]
+    return [(a, b)[s] for s in signs], [(b, a)[s] for s in signs]
+
+
+def test_crafted_texts_do_not_collide(spark):
+    x, y = (b"".join(p).decode() for p in thue_morse(b"a", b"b", 2048))
+    docs = [(1, "k" * 40 + x[:900]), (2, "k" * 40 + y[:900]), (3, x), (4, y)]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)
+           for r in suffix_dedup(sets(spark, docs)).collect()}
+    assert got == brute_bytes(docs, 200)
+    lead = " ".join(f"w{i}" for i in range(34))
+    words = [(1, f"{lead} {x}"), (2, f"{lead} {y}")]
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup(sets(spark, words)).collect()}
+    assert got == brute_words(words, 35)
+    assert all(n == 0 for _, n, _ in got.values())
+
+
+def test_crafted_long_texts_stay(spark):
+    """Noise in both, and between its bytes the two sequences: no window is shared."""
+    rnd = random.Random(11)
+    noise = [rnd.choice("cdefghijklmnop") for _ in range(4096)]
+    x, y = ("".join(n + s for n, s in zip(noise, p)) for p in thue_morse("a", "b", 4096))
+    docs = [(1, x), (2, y)]
+    assert {n for _, n, _, _ in brute_bytes(docs, 200).values()} == {0}
+    assert {r.n_removed for r in suffix_dedup(sets(spark, docs)).collect()} == {0}
+
+
+def test_word_hashes():
+    words = [b"a", b"a\0", b"a\0\0", b"b" * 8, b"b" * 9, b"c" * 32, b"c" * 33, b"d" * 50000]
+    data = np.frombuffer(b" ".join(words), np.uint8)
+    off = np.array([0, len(data)])
+    starts, ends, _ = K.words(data, off)
+    one, other = (K.word_hashes(data, starts, ends, s) for s in (1, 2))
+    assert len(set(one)) == len(words) and not set(one) & set(other)
+    again = np.frombuffer(b"xx " + b" ".join(words[::-1]), np.uint8)
+    starts, ends, _ = K.words(again, np.array([0, len(again)]))
+    assert K.word_hashes(again, starts, ends, 1).tolist()[1:] == one.tolist()[::-1]
+
+
+def test_prime_rolling():
+    rnd = np.random.default_rng(5)
+    data = rnd.integers(0, 256, 3000, np.uint8)
+    data[2000:2300] = data[100:400]
+    hashes = K.PrimeRolling(data, 9).ranges(np.array([100, 2000, 101]), np.array([400, 2300, 401]))
+    assert hashes[0] == hashes[1] != hashes[2] and hashes.max() < (1 << 31)
