@@ -170,9 +170,85 @@ SELECT conv_id, v.d::BIGINT AS depth, parent_conv_id, n AS n_convs, n_children,
 FROM counted v JOIN sums s ON s.d = v.d AND s.key = v.key
 """
 
+SUFFIX_DEDUP = """
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), places AS (
+  SELECT r, i, substr(h, 2 * i - 1, 2) AS byte,
+         CASE WHEN 2 * (i + 199) <= length(h) THEN md5(substr(h, 2 * i - 1, 400)) END AS window_md5
+  FROM (SELECT r, h, unnest(range(1, length(h) // 2 + 1)) AS i FROM docs)
+), counted AS (
+  SELECT r, i, byte, window_md5 IS NOT NULL AND count(*) OVER (PARTITION BY window_md5) > 1 AS again FROM places
+), covered AS (
+  SELECT r, i, byte, coalesce(max(CASE WHEN again THEN i END) OVER (PARTITION BY r ORDER BY i) > i - 200, false) AS gone
+  FROM counted
+), edged AS (
+  SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY r ORDER BY i), false) AS edge FROM covered
+), kept AS (
+  SELECT r, sum(gone::BIGINT)::BIGINT AS n_removed, sum(edge::BIGINT)::BIGINT AS n_spans,
+         string_agg(byte, '' ORDER BY i) FILTER (NOT gone) AS rest
+  FROM edged GROUP BY r
+)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(rest, ''))) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)
+"""
+
+SUBSTRING_DEDUP = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), places AS (
+  SELECT r, i, w[i] AS word,
+         CASE WHEN i + 34 <= len(w) THEN md5(array_to_string(w[i:i + 34], ' ')) END AS window_md5
+  FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM docs)
+), counted AS (
+  SELECT r, i, word, window_md5 IS NOT NULL AND count(*) OVER (PARTITION BY window_md5) > 1 AS again FROM places
+), covered AS (
+  SELECT r, i, word, coalesce(max(CASE WHEN again THEN i END) OVER (PARTITION BY r ORDER BY i) > i - 35, false) AS gone
+  FROM counted
+), edged AS (
+  SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY r ORDER BY i), false) AS edge FROM covered
+), kept AS (
+  SELECT r, sum(gone::BIGINT)::BIGINT AS n_removed, sum(edge::BIGINT)::BIGINT AS n_spans,
+         string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS rest
+  FROM edged GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(coalesce(rest, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)
+"""
+
+JACCARD_JOIN = r"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT r, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM docs WHERE len(w) > 0)
+), sizes AS (
+  SELECT r, count(*) AS n FROM shingles GROUP BY r
+), common AS (
+  SELECT a.r AS a, b.r AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.r <> b.r GROUP BY a.r, b.r
+), links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.r = a JOIN sizes y ON y.r = b WHERE 100 * c >= 75 * (x.n + y.n - c)
+), reached AS (
+  SELECT r AS a, r AS b FROM docs
+  UNION
+  SELECT reached.a, links.b FROM reached JOIN links ON links.a = reached.b
+)
+SELECT d.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(e.doc_id) AS component_id
+FROM reached JOIN docs d ON d.r = reached.a JOIN docs e ON e.r = reached.b LEFT JOIN sizes ON sizes.r = d.r
+GROUP BY d.r, d.doc_id
+"""
+
 ORACLE_SQL = {
+    "op1_suffix_dedup": SUFFIX_DEDUP,
     "op5_chat_format": CHAT_FORMAT,
     "op6_mix_sources": MIX,
+    "op7_ngram_jaccard_join": JACCARD_JOIN,
+    "op8_substring_dedup": SUBSTRING_DEDUP,
     "op10_exact_dedup": EXACT_DEDUP,
     "op11_merkle_manifest": MERKLE,
     "op12_conversation_trie": TRIE,
