@@ -8,11 +8,14 @@ first words only, so a source's words meet the budget exactly.
 
 The prefix sums need no task that holds a whole source: documents fall into about
 sqrt(rows) key ranges per source, are summed inside their range, and start from the sum
-of the ranges before. Only the table of sources (one row each) is ordered in one task.
+of the ranges before. The ranges follow the distribution that the weights give the keys (a
+count for each power of two reaches the driver), so equal weights cannot fill one range. Only the table of sources (one row each) is ordered in one task.
 
 Defined results: null text has size 0; a null source is a source of its own and comes
 last; ties in the key are ordered by id and size; documents of size 0 give nothing; an
-empty table gives an empty result; extra columns are ignored.
+empty table gives an empty result; extra columns are ignored. With ``quality_col`` the weight
+is that column, kept within [1e-6, 1e6]; null, NaN and what is no number weigh 1e-6, so these
+documents come last. Without it a plain measure of the words' length stands in.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from respengine.llm.common import stored, text_of
 
 WORD = r"[^\x20\x09-\x0D]+"
 MAX_EPOCHS = 3
+LEAST_QUALITY, MOST_QUALITY = 1e-6, 1e6
 
 
 def word_count(text: Column) -> Column:
@@ -46,6 +50,24 @@ def uniform(seed: int, doc_id: Column) -> Column:
     return (F.conv(F.substring(hexed, 1, 12), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 48))
 
 
+def given(column: str) -> Column:
+    """The weight that a column gives, within its bounds."""
+    value = F.col(column).try_cast("double")
+    return F.when(value.isNull() | F.isnan(value), F.lit(LEAST_QUALITY)) \
+        .otherwise(F.least(F.greatest(value, F.lit(LEAST_QUALITY)), F.lit(MOST_QUALITY)))
+
+
+def key_place(rows: DataFrame) -> tuple[int, Column]:
+    """The number of rows, and about which part of them has a smaller key (rises with the key)."""
+    classes = rows.groupBy(F.floor(F.log2("weight")).alias("power")) \
+        .agg(F.count("*").alias("n"), F.avg("weight").alias("mean")).orderBy("power").collect()
+    total = sum(r.n for r in classes)
+    place = F.lit(0.0)
+    for r in classes:
+        place = place + F.lit(r.n / total) * (1 - F.exp(-F.col("key") * F.lit(r.mean)))
+    return total, place
+
+
 def targets(sources: DataFrame) -> DataFrame:
     """``skey, source_size, target``: weights 1, 2, 3 repeating in source order share all
     words; a target stops at three times the source, the excess goes to the others.
@@ -73,20 +95,20 @@ def targets(sources: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-        source_col: str = "source", seed: int = 7) -> DataFrame:
+        source_col: str = "source", quality_col: str | None = None, seed: int = 7) -> DataFrame:
     """``doc_id, source, size, source_size, target, taken`` for every document."""
     source = F.col(source_col).cast("string")
     text = text_of(text_col)
     sized = docs.select(F.col(id_col).alias("doc_id"), source.alias("source"),
                         F.when(source.isNull(), "n").otherwise(F.concat(F.lit("s"), source)).alias("skey"),
-                        word_count(text).alias("size"), F.length(text).alias("chars"))
-    keyed = sized.withColumn("weight", quality(F.col("size"), F.col("chars"))).withColumn(
+                        word_count(text).alias("size"), F.length(text).alias("chars"),
+                        (given(quality_col) if quality_col else F.lit(None).cast("double")).alias("given"))
+    keyed = sized.withColumn("weight", F.coalesce("given", quality(F.col("size"), F.col("chars")))).withColumn(
         "key", -F.log(uniform(seed, F.col("doc_id"))) / F.col("weight"))
-    rows = stored(keyed.drop("chars"), "mixing")
-    total, mean = rows.agg(F.count("*"), F.avg("weight")).first()
+    rows = stored(keyed.drop("chars", "given"), "mixing")
+    total, place = key_place(rows)
     ranges = max(1, ceil(sqrt(total)))
-    rows = rows.withColumn("range", F.floor(
-        F.lit(float(ranges)) * (1 - F.exp(-F.col("key") * F.lit(mean or 1.0)))).cast("long"))
+    rows = rows.withColumn("range", F.floor(F.lit(float(ranges)) * place).cast("long"))
 
     sums = rows.groupBy("skey", "source", "range").agg(F.sum("size").alias("range_size"))
     per_source = targets(sums.groupBy("skey", "source").agg(F.sum("range_size").alias("source_size")))

@@ -127,6 +127,21 @@ def test_mix_cases(documents):
     assert sorted(map(str, out)) == sorted(map(str, mix(documents(rows).repartition(7)).collect()))
 
 
+def test_mix_quality_column(documents):
+    """Weights of a column; a third of the rows has none and still fills many ranges."""
+    import pyspark.sql.functions as F
+    rows = [(i, "w " * 20, "en", "abc"[i // 3 % 3]) for i in range(1800)]
+    docs = documents(rows).withColumn("quality", F.when(F.col("doc_id") % 3 == 0, F.lit(None)).when(
+        F.col("doc_id") % 3 == 1, F.lit(8.0)).otherwise(F.lit(1.0)))
+    out = [r for r in mix(docs, quality_col="quality").collect() if r.source == "a"]
+    taken = [sum(r.taken for r in out if r.doc_id % 3 == k) for k in range(3)]
+    assert taken[1] > taken[2] > taken[0]
+    assert abs(sum(taken) - out[0].target) <= 1
+    odd = documents(rows[:60]).withColumn("quality", F.expr(
+        "case doc_id % 4 when 0 then 'NaN' when 1 then '-1' when 2 then 'x' else 'Infinity' end"))
+    assert len(mix(odd, quality_col="quality").collect()) == 60
+
+
 def test_mix_empty(documents):
     assert mix(documents([])).count() == 0
     assert [r.taken for r in mix(documents([(1, None), (2, " ")])).collect()] == [0, 0]
