@@ -57,26 +57,3 @@ def pivot_grid(results: DataFrame, reg_params=None) -> DataFrame:
     renamed = piv.select("step_size", *[F.col(f"`{c}`").alias(reg_column_name(float(c)))
                                         for c in piv.columns if c != "step_size"])
     return renamed.orderBy("step_size")
-
-
-# The reference's stored 6 x 6 log-loss surface (rows = step size,
-# columns = regularisation), used as a test fixture.
-SURFACE_STEPS = [3, 6, 9, 12, 15, 18]
-SURFACE_REGS = [1e-7, 1e-6, 1e-5, 1e-4, 1e-3, 1e-2]
-SURFACE_LOG_LOSS = [
-    [0.45808431, 0.45808493, 0.45809113, 0.45815333, 0.45879221, 0.46556321],
-    [0.45188196, 0.45188306, 0.4518941, 0.4520051, 0.45316284, 0.46396068],
-    [0.44886478, 0.44886613, 0.44887974, 0.44902096, 0.4505614, 0.46371153],
-    [0.44706645, 0.4470698, 0.44708102, 0.44724251, 0.44905525, 0.46366507],
-    [0.44588848, 0.44589365, 0.44590568, 0.44606631, 0.44807106, 0.46365589],
-    [0.44508948, 0.44509474, 0.44510274, 0.44525007, 0.44738317, 0.46365405],
-]
-
-
-def surface_results(spark: SparkSession) -> DataFrame:
-    """The stored surface as grid results (for tests of ``pivot_grid``)."""
-    rows = []
-    for i, s in enumerate(SURFACE_STEPS):
-        for j, r in enumerate(SURFACE_REGS):
-            rows.append((i * len(SURFACE_REGS) + j, float(s), r, SURFACE_LOG_LOSS[i][j], 0, False))
-    return spark.createDataFrame(rows, GRID_SCHEMA)
