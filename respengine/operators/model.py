@@ -13,11 +13,12 @@ model still being fitted travel as one broadcast, and each task turns its
 blocks into one partial gradient with numpy. While ``models x (d + 1)`` stays
 under 4M values, the blocks are held as an RDD prepared once, as MLlib holds its
 points: an iteration is then one small job without a plan of its own, and the
-dense partial gradients are added up by a tree on the executors (or straight on
-the driver, while all of them together are under 4M values). Beyond that the
-gradients are summed per index by a grouped sum, so that only ``d + 1`` values
-per model reach the driver; ``model_ranges`` fits models whose weights should
-not reach it at all. Several models (a grid) share each pass over the data.
+dense partial gradients are cut into slices, each of which one task adds up (or
+added up straight on the driver, while all of them together are under 64K values).
+Beyond that the gradients are summed per index by a grouped sum. Either way only
+``d + 1`` values per model and iteration reach the driver, however many tasks there
+are; ``model_ranges`` fits models whose weights should not reach it at all. Several
+models (a grid) share each pass over the data.
 
 Scoring happens inside the row: an Arrow function over the list columns against
 one broadcast weight matrix, without a shuffle. Weights beyond the broadcast
@@ -45,9 +46,11 @@ from .joins import broadcast_byte_limit, broadcast_row_limit, hot_threshold
 # Dense per-task accumulation up to this many doubles, sparse emission beyond.
 _DENSE_ACC_LIMIT = 1 << 22
 # Partial gradients go straight to the driver when partitions * models * (d + 1)
-# stays under this bound; beyond it a tree of executors (dense) or a grouped sum on
-# the index (sparse) reduces them first.
-_DIRECT_REDUCE_LIMIT = 1 << 22
+# stays under this bound (512 KB an iteration); beyond it they are summed on the
+# executors first, slice by slice (dense) or by a grouped sum on the index (sparse).
+_DIRECT_REDUCE_LIMIT = 1 << 16
+# Values of a partial gradient below which it is not cut into more slices.
+_MIN_SLICE = 1 << 12
 # Partial gradient rows (a StructType: no DDL parsing in every iteration).
 _GRAD_SCHEMA = T.StructType([T.StructField("k", T.IntegerType()),
                              T.StructField("idx", T.IntegerType()),
@@ -187,6 +190,23 @@ def _dense_gradient_fn(bc, d: int, intercept: bool):
     return run
 
 
+def _sliced(pieces: int):
+    """Partition function: a task's partial gradients -> ``(slice, (task, values))``."""
+    def run(task, partials):
+        for acc in partials:
+            for k, part in enumerate(np.array_split(acc.ravel(), pieces)):
+                yield k, (task, part)
+
+    return run
+
+
+def _slice_sum(parts):
+    """Partition function: the parts of one slice -> ``(slice, sum)``, added up in the tasks' order."""
+    held = sorted(parts, key=lambda p: p[1][0])
+    if held:
+        yield held[0][0], sum((part for _, (_, part) in held), np.zeros_like(held[0][1][1]))
+
+
 def _sparse_gradient_fn(bc, d: int, intercept: bool):
     """Partition function: packed blocks -> rows ``(k, idx, g)`` of the indices each block
     touches (the bias is idx = d)."""
@@ -224,9 +244,13 @@ class _Blocks:
             if self.prepared is None:
                 return self._sparse(bc, W)
             partial = self.prepared.mapPartitions(_dense_gradient_fn(bc, self.d, self.intercept))
-            if self.parts * W.size <= _DIRECT_REDUCE_LIMIT:
+            if self.parts == 1 or self.parts * W.size <= _DIRECT_REDUCE_LIMIT:
                 return sum(partial.collect(), np.zeros_like(W))
-            return partial.treeReduce(np.add, depth=2)
+            # A task that adds up a slice holds one part of it from every task: about W again.
+            pieces = max(1, min(self.parts, W.size // _MIN_SLICE))
+            sums = partial.mapPartitionsWithIndex(_sliced(pieces)).partitionBy(pieces, lambda k: k) \
+                .mapPartitions(_slice_sum).collect()
+            return np.concatenate([part for _, part in sorted(sums, key=lambda s: s[0])]).reshape(W.shape)
         finally:
             bc.destroy()
 

@@ -87,6 +87,43 @@ def test_wide_fit_with_a_small_driver():
     assert "fitted 2" in out.stdout, out.stderr[-2000:]
 
 
+MANY_PARTIALS = """
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession, functions as F
+spark = (SparkSession.builder.master("local[8]").config("spark.driver.maxResultSize", "2m").config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "8").getOrCreate())
+import respengine.operators.model as model
+model.MIN_ENTRIES_PER_TASK = 1
+d = 60000
+rows = spark.range(0, 8000, 1, 8).select((F.col("id") % 2).cast("double").alias("label"),
+    F.array(F.pmod(F.xxhash64("id"), F.lit(d)).cast("int")).alias("indices"), F.array(F.lit(1.0)).alias("values"))
+fitted = model.fit_logistic_many(rows, d, [(1.0, 0.0)], iterations=2, block_rows=500)[0]
+print("fitted", fitted.iterations, int((fitted.weights != 0).sum()) > 5000)
+"""
+
+
+def test_partial_gradients_are_summed_before_the_driver():
+    # Eight partial gradients of 480 KB: together more than the driver takes, their sum is not.
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {**os.environ, "PYTHONPATH": root}
+    out = subprocess.run([sys.executable, "-c", MANY_PARTIALS.format(root=root)], env=env, capture_output=True, text=True, timeout=300)
+    assert "fitted 2 True" in out.stdout, out.stderr[-2000:]
+
+
+def test_sliced_sum_equals_direct(spark, ohe, monkeypatch):
+    import respengine.operators.model as model
+    enc, _, d = ohe
+    monkeypatch.setattr(model, "MIN_ENTRIES_PER_TASK", 1)
+    monkeypatch.setattr(model, "_MIN_SLICE", 7)
+    fits = []
+    for limit in (1 << 40, 0):
+        monkeypatch.setattr(model, "_DIRECT_REDUCE_LIMIT", limit)
+        fits.append(model.fit_logistic_many(enc, d, [(5.0, 0.1), (1.0, 0.0)], iterations=4, block_rows=90))
+    for a, b in zip(*fits):
+        assert np.array_equal(a.weights, b.weights) and a.intercept == b.intercept
+
+
 def test_equal_rows_stay_two(spark):
     rows = [(1, 1.0, [0, 2], [1.0, 0.5])] * 2 + [(1, 1.0, [1], [1.0]), (2, 0.0, [], []), (3, 0.0, None, None), (4, 1.0, [7, 0], [1.0, 1.0])]
     df = spark.createDataFrame(rows, ENCODED)
