@@ -1,19 +1,22 @@
 """Logistic regression whose weights never come together on one machine.
 
 The same update as ``model`` (MLlib's rule, the bias as one more column of ones), with the
-weights cut into ranges of ``RANGE`` indices, one table row each. Training rows are packed
-once into blocks; a block knows its distinct indices range by range, in the checkpoint
-folder. An iteration is one Spark job:
-
-1. Pull. A range meets the lists of the blocks that touch it (a bounded number of blocks
-   to a group, so a range used by all blocks is several groups) and answers with its weights.
+weights cut into ranges of ``width`` indices (``RANGE`` by default), one table row each.
+Narrow ranges travel together: a slab is as many consecutive ranges as leave ``SLABS`` slabs,
+but never more than ``RANGE`` indices, so what an iteration moves does not grow with the
+number of ranges times that of blocks. Training rows are packed once into blocks; a block
+knows its distinct indices slab by slab, in the checkpoint folder. An iteration is one Spark
+job:
+
+1. Pull. A slab meets the lists of the blocks that touch it (a bounded number of indices
+   to a group, so a slab used by all blocks is several groups) and answers with its weights.
 2. Gradient. A block puts its answers together, and turns them into the partial gradient of
    its own indices with numpy.
-3. Push. Partial gradients are sorted to their range, streamed into one dense slice, and the
-   updated range is written: the new weights are a reliable checkpoint, and lineage ends.
+3. Push. Partial gradients are sorted to their slab, streamed into one dense slice, and its
+   updated ranges are written: the new weights are a reliable checkpoint, and lineage ends.
 
 Only the squared lengths of the weights and of their change reach the driver. Memory of a
-task: one block and its answers, or one range. The table of the iteration before is deleted
+task: one block and its answers, or one slab. The table of the iteration before is deleted
 once the next is written.
 """
 
@@ -33,17 +36,19 @@ from pyspark.sql import functions as F
 from ..lifetime import Lifetime, delete_table, own_table
 from ..session import ensure_checkpoint_dir, materialize
 from .blocks import BLOCK_ENTRIES, BLOCK_ROWS, numbered_blocks
-from .model import looked_up_margins, scored
+from .model import MAX_ENTRIES_PER_TASK, MIN_ENTRIES_PER_TASK, looked_up_margins, scored
 
 # Indices of one row of weights (at most 2^16: places in a range are 16-bit).
 RANGE = 1 << 16
-# Blocks whose lists meet a range in one group.
-BLOCKS_PER_PULL = 64
+# Slabs that ranges are put together into, while a slab stays under RANGE indices.
+SLABS = 32
+# Indices asked of a slab in one group, about.
+ENTRIES_PER_PULL = 1 << 22
 
 _BLOCKS = ("block long, n int, label binary, lengths binary, place binary, val binary, "
-           "asked array<struct<range: int, at: binary>>")
-_PULLED = "block long, range int, at binary, w binary"
-_PUSHED = "range int, at binary, g binary"
+           "asked array<struct<slab: int, at: binary>>")
+_PULLED = "block long, slab int, at binary, w binary"
+_PUSHED = "slab int, range int, at binary, g binary"
 _WEIGHTS = "range int, w binary, moved double, length double"
 
 
@@ -87,7 +92,7 @@ class RangedModel:
         return self.table().select("range", "w").mapInArrow(run, f"`{index}` int, `{name}` double")
 
 
-def _pack(d: int, width: int, intercept: bool, block_rows: int, block_entries: int):
+def _pack(d: int, slab: int, intercept: bool, block_rows: int, block_entries: int):
     """Partition function: rows of (label, indices, values) -> blocks."""
     step = min(4096, block_rows)
 
@@ -108,8 +113,8 @@ def _pack(d: int, width: int, intercept: bool, block_rows: int, block_entries: i
             seen, place = np.unique(idx, return_inverse=True)
             if intercept:
                 seen = np.append(seen, d)
-            cuts = np.flatnonzero(np.diff(seen // width)) + 1
-            asked = [{"range": int(part[0] // width), "at": (part % width).astype("<u2").tobytes()}
+            cuts = np.flatnonzero(np.diff(seen // slab)) + 1
+            asked = [{"slab": int(part[0] // slab), "at": (part % slab).astype("<u2").tobytes()}
                      for part in np.split(seen, cuts) if len(part)]
             return pa.record_batch({
                 "block": pa.array([next(number)], pa.int64()), "n": pa.array([len(y)], pa.int32()),
@@ -117,7 +122,7 @@ def _pack(d: int, width: int, intercept: bool, block_rows: int, block_entries: i
                 "lengths": pa.array([lengths.tobytes()], pa.binary()),
                 "place": pa.array([place.astype(np.int32).tobytes()], pa.binary()),
                 "val": pa.array([None if np.all(val == 1.0) else val.astype("<f8").tobytes()], pa.binary()),
-                "asked": pa.array([asked], pa.list_(pa.struct([("range", pa.int32()), ("at", pa.binary())])))})
+                "asked": pa.array([asked], pa.list_(pa.struct([("slab", pa.int32()), ("at", pa.binary())])))})
 
         for batch in batches:
             for first in range(0, batch.num_rows, step):
@@ -135,17 +140,17 @@ def _pack(d: int, width: int, intercept: bool, block_rows: int, block_entries: i
 
 
 def _pull(asks: pa.Table, weights: pa.Table) -> pa.Table:
-    """The weights that some blocks ask of a range."""
-    w = np.frombuffer(weights.column("w")[0].as_py(), "<f8") if asks.num_rows else None
+    """The weights that some blocks ask of a slab."""
+    w = np.frombuffer(b"".join(weights.sort_by("range").column("w").to_pylist()), "<f8")
     got = [w[np.frombuffer(at, "<u2")].tobytes() for at in asks.column("at").to_pylist()]
-    return pa.table({"block": asks.column("block"), "range": asks.column("range"), "at": asks.column("at"),
+    return pa.table({"block": asks.column("block"), "slab": asks.column("slab"), "at": asks.column("at"),
                      "w": pa.array(got, pa.binary())})
 
 
 def _gradient(intercept: bool):
-    """A block's partial gradient, range by range."""
+    """A block's partial gradient, slab by slab."""
     def run(block: pa.Table, pulled: pa.Table) -> pa.Table:
-        pulled = pulled.sort_by("range")
+        pulled = pulled.sort_by("slab")
         at = pulled.column("at").to_pylist()
         w = np.concatenate([np.zeros(0), *[np.frombuffer(x, "<f8") for x in pulled.column("w").to_pylist()]])
         row = {c: block.column(c)[0].as_py() for c in ("n", "label", "lengths", "place", "val")}
@@ -163,32 +168,40 @@ def _gradient(intercept: bool):
         if intercept:
             g[-1] = resid.sum()
         cuts = np.cumsum([len(x) // 2 for x in at])[:-1]
-        return pa.table({"range": pulled.column("range"), "at": pulled.column("at"),
+        return pa.table({"slab": pulled.column("slab"), "range": pa.nulls(len(at), pa.int32()), "at": pulled.column("at"),
                          "g": pa.array([x.tobytes() for x in np.split(g, cuts)] if at else [], pa.binary())})
     return run
 
 
 def _push(rows: int, step: float, reg: float):
-    """Partition function over rows of a range, its weights first: the updated range."""
+    """Partition function over rows of a slab, the weights of its ranges first: the updated ranges."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, w, g = None, None, None
+        current, ranges, held, g = None, [], [], None
 
         def done() -> pa.RecordBatch:
-            new = w * (1.0 - step * reg) - step * (g / rows)
+            cuts = np.cumsum([len(w) for w in held])[:-1]
+            old, grad = held, np.split(np.zeros(sum(map(len, held))) if g is None else g, cuts)
+            new = [w * (1.0 - step * reg) - step * (part / rows) for w, part in zip(old, grad)]
             return pa.record_batch({
-                "range": pa.array([current], pa.int32()), "w": pa.array([new.tobytes()], pa.binary()),
-                "moved": pa.array([float(((new - w) ** 2).sum())]), "length": pa.array([float((new ** 2).sum())])})
+                "range": pa.array(ranges, pa.int32()), "w": pa.array([w.tobytes() for w in new], pa.binary()),
+                "moved": pa.array([float(((w - before) ** 2).sum()) for w, before in zip(new, old)], pa.float64()),
+                "length": pa.array([float((w ** 2).sum()) for w in new], pa.float64())})
 
         for batch in batches:
-            for r, at, raw in zip(*[batch.column(c).to_pylist() for c in ("range", "at", "g")]):
+            for slab, r, at, raw in zip(*[batch.column(c).to_pylist() for c in ("slab", "range", "at", "g")]):
                 part = np.frombuffer(raw, "<f8")
-                if at is None:  # the weights of a range, before its gradients
-                    if w is not None:
+                if at is None:  # the weights of a range, before the gradients of its slab
+                    if held and slab != current:
                         yield done()
-                    current, w, g = r, part, np.zeros(len(part))
+                        ranges, held, g = [], [], None
+                    current = slab
+                    ranges.append(r)
+                    held.append(part)
                 else:
+                    if g is None:
+                        g = np.zeros(sum(map(len, held)))
                     g[np.frombuffer(at, "<u2")] += part
-        if w is not None:
+        if held:
             yield done()
 
     return run
@@ -217,6 +230,7 @@ def fit_logistic_ranged(encoded: DataFrame, num_features: int, iterations: int =
         raise ValueError(f"width must be in [1, {RANGE}]")
     spark, d = encoded.sparkSession, int(num_features)
     ranges = max(1, -(-(d + int(intercept)) // width))
+    together = max(1, min(RANGE // width, ranges // SLABS))
     rows = encoded.select(F.col("label").cast("double").alias("label"),
                           F.col("indices").cast("array<int>").alias("indices"),
                           F.col("values").cast("array<double>").alias("values"))
@@ -233,26 +247,35 @@ def fit_logistic_ranged(encoded: DataFrame, num_features: int, iterations: int =
         return after
 
     with Lifetime(spark) as mine:
-        packed = materialize(rows.mapInArrow(_pack(d, width, intercept, block_rows, block_entries), _BLOCKS))
+        packed = materialize(rows.mapInArrow(_pack(d, together * width, intercept, block_rows, block_entries), _BLOCKS))
         owner = mine.tables[-1].rsplit("/", 1)[-1]
-        stats = packed.agg(F.sum("n"), F.count(F.lit(1))).first()
-        n, blocks = int(stats[0] or 0), int(stats[1])
-        pulls = max(1, -(-blocks // BLOCKS_PER_PULL))
+        stats = packed.agg(F.sum("n"), F.sum(F.octet_length("place"))).first()
+        n, entries = int(stats[0] or 0), int(stats[1] or 0) // 4
+        # A task for every slot, but none for less than MIN_ENTRIES_PER_TASK entries: an
+        # iteration's fixed cost is that of its tasks.
+        tasks = max(1, min(spark.sparkContext.defaultParallelism, -(-entries // MIN_ENTRIES_PER_TASK)),
+                    -(-entries // MAX_ENTRIES_PER_TASK))
+        # (two bytes an index)
+        most = packed.select(F.inline("asked")).groupBy("slab").agg(F.sum(F.octet_length("at")).alias("b")).agg(F.max("b")).first()[0]
+        pulls = max(1, -(-int(most or 0) // (2 * ENTRIES_PER_PULL)))
         # Laid out once as the joins of every iteration need them.
         asks = packed.select("block", F.inline("asked"), F.pmod(F.xxhash64("block"), F.lit(pulls)).alias("pull")) \
-            .repartition("range", "pull").persist(StorageLevel.MEMORY_AND_DISK)
-        data = packed.drop("asked").repartition("block").persist(StorageLevel.MEMORY_AND_DISK)
+            .repartition(tasks, "slab", "pull").persist(StorageLevel.MEMORY_AND_DISK)
+        data = packed.drop("asked").repartition(tasks, "block").persist(StorageLevel.MEMORY_AND_DISK)
         mine.frames += [asks, data]
         write(spark.range(ranges).mapInArrow(_start(d, width, intercept), _WEIGHTS), 0)
         done = 0
         for i in range(1, iterations + 1 if n else 1):
-            weights = spark.read.schema(_WEIGHTS).parquet(path).select("range", "w")
-            spread = weights.withColumn("pull", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(pulls - 1).cast("bigint"))))
-            pulled = asks.groupBy("range", "pull").cogroup(spread.groupBy("range", "pull")).applyInArrow(_pull, _PULLED)
+            weights = spark.read.schema(_WEIGHTS).parquet(path) \
+                .select((F.col("range") / F.lit(together)).cast("int").alias("slab"), "range", "w")
+            spread = weights.withColumn("pull", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(pulls - 1).cast("bigint")))) \
+                .repartition(tasks, "slab", "pull")
+            pulled = asks.groupBy("slab", "pull").cogroup(spread.groupBy("slab", "pull")).applyInArrow(_pull, _PULLED) \
+                .repartition(tasks, "block")
             pushed = data.groupBy("block").cogroup(pulled.groupBy("block")).applyInArrow(_gradient(intercept), _PUSHED)
-            both = weights.select("range", F.lit(None).cast("binary").alias("at"), F.col("w").alias("g")).unionAll(pushed)
+            both = weights.select("slab", "range", F.lit(None).cast("binary").alias("at"), F.col("w").alias("g")).unionAll(pushed)
             step = step_size / math.sqrt(i)
-            updated = both.repartition("range").sortWithinPartitions("range", F.col("at").isNotNull()) \
+            updated = both.repartition(tasks, "slab").sortWithinPartitions("slab", F.col("at").isNotNull(), "range") \
                 .mapInArrow(_push(n, step, reg_param if reg_type else 0.0), _WEIGHTS)
             moved, length = spark.read.schema(_WEIGHTS).parquet(write(updated, i)) \
                 .agg(F.sum("moved"), F.sum("length")).first()
