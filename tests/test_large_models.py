@@ -134,6 +134,31 @@ def test_partial_gradients_are_summed_before_the_driver():
     assert "fitted 2 True" in out.stdout, out.stderr[-2000:]
 
 
+MANY_MODELS = """
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession, functions as F
+spark = (SparkSession.builder.master("local[8]").config("spark.driver.maxResultSize", "3m").config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "8").getOrCreate())
+import respengine.operators.model as model
+from respengine.operators.search import grid_search
+model.MIN_ENTRIES_PER_TASK = 1
+d = 1 << 15
+rows = spark.range(0, 8000, 1, 8).select(F.col("id").alias("row_id"), (F.col("id") % 2).cast("double").alias("label"),
+    F.array(F.pmod(F.xxhash64("id"), F.lit(d)).cast("int")).alias("indices"), F.array(F.lit(1.0)).alias("values"))
+cells, best = grid_search(rows, rows, d, [1, 10], [1e-6, 1e-3], iterations=2)
+print("cells", cells.count(), int((best.weights != 0).sum()) > 5000)
+"""
+
+
+def test_a_grid_sends_the_driver_one_gradient_a_model():
+    # Four models of 262 KB: the partial gradients of eight tasks are 8.4 MB, their sums 1 MB.
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {**os.environ, "PYTHONPATH": root}
+    out = subprocess.run([sys.executable, "-c", MANY_MODELS.format(root=root)], env=env, capture_output=True, text=True, timeout=300)
+    assert "cells 4 True" in out.stdout, out.stderr[-2000:]
+
+
 def test_sliced_sum_equals_direct(spark, ohe, monkeypatch):
     import respengine.operators.model as model
     enc, _, d = ohe
